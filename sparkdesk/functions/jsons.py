@@ -7,6 +7,9 @@ the same document as variants only tells texts from objects and arrays.
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,20 +142,33 @@ def json_flatten(c: Column, depth: int = 3) -> Column:
     return _nodes(c, F.lit("$"), depth)
 
 
-def _found(c: Column, name: str, depth: int) -> Column:
-    hits = F.filter(json_flatten(c, depth), lambda e: e["key"] == name)
-    return F.try_element_at(hits, F.lit(1))
+def _field_tail(c: Column, name: str) -> Column:
+    """The compact document from the value of the first field ``name`` on, null without one.
+
+    The first such key in the text is the first in document order at any depth. The
+    pattern steps over whole string tokens, so a text that looks like a key is not taken
+    for one; it never backtracks.
+    """
+    root = F.when(_starts(c, "{") | _starts(c, "["), F.get_json_object(c, "$"))
+    key = re.escape(json.dumps(name, ensure_ascii=False) + ":")
+    token = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    tail = F.regexp_extract(root, rf'(?s)^(?:[^"]++|(?!{key}){token})*+{key}(.*)$', 1)
+    return F.when(tail != "", tail)
+
+
+def _field_text(tail: Column) -> Column:
+    return F.when(tail.isNotNull(), F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), tail), "$.v"), F.lit("null")))
 
 
-def json_find(c: Column, name: str, depth: int = 3) -> Column:
+def json_find(c: Column, name: str) -> Column:
     """The first field of that name at any depth, as text; a container reads as an empty text."""
-    hit = _found(c, name, depth)
-    return F.when(_is_container(hit["kind"]), "").otherwise(hit["value"])
+    tail = _field_tail(c, name)
+    return F.when(F.substring(tail, 1, 1).isin("{", "["), "").otherwise(_field_text(tail))
 
 
-def json_node_string(c: Column, name: str, depth: int = 3) -> Column:
+def json_node_string(c: Column, name: str) -> Column:
     """As ``json_find``, but a container reads as its JSON and a missing field as an empty text."""
-    return F.coalesce(_found(c, name, depth)["value"], F.lit(""))
+    return F.coalesce(_field_text(_field_tail(c, name)), F.lit(""))
 
 
 def json_text_or(c: Column, path: str, default) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("export", "orders")
+MODULES = ("cells", "strings", "jsons")
 
 
 def _collect(attribute: str) -> dict:

@@ -12,7 +12,8 @@ from sparkdesk.operators import export as E
 from sparkdesk.operators import orders as O
 from sparkdesk.operators.keyed import insert_if_absent
 from sparkdesk.plans.inputs import table
-from sparkdesk.plans.orders import REQUESTS_SQL, priced, requests
+from sparkdesk.plans.orders import REQUESTS_SQL, priced
+from sparkdesk.plans.sqltext import escaped, iso_instant, iso_local
 from sparkdesk.session import scratch_path
 from sparkdesk.sources.demo import demo_columns
 from sparkdesk.sources.seeds import seed_orders
@@ -93,7 +94,7 @@ def export_stats(spark: SparkSession, d: str) -> DataFrame:
     return E.export_stats(table(spark, d, "documents"))
 
 
-def csv_escaped(spark: SparkSession, d: str) -> DataFrame:
+def csvescaped(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", csv_escape(F.col("text")).alias("cell"))
 
 
@@ -127,34 +128,6 @@ QUERIES = {
 }
 
 
-def _escaped(text: str) -> str:
-    return (
-        f"case when contains({text}, ',') or contains({text}, '\"') or contains({text}, chr(10)) or contains({text}, chr(13)) "
-        f"then '\"' || replace({text}, '\"', '\"\"') || '\"' else {text} end"
-    )
-
-
-def iso_fraction(ts: str) -> str:
-    """'' or the 3 or 6 digits after the second."""
-    micros = f"(extract(microseconds from {ts})::bigint % 1000000)"
-    return (
-        f"case when {micros} = 0 then '' when {micros} % 1000 = 0 then '.' || lpad(({micros} // 1000)::varchar, 3, '0') "
-        f"else '.' || lpad({micros}::varchar, 6, '0') end"
-    )
-
-
-def iso_instant(ts: str) -> str:
-    return f"(strftime({ts}, '%Y-%m-%dT%H:%M:%S') || {iso_fraction(ts)} || 'Z')"
-
-
-def iso_local(ts: str) -> str:
-    short = f"extract(microseconds from {ts})::bigint = 0"
-    return (
-        f"(strftime({ts}, '%Y-%m-%dT%H:%M') || case when {short} then '' "
-        f"else strftime({ts}, ':%S') || {iso_fraction(ts)} end)"
-    )
-
-
 _DOCS = "select doc_id::varchar as doc_id, text, lang, source, n_chars::varchar as n_chars from documents"
 
 
@@ -174,8 +147,8 @@ ORACLE = {
     "csv_lines": f"""
         select 'event_id,ts,user_id,event_type,value,props' as line
         union all
-        select event_id || ',' || {iso_local('ts')} || ',' || user_id || ',' || {_escaped('event_type')} || ',' || value
-               || ',' || {_escaped('props')}
+        select event_id || ',' || {iso_local('ts')} || ',' || user_id || ',' || {escaped('event_type')} || ',' || value
+               || ',' || {escaped('props')}
         from events""",
     "write_csv": _DOCS,
     "write_csv_compressed": _DOCS,
@@ -202,10 +175,10 @@ ORACLE = {
         select 'PO-DEMO-0002', 'Bob Li', 1, 299.00::decimal(12,2), 26.00::decimal(12,2), '2024-06-01T11:52:00Z'""",
     "export_stats": f"""
         select 'csv' as format, count(*) as rows,
-               (sum(strlen(doc_id || ',' || {_escaped('text')} || ',' || lang || ',' || source || ',' || n_chars) + 1)
+               (sum(strlen(doc_id || ',' || {escaped('text')} || ',' || lang || ',' || source || ',' || n_chars) + 1)
                 + strlen('doc_id,text,lang,source,n_chars') + 1)::bigint as bytes
         from documents""",
-    "csv_escape": f"select doc_id, {_escaped('text')} as cell from documents",
+    "csv_escape": f"select doc_id, {escaped('text')} as cell from documents",
     "safe_entry_name": """
         select page_id, case when page_id % 20 in (1, 2, 3) then 'data.csv' else replace(url, '/', '_') end as entry
         from pages""",

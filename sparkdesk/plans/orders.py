@@ -9,6 +9,7 @@ from sparkdesk.functions.cells import instant_text
 from sparkdesk.operators import orders as O
 from sparkdesk.operators.keyed import first_per_key, insert_if_absent
 from sparkdesk.plans.inputs import requests, table, utc
+from sparkdesk.plans.sqltext import iso_instant
 from sparkdesk.session import scratch_path
 
 
@@ -77,7 +78,7 @@ def order_valid(spark: SparkSession, d: str) -> DataFrame:
 def order_by_key(spark: SparkSession, d: str) -> DataFrame:
     """One order by its number, found through the whole table; a second number has no match."""
     orders = priced(spark, d)
-    wanted = "PO-20240101084534-9D4C2B"
+    wanted = "PO-20240101001527-C9F0F8"
     return _shown(O.find_order(orders, wanted))
 
 
@@ -150,15 +151,6 @@ QUERIES = {
 }
 
 
-def _iso(ts: str) -> str:
-    micros = f"(extract(microseconds from {ts})::bigint % 1000000)"
-    return (
-        f"(strftime({ts}, '%Y-%m-%dT%H:%M:%S') || case when {micros} = 0 then '' "
-        f"when {micros} % 1000 = 0 then '.' || lpad(({micros} // 1000)::varchar, 3, '0') "
-        f"else '.' || lpad({micros}::varchar, 6, '0') end || 'Z')"
-    )
-
-
 _TRIM = "trim({}, ' ' || chr(9) || chr(10))"
 _NUMBER = "'PO-' || strftime({ts}, '%Y%m%d%H%M%S') || '-' || upper(substr(md5({key}::varchar), 1, 6))"
 
@@ -221,7 +213,7 @@ _FEE = """(case customer_tier when 'PLATINUM' then 0 when 'GOLD' then case when
 _RESPONSE = f"""
     select order_no, customer_name, customer_tier, sku_code, quantity, unit_price, shipping_fee,
            (unit_price * quantity + shipping_fee)::decimal(24,2) as order_amount, risk_level, status, remark,
-           {_iso('created_at')} as created_at, {_iso('updated_at')} as updated_at
+           {iso_instant('created_at')} as created_at, {iso_instant('updated_at')} as updated_at
     from priced"""
 
 ORACLE = {
@@ -243,7 +235,7 @@ ORACLE = {
     "order_valid": f"""
         with {REQUESTS_SQL}
         select request_id, case when len(violations) = 0 then 'accepted' else 'rejected' end as outcome from checked""",
-    "order_by_key": f"with {REQUESTS_SQL} {_RESPONSE} where order_no = 'PO-20240101084534-9D4C2B'",
+    "order_by_key": f"with {REQUESTS_SQL} {_RESPONSE} where order_no = 'PO-20240101001527-C9F0F8'",
     "limit_bounds": f"""
         with {REQUESTS_SQL}, top as (select * from priced order by created_at desc, order_no limit 100)
         {_RESPONSE.replace('from priced', 'from top')}""",
@@ -265,8 +257,8 @@ ORACLE = {
         qualify row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_extendedprice) = 1""",
     "order_append": f"""
         with {REQUESTS_SQL}
-        select * exclude (request_id, created_at, updated_at), {_iso('created_at')} as created_at,
-               {_iso('updated_at')} as updated_at, created_at::date::varchar as order_day
+        select * exclude (request_id, created_at, updated_at), {iso_instant('created_at')} as created_at,
+               {iso_instant('updated_at')} as updated_at, created_at::date::varchar as order_day
         from priced""",
     "violation_summary": f"""
         with {REQUESTS_SQL}
