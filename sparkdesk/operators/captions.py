@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkdesk.functions.jsons import json_text_or
 from sparkdesk.functions.links import VIDEO_ID, doc_base_name, extract_video_id, https_url, url_page_index
 from sparkdesk.functions.strings import is_blank, trim_ctl
-from sparkdesk.operators.keyed import first_per_key, spread_lookup
+from sparkdesk.operators.keyed import first_per_key, frequent_key, spread_join
 
 # Fixed values.
 MISSING_CODE = -(1 << 31)
@@ -54,9 +54,16 @@ def select_part(pages: Column, index: Column, video_cid: Column) -> Column:
 def caption_context(
     urls: DataFrame, views: DataFrame, id_pattern: str = VIDEO_ID, page_name: str = "p"
 ) -> DataFrame:
-    """``urls(url, src, pos)`` with ids, title and the chosen part of their video."""
+    """``urls(url, src, pos)`` with ids, title and the chosen part of their video.
+
+    ``frequent`` marks links to a video that very many links name.
+    """
     named = urls.withColumn("bvid", extract_video_id(F.col("url"), id_pattern))
-    seen = spread_lookup(named, views.select("bvid", F.col("payload").alias("_view")), ["bvid"], ["src", "pos"])
+    hot = frequent_key(named, ["bvid"])
+    landed = views.select("bvid", F.col("payload").alias("_view"))
+    seen = spread_join(
+        named.withColumn("frequent", hot), landed, ["bvid"], ["src", "pos"], F.col("frequent"), hot
+    )
     opened = seen.withColumn("_data", F.from_json("_view", VIEW_SCHEMA)["data"])
     data = F.col("_data")
     count = F.greatest(F.coalesce(F.size(data["pages"]), F.lit(0)), F.lit(1))
@@ -79,7 +86,7 @@ def caption_context(
         return F.when(~failed, c)
 
     return chosen.select(
-        "src", "pos", "url", "bvid",
+        "src", "pos", "url", "bvid", "frequent",
         known(F.col("aid")).alias("aid"),
         known(F.col("_part.cid")).alias("cid"),
         known(F.coalesce(data["title"], F.col("bvid"))).alias("title"),
@@ -118,37 +125,52 @@ def pick_track_in(tracks: Column, language: str = DEFAULT_LANGUAGE) -> Column:
     return F.coalesce(*best)
 
 
-def caption_tracks(
-    context: DataFrame, tracks: DataFrame, bodies: DataFrame, language: str = DEFAULT_LANGUAGE
-) -> DataFrame:
-    """Context rows with ``subtitle_url`` and ``lines``, the cleaned texts of the chosen track."""
-    landed = tracks.select("cid", "aid", F.col("payload").alias("_tracks"))
-    seen = spread_lookup(context, landed, ["cid", "aid"], ["src", "pos"])
+def track_lines(parts: DataFrame, tracks: DataFrame, bodies: DataFrame, language: str = DEFAULT_LANGUAGE) -> DataFrame:
+    """Distinct parts ``(cid, aid, ...)`` with ``subtitle_url``, ``lines`` and ``error`` of their chosen track."""
+    seen = parts.join(tracks.select("cid", "aid", F.col("payload").alias("_tracks")), ["cid", "aid"], "left")
     entries = F.from_json("_tracks", TRACK_SCHEMA)["data"]["subtitle"]["subtitles"]
     picked = seen.withColumn("_entries", entries).withColumn("_track", pick_track_in(F.col("_entries"), language))
     link = F.col("_track")["subtitle_url"]
-    error = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(F.col("_tracks").isNull(), "no track list")
+    no_track = (
+        F.when(F.col("_tracks").isNull(), "no track list")
         .when(~api_code_ok(F.col("_tracks")), F.concat(F.lit("track list failed: "), api_error(F.col("_tracks"))))
         .when(F.coalesce(F.size("_entries"), F.lit(0)) <= 0, "no tracks")
         .when(F.col("_track").isNull(), "no usable track")
         .when(is_blank(link), "empty track url")
     )
-    named = picked.withColumn("error", error).withColumn("subtitle_url", F.when(F.col("error").isNull(), https_url(link)))
-    named = named.drop("_tracks", "_entries", "_track")
-    texts = bodies.select(F.col("url").alias("subtitle_url"), F.col("payload").alias("_body"))
-    joined = spread_lookup(named, texts, ["subtitle_url"], ["src", "pos"])
-    opened = joined.withColumn("_items", F.from_json("_body", BODY_SCHEMA)["body"])
-    lines = opened.withColumn("lines", clean_lines(F.col("_items")))
+    named = picked.withColumn("_early", no_track).withColumn(
+        "subtitle_url", F.when(F.col("_early").isNull(), https_url(link))
+    )
+    # A part without a URL gets a key of its own, so that such parts do not meet in one task.
+    own = F.concat_ws(" ", F.lit("none"), F.col("cid").cast("string"), F.col("aid").cast("string"))
+    keyed = named.drop("_tracks", "_entries", "_track").withColumn("_key", F.coalesce("subtitle_url", own))
+    texts = bodies.select(F.col("url").alias("_key"), F.col("payload").alias("_body"))
+    opened = keyed.join(texts, "_key", "left").withColumn("_items", F.from_json("_body", BODY_SCHEMA)["body"])
+    cleaned = opened.withColumn("_lines", clean_lines(F.col("_items")))
     error = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
+        F.when(F.col("_early").isNotNull(), F.col("_early"))
         .when(F.col("_body").isNull(), "no body")
         .when(F.col("_items").isNull(), "missing body")
-        .when(F.size("lines") == 0, "no content lines")
+        .when(F.size("_lines") == 0, "no content lines")
+    )
+    checked = cleaned.withColumn("error", error)
+    lines = F.when(F.col("error").isNull(), F.col("_lines"))
+    return checked.select(*parts.columns, "subtitle_url", lines.alias("lines"), "error")
+
+
+def caption_tracks(
+    context: DataFrame, tracks: DataFrame, bodies: DataFrame, language: str = DEFAULT_LANGUAGE
+) -> DataFrame:
+    """Context rows with ``subtitle_url`` and ``lines``, the cleaned texts of the chosen track.
+
+    Tracks and bodies are looked up once per part, however many links name it.
+    """
+    wanted = context.where("error is null").groupBy("cid", "aid").agg(F.max("frequent").alias("_often"))
+    found = track_lines(wanted, tracks, bodies, language).withColumnRenamed("error", "_late")
+    joined = spread_join(
+        context, found, ["cid", "aid"], ["src", "pos"], F.col("frequent"), F.col("_often")
     )
-    checked = lines.withColumn("error", error)
-    return checked.withColumn("lines", F.when(F.col("error").isNull(), F.col("lines"))).drop("_body", "_items")
+    return joined.withColumn("error", F.coalesce("error", "_late")).drop("_late", "_often")
 
 
 def clean_lines(items: Column) -> Column:

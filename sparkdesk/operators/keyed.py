@@ -52,47 +52,60 @@ def ordered_union(direct: Sequence[DataFrame], configured: Sequence[DataFrame] =
     return first_per_key(whole.where(~is_blank(F.col("url"))), ["url"], [F.col("src"), F.col("pos")])
 
 
-def hot_keys(df: DataFrame, key_hash: Column, min_rows: int, share: int) -> Column:
-    """Hashes of at most ``share`` frequent keys, as a scalar subquery.
-
-    One pass with a frequency sketch per task; only a missed or a needless
-    split can follow from its error, never a wrong row.
+def frequent_key(
+    df: DataFrame, on: Sequence[str], min_rows: int = 1_000_000, share: int = 64
+) -> Column:
+    """Whether a row's key is one of at most ``share`` frequent keys of ``df``; rows without a key count as one.
+
+    A scalar subquery over the key columns alone: one pass with a frequency
+    sketch per task. Only a missed or a needless split can follow from the sketch's
+    error, never a wrong row. The condition fits any frame with the same key columns.
     """
+    key_hash = F.xxhash64(*[column(k) for k in on])
     top = df.select(key_hash.alias("_h")).agg(
         F.expr(
             f"transform(filter(approx_top_k(_h, {share}), "
             f"x -> x.count >= greatest({min_rows}, count(*) div {share})), x -> x.item)"
         )
     )
-    return top.scalar()
+    return F.coalesce(F.array_contains(top.scalar(), key_hash), F.lit(False))
 
 
-def spread_lookup(
+def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     spread: Sequence[str],
+    left_hot: Column,
+    right_hot: Column,
     how: str = "left",
     splits: int = 32,
-    min_rows: int = 1_000_000,
-    share: int = 64,
 ) -> DataFrame:
-    """Join many rows to a table on a key that may be very uneven on the left.
+    """Equi-join that sends the left rows of hot keys to ``splits`` tasks.
 
-    Rows of a frequent key, and rows without a key, go to ``splits`` tasks by a
-    hash of ``spread``, the columns that tell left rows apart; only the right rows
-    of those keys are repeated. Small right sides are still broadcast by the
-    optimiser, which knows their size.
+    They are split by a hash of ``spread``, columns that tell left rows apart, so a retried
+    task splits them alike. Right rows of hot keys are repeated for each part. Whatever a
+    left row calls hot must be hot on the right.
     """
-    key_hash = F.xxhash64(*[column(k) for k in on])
-    hot = hot_keys(left, key_hash, min_rows, share)
     salt = F.pmod(F.xxhash64(*[column(c) for c in spread]), F.lit(splits)).cast("int")
-    split_left = left.withColumn("_salt", F.when(F.array_contains(hot, key_hash), salt).otherwise(0))
-    salts = F.when(F.array_contains(hot, key_hash), F.sequence(F.lit(0), F.lit(splits - 1)))
-    split_right = right.withColumn("_salt", F.explode(salts.otherwise(F.array(F.lit(0)))))
+    salts = F.when(right_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
+    split_left = left.withColumn("_salt", F.when(left_hot, salt).otherwise(0))
+    split_right = right.withColumn("_salt", F.explode(salts))
     return split_left.join(split_right, [*on, "_salt"], how).drop("_salt")
 
 
+def spread_lookup(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "left", **sketch: int
+) -> DataFrame:
+    """``spread_join`` with the frequent keys of ``left`` as the hot ones.
+
+    ``left`` is read a second time for its keys, so give a frame near its scan. A small
+    right side is still broadcast by the optimiser, which knows its size.
+    """
+    hot = frequent_key(left, on, **sketch)
+    return spread_join(left, right, on, spread, hot, hot, how)
+
+
 def running_count(
     df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], flag: Column, out: str
 ) -> DataFrame:

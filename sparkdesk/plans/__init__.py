@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("cells", "strings", "jsons")
+MODULES = ("export", "cells", "strings", "jsons", "orders", "captions", "jobs", "tokens", "streams")
 
 
 def _collect(attribute: str) -> dict:

@@ -52,3 +52,117 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("remark"),
         "requested_at",
     )
+
+
+def video_id(number):
+    return F.concat(F.lit("BV"), F.lpad(number.cast("string"), 10, "0"))
+
+
+def urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Links to videos from page links: two links per video, some without an id."""
+    tail = F.regexp_extract("url", r"[?#].*$", 0)
+    path = F.when(F.col("page_id") % 20 == 7, "watch").otherwise(F.concat(F.lit("video/"), video_id(F.floor(F.col("page_id") / 2))))
+    return table(spark, folder, "pages").select(
+        F.concat(F.lit("https://v.example.com/"), path, tail).alias("url"), F.lit(0).alias("src"), F.col("page_id").alias("pos")
+    )
+
+
+def views(spark: SparkSession, folder: str) -> DataFrame:
+    """``(bvid, payload)`` per conversation: failures, absent ids and absent titles among them."""
+    conv = F.col("conv_id")
+    pages = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), 1 + conv % 3),
+        lambda i: F.struct(
+            F.when((i == 2) & (conv % 5 == 1), 0).otherwise(conv * 100 + i).alias("cid"),
+            F.when(i == 1, F.lit("Part: one")).when(i == 2, F.lit(" ")).otherwise(F.substring("text", 1, 40)).alias("part"),
+        ),
+    )
+    data = F.struct(
+        F.when(conv % 19 == 5, 0).otherwise(conv + 1).alias("aid"),
+        (conv * 100 + 50).alias("cid"),
+        F.when(conv % 7 != 2, F.substring("text", 1, 40)).alias("title"),
+        pages.alias("pages"),
+    )
+    failed = conv % 17 == 3
+    payload = F.struct(
+        F.when(failed, -404).otherwise(0).alias("code"), F.when(failed, "not found").otherwise("OK").alias("message"),
+        F.when(~failed, data).alias("data"),
+    )
+    first = table(spark, folder, "conversations").where("turn = 0")
+    return first.select(video_id(conv).alias("bvid"), F.to_json(payload).alias("payload"))
+
+
+# Track lists by ``cid % 5``: (lan, lan_doc) in order.
+TRACKS = (
+    (),
+    (("en", "English"), ("zh-CN", "中文（中国）")),
+    (("ja", "日本語"), ("xx", "中文（自动）")),
+    (("en", "English"), ("ja", "日本語")),
+    (("en", "English"), ("zh", "")),
+)
+
+
+def tracks(spark: SparkSession, folder: str) -> DataFrame:
+    """``(cid, aid, payload)`` for the first turns of a conversation and for the conversation itself."""
+    talks = table(spark, folder, "conversations")
+    conv = F.col("conv_id")
+    parts = talks.where("turn < 3").select("conv_id", (conv * 100 + F.col("turn") + 1).alias("cid"))
+    whole = talks.where("turn = 0").select("conv_id", (conv * 100 + 50).alias("cid"))
+
+    def entry(lan: str, words: str):
+        link = F.concat(F.lit("//s.example.com/" if lan != "en" else "http://s.example.com/"), F.col("cid"), F.lit(f"/{lan}.json"))
+        return F.struct(
+            F.lit(lan).alias("lan"), F.lit(words).alias("lan_doc"), (F.lit(" ") if lan == "zh" else link).alias("subtitle_url")
+        )
+
+    choice = F.when(F.lit(False), F.array(entry("", "")))
+    for key, entries in enumerate(TRACKS):
+        made = F.array(*[entry(*e) for e in entries]) if entries else F.slice(F.array(entry("", "")), 1, 0)
+        choice = choice.when(F.col("cid") % 5 == key, made)
+    payload = F.struct(F.lit(0).alias("code"), F.struct(F.struct(choice.alias("subtitles")).alias("subtitle")).alias("data"))
+    return parts.unionByName(whole).select("cid", (conv + 1).alias("aid"), F.to_json(payload).alias("payload"))
+
+
+def bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """``(url, payload)``: the lines of each turn as one caption file per language; every seventh is empty."""
+    conv = F.col("conv_id")
+    lines = F.transform(F.split("text", "\n"), lambda t: F.named_struct(F.lit("content"), F.concat(F.lit(" \t"), t, F.lit(" "))))
+    noise = F.array(F.struct(F.lit("  ").alias("content")), F.struct(F.lit(None).cast("string").alias("content")))
+    kept = F.when(conv % 7 == 6, noise).otherwise(F.concat(noise, lines))
+    langs = F.explode(F.array(*[F.lit(x) for x in ("en", "zh-CN", "ja", "xx")])).alias("lan")
+    talks = table(spark, folder, "conversations").select("conv_id", "turn", kept.alias("body"))
+    talks = talks.select("conv_id", "turn", F.to_json(F.struct("body")).alias("payload"), langs)
+    link = F.concat(F.lit("https://s.example.com/"), conv * 100 + F.col("turn") + 1, F.lit("/"), F.col("lan"), F.lit(".json"))
+    return talks.select(link.alias("url"), "payload")
+
+
+def job_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as updates of one submission per user: a signup inserts, the others set one group of fields."""
+    kind = (
+        F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "click", "application_id")
+        .when(F.col("event_type") == "view", "launcher_state").when(F.col("event_type") == "purchase", "yarn_status")
+        .otherwise("last_error")
+    )
+    return table(spark, folder, "events").select(*job_log_columns(kind))
+
+
+def job_log_columns(kind) -> list:
+    k = F.get_json_object("props", "$.k").cast("int")
+
+    def only(which: str, value):
+        return F.when(kind == which, value)
+
+    return [
+        F.concat(F.lit("sub-"), "user_id").alias("submission_id"),
+        "event_id",
+        "ts",
+        kind.alias("kind"),
+        only("insert", F.concat(F.lit("job-"), "event_id")).alias("job_name"),
+        only("insert", F.when(k % 2 == 0, "root.batch").otherwise("root.adhoc")).alias("queue"),
+        only("application_id", F.when(k % 10 != 0, F.concat(F.lit("application_"), k, F.lit("_"), "user_id"))).alias("application_id"),
+        only("launcher_state", F.when(k % 3 == 0, "RUNNING").when(k % 3 == 1, "CONNECTED")).alias("launcher_state"),
+        only("yarn_status", F.when(k < 50, "RUNNING").otherwise("FINISHED")).alias("yarn_state"),
+        only("yarn_status", F.when(k >= 50, "SUCCEEDED")).alias("final_status"),
+        only("yarn_status", F.concat(F.lit("http://rm/"), k)).alias("tracking_url"),
+        only("last_error", F.concat(F.lit("code "), k)).alias("last_error"),
+    ]
