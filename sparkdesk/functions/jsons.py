@@ -152,8 +152,7 @@ def _field_tail(c: Column, name: str) -> Column:
     root = F.when(_starts(c, "{") | _starts(c, "["), F.get_json_object(c, "$"))
     key = re.escape(json.dumps(name, ensure_ascii=False) + ":")
     token = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    tail = F.regexp_extract(root, rf'(?s)^(?:[^"]++|(?!{key}){token})*+{key}(.*)$', 1)
-    return F.when(tail != "", tail)
+    return F.nullif(F.regexp_extract(root, rf'(?s)^(?:[^"]++|(?!{key}){token})*+{key}(.*)$', 1), F.lit(""))
 
 
 def _field_text(tail: Column) -> Column:

@@ -16,30 +16,24 @@ UNTITLED = "untitled"
 
 def extract_video_id(url: Column, pattern: str = VIDEO_ID) -> Column:
     """First match of the pattern's first group, or null."""
-    found = F.regexp_extract(url, pattern, 1)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(url, pattern, 1), F.lit(""))
 
 
 def query_value(url: Column, name: str) -> Column:
     """Decoded value of the first query key of that name; null when absent or the URL is unreadable."""
-    query = F.try_parse_url(url, F.lit("QUERY"))
     pairs = F.filter(
-        F.split(query, "&"),
+        F.split(F.try_parse_url(url, F.lit("QUERY")), "&"),
         lambda part: ~is_blank(part) & (F.try_url_decode(F.substring_index(part, "=", 1)) == name),
     )
-    first = F.try_element_at(pairs, F.lit(1))
-    cut = F.locate("=", first)
-    return F.when(cut > 0, F.try_url_decode(first.substr(cut + 1, F.length(first)))).when(cut == 0, F.lit(""))
+    values = F.transform(pairs, lambda part: F.try_url_decode(F.regexp_replace(part, "^[^=]*=?", "")))
+    return F.try_element_at(values, F.lit(1))
 
 
 def url_page_index(url: Column, page_count: Column | None = None, name: str = "p") -> Column:
     """1-based page of a URL: 1 where it is missing, bad or not positive; at most ``page_count``."""
-    text = query_value(url, name)
-    number = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
-    page = F.when(number > 0, number).otherwise(1)
-    if page_count is None:
-        return page
-    return F.greatest(F.lit(1), F.least(page, page_count))
+    digits = F.regexp_extract(query_value(url, name), r"\A[+-]?[0-9]+\z", 0)
+    page = F.coalesce(digits.try_cast("int"), F.lit(1))
+    return F.greatest(F.lit(1), page if page_count is None else F.least(page, page_count))
 
 
 def https_url(url: Column) -> Column:
@@ -49,8 +43,8 @@ def https_url(url: Column) -> Column:
 def safe_file_name(c: Column) -> Column:
     name = F.regexp_replace(c, INVALID_NAME_CHARS, "_")
     name = trim_ctl(F.regexp_replace(name, r"\s+", " "))
-    name = F.rtrim(name, F.lit("."))
-    return F.substring(F.when(is_blank(name), UNTITLED).otherwise(name), 1, NAME_LIMIT)
+    name = F.regexp_replace(F.rtrim(name, F.lit(".")), r"\A\p{javaWhitespace}*\z", UNTITLED)
+    return F.substring(name, 1, NAME_LIMIT)
 
 
 def doc_base_name(title: Column, page_index: Column, page_count: Column, part: Column) -> Column:

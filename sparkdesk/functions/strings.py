@@ -23,7 +23,7 @@ ERROR_SNIPPET_CHARS = 240
 
 
 def is_empty(c: Column) -> Column:
-    return c.isNull() | (c == "")
+    return F.coalesce(c, F.lit("")) == ""
 
 
 def is_not_empty(c: Column) -> Column:
@@ -32,7 +32,7 @@ def is_not_empty(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Null, empty, or only Java whitespace (a no-break space does not count)."""
-    return c.isNull() | (F.ltrim(c, F.lit(JAVA_WHITESPACE)) == "")
+    return F.coalesce(F.ltrim(c, F.lit(JAVA_WHITESPACE)), F.lit("")) == ""
 
 
 def is_not_blank(c: Column) -> Column:

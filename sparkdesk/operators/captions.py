@@ -19,9 +19,10 @@ from sparkdesk.operators.keyed import first_per_key, frequent_key, spread_join
 MISSING_CODE = -(1 << 31)
 CHINESE_CODE, CHINESE_WORD = "zh", "中文"
 DEFAULT_LANGUAGE = "zh"
-VIEW_SCHEMA = "data struct<aid:string,cid:string,title:string,pages:array<struct<cid:string,part:string>>>"
-TRACK_SCHEMA = "data struct<subtitle:struct<subtitles:array<struct<lan:string,lan_doc:string,subtitle_url:string>>>>"
-BODY_SCHEMA = "body array<struct<content:string>>"
+# List entries are read as variants: one of an unexpected type must not spoil its list.
+VIEW_SCHEMA = "data struct<aid:string,cid:string,title:string,pages:array<variant>>"
+TRACK_SCHEMA = "data struct<subtitle:struct<subtitles:array<variant>>>"
+BODY_SCHEMA = "body array<variant>"
 
 LINES_PER_PIECE = 4096
 
@@ -45,10 +46,11 @@ def api_error(payload: Column) -> Column:
 def select_part(pages: Column, index: Column, video_cid: Column) -> Column:
     """struct<cid, part> of a page: its own id, else the video's, else null; a blank part name is null."""
     page = F.try_element_at(pages, index)
-    own = page["cid"].try_cast("bigint")
+    own = F.try_variant_get(page, "$.cid", "bigint")
+    part = F.try_variant_get(page, "$.part", "string")
     fallback = video_cid.try_cast("bigint")
     cid = F.when(own > 0, own).when(fallback > 0, fallback)
-    return F.struct(cid.alias("cid"), F.when(~is_blank(page["part"]), page["part"]).alias("part"))
+    return F.struct(cid.alias("cid"), F.when(~is_blank(part), part).alias("part"))
 
 
 def caption_context(
@@ -116,25 +118,36 @@ def pick_track(
 
 
 def pick_track_in(tracks: Column, language: str = DEFAULT_LANGUAGE) -> Column:
-    """The same choice inside an array of tracks, without a shuffle. Entries that are no object are null."""
-    entries = F.filter(tracks, lambda t: t.isNotNull())
-    best = [
-        F.try_element_at(F.filter(entries, lambda t, n=n: track_tier(t["lan"], t["lan_doc"], language) == n), F.lit(1))
-        for n in (1, 2, 3)
-    ]
-    return F.coalesce(*best)
+    """The same choice inside an array of tracks, without a shuffle."""
+
+    def first_of(tier: int) -> Column:
+        fits = F.filter(tracks, lambda t: track_tier(t["lan"], t["lan_doc"], language) == tier)
+        return F.try_element_at(fits, F.lit(1))
+
+    return F.coalesce(*[first_of(tier) for tier in (1, 2, 3)])
+
+
+def track_entries(tracks: Column) -> Column:
+    """array<struct<lan, lan_doc, subtitle_url>> of the objects in a landed list."""
+    objects = F.filter(tracks, lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
+    names = ("lan", "lan_doc", "subtitle_url")
+    return F.transform(
+        objects,
+        lambda v: F.named_struct(*[x for n in names for x in (F.lit(n), F.try_variant_get(v, f"$.{n}", "string"))]),
+    )
 
 
 def track_lines(parts: DataFrame, tracks: DataFrame, bodies: DataFrame, language: str = DEFAULT_LANGUAGE) -> DataFrame:
     """Distinct parts ``(cid, aid, ...)`` with ``subtitle_url``, ``lines`` and ``error`` of their chosen track."""
     seen = parts.join(tracks.select("cid", "aid", F.col("payload").alias("_tracks")), ["cid", "aid"], "left")
-    entries = F.from_json("_tracks", TRACK_SCHEMA)["data"]["subtitle"]["subtitles"]
-    picked = seen.withColumn("_entries", entries).withColumn("_track", pick_track_in(F.col("_entries"), language))
+    landed = F.from_json("_tracks", TRACK_SCHEMA)["data"]["subtitle"]["subtitles"]
+    listed = seen.withColumn("_landed", landed).withColumn("_entries", track_entries(F.col("_landed")))
+    picked = listed.withColumn("_track", pick_track_in(F.col("_entries"), language))
     link = F.col("_track")["subtitle_url"]
     no_track = (
         F.when(F.col("_tracks").isNull(), "no track list")
         .when(~api_code_ok(F.col("_tracks")), F.concat(F.lit("track list failed: "), api_error(F.col("_tracks"))))
-        .when(F.coalesce(F.size("_entries"), F.lit(0)) <= 0, "no tracks")
+        .when(F.coalesce(F.size("_landed"), F.lit(0)) <= 0, "no tracks")
         .when(F.col("_track").isNull(), "no usable track")
         .when(is_blank(link), "empty track url")
     )
@@ -143,7 +156,7 @@ def track_lines(parts: DataFrame, tracks: DataFrame, bodies: DataFrame, language
     )
     # A part without a URL gets a key of its own, so that such parts do not meet in one task.
     own = F.concat_ws(" ", F.lit("none"), F.col("cid").cast("string"), F.col("aid").cast("string"))
-    keyed = named.drop("_tracks", "_entries", "_track").withColumn("_key", F.coalesce("subtitle_url", own))
+    keyed = named.drop("_tracks", "_landed", "_entries", "_track").withColumn("_key", F.coalesce("subtitle_url", own))
     texts = bodies.select(F.col("url").alias("_key"), F.col("payload").alias("_body"))
     opened = keyed.join(texts, "_key", "left").withColumn("_items", F.from_json("_body", BODY_SCHEMA)["body"])
     cleaned = opened.withColumn("_lines", clean_lines(F.col("_items")))
@@ -174,8 +187,8 @@ def caption_tracks(
 
 
 def clean_lines(items: Column) -> Column:
-    """Trimmed, non-blank contents of an array of entries, in order."""
-    texts = F.transform(F.filter(items, lambda x: x.isNotNull()), lambda x: trim_ctl(x["content"]))
+    """Trimmed, non-blank contents of a landed list of entries, in order."""
+    texts = F.transform(items, lambda v: trim_ctl(F.try_variant_get(v, "$.content", "string")))
     return F.filter(texts, lambda t: ~is_blank(t))
 
 

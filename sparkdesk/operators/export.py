@@ -14,8 +14,10 @@ LEVELS = (
     "NO_COMPRESSION", "BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION"
 )
 
-# Writer options under which Spark's CSV text equals ``csv_lines``.
+# Writer options under which Spark's CSV text equals ``csv_lines``. A cell at the start of a row
+# that begins with the comment sign is quoted; one that begins with a quote is so anyway.
 CSV_OPTIONS = {
+    "comment": '"',
     "escape": '"',
     "nullValue": "",
     "emptyValue": "",

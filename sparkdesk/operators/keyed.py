@@ -18,6 +18,7 @@ from sparkdesk.functions.strings import is_blank, trim_ctl
 from sparkdesk.session import materialise
 
 BUCKET_BITS = 16
+NUMBERED = r"^(.+)_([1-9][0-9]{0,8})$"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -145,28 +146,33 @@ def unique_names(
 
     A name is skipped when it is in ``taken`` (column ``name``, with suffix) or was given
     before, also when it is the plain name of another row (``x_2`` as a title).
-    The result equals the one-by-one process; ``pos`` is a unique whole number.
-    A row without a base gets no name.
+    The result equals the one-by-one process; ``pos`` is a unique whole number. A row
+    without a base gets no name.
+
+    Only bases and positions, written once, go through the ranking; the rows
+    themselves are joined to their names by position.
     """
-    nameless = df.where(column(base).isNull()).withColumn(out, F.lit(None).cast("string"))
-    items = rank_in_key(df.where(column(base).isNotNull()), [base], pos, "_rank")
-    firsts = df.where(column(base).isNotNull()).groupBy(column(base).alias("_base")).agg(F.min(pos).alias("_first"))
-    number = F.regexp_extract("_base", r"^(.+)_([1-9][0-9]{0,8})$", 2)
-    numbered = firsts.withColumn("_k", F.when(number != "", number.cast("bigint"))).where("_k >= 2").select(
-        F.regexp_extract("_base", r"^(.+)_([1-9][0-9]{0,8})$", 1).alias("_parent"), "_base", "_first", "_k"
-    )
+    rows = df.where(column(base).isNotNull()).select(column(base).alias("_base"), column(pos).alias("_pos"))
+    rows = materialise(rows, "names")
+    items = rank_in_key(rows, ["_base"], "_pos", "_rank")
+    firsts = rows.groupBy("_base").agg(F.min("_pos").alias("_first"))
+    number = F.regexp_extract("_base", NUMBERED, 2)
+    numbered = firsts.where(number != "").select(
+        F.regexp_extract("_base", NUMBERED, 1).alias("_parent"), "_base", "_first", number.cast("bigint").alias("_k")
+    ).where("_k >= 2")
     parents = firsts.select(F.col("_base").alias("_parent"))
     edges = spread_lookup(numbered, parents, ["_parent"], ["_base"], "inner")
     fixed = None
     if taken is not None:
         fixed, edges = _taken_names(firsts, edges, taken, suffix)
-    blocks = _settle(items.select(column(base).alias("_base"), "_rank", F.col(pos).alias("_pos")), edges, fixed)
-    number = F.col("_rank") if blocks is None else F.col("_rank") + F.col("_shift")
-    if blocks is not None:
-        items = _shift(items, base, blocks)
-    name = F.when(number == 1, column(base)).otherwise(F.concat(column(base), F.lit("_"), number.cast("string")))
-    named = items.withColumn(out, F.concat(name, F.lit(suffix))).drop("_rank", "_shift")
-    return named.unionByName(nameless)
+    blocks = _settle(items, edges, fixed)
+    if blocks is None:
+        number = F.col("_rank")
+    else:
+        items, number = _shift(items, blocks), F.col("_rank") + F.col("_shift")
+    name = F.when(number == 1, F.col("_base")).otherwise(F.concat("_base", F.lit("_"), number.cast("string")))
+    names = items.select(F.col("_pos").alias(pos), F.concat(name, F.lit(suffix)).alias(out))
+    return df.join(names, pos, "left")
 
 
 def _taken_names(firsts: DataFrame, edges: DataFrame, taken: DataFrame, suffix: str):
@@ -175,10 +181,10 @@ def _taken_names(firsts: DataFrame, edges: DataFrame, taken: DataFrame, suffix:
         F.expr(f"substring(name, 1, length(name) - {len(suffix)})").alias("_stem")
     ).distinct()
     bases = firsts.select("_base")
-    number = F.regexp_extract("_stem", r"^(.+)_([1-9][0-9]{0,8})$", 2)
+    number = F.regexp_extract("_stem", NUMBERED, 2)
     plain = stem.select(F.col("_stem").alias("_base"), F.lit(1).cast("bigint").alias("_k"))
     counted = stem.where(number != "").select(
-        F.regexp_extract("_stem", r"^(.+)_([1-9][0-9]{0,8})$", 1).alias("_base"), number.cast("bigint").alias("_k")
+        F.regexp_extract("_stem", NUMBERED, 1).alias("_base"), number.cast("bigint").alias("_k")
     ).where("_k >= 2")
     fixed = plain.unionByName(counted).join(bases, "_base", "left_semi")
     open_edges = edges.join(stem, edges["_base"] == stem["_stem"], "left_anti")
@@ -233,12 +239,12 @@ def _blocks(edges: DataFrame, fixed: DataFrame | None, keep_open: bool = False)
     return counted if keep_open else counted.where("_on")
 
 
-def _shift(items: DataFrame, base: str, blocks: DataFrame) -> DataFrame:
+def _shift(items: DataFrame, blocks: DataFrame) -> DataFrame:
     """Rows with the number of blocked names that lie before theirs."""
-    steps = blocks.select(F.col("_base").alias(base), (F.col("_k") - F.col("_skipped")).alias("_at"), F.lit(1).alias("_step"))
+    steps = blocks.select("_base", (F.col("_k") - F.col("_skipped")).alias("_at"), F.lit(1).alias("_step"))
     rows = items.withColumn("_at", F.col("_rank")).withColumn("_step", F.lit(0))
     whole = rows.unionByName(steps, allowMissingColumns=True)
     counted = running_count(
-        whole, [base], high_bits(F.col("_at")), [F.col("_at"), F.col("_step").desc()], F.col("_step"), "_shift"
+        whole, ["_base"], high_bits(F.col("_at")), [F.col("_at"), F.col("_step").desc()], F.col("_step"), "_shift"
     )
     return counted.where("_step = 0").drop("_at", "_step")

@@ -10,7 +10,7 @@ from sparkdesk.operators import captions as C
 from sparkdesk.operators.keyed import ordered_union, unique_names
 from sparkdesk.plans.inputs import bodies, table, tracks, urls, views
 from sparkdesk.plans.sqltext import trimmed
-from sparkdesk.session import scratch_path
+from sparkdesk.session import materialise, scratch_path
 from sparkdesk.sources.link_lists import url_source
 
 
@@ -142,9 +142,9 @@ def text_docs(spark: SparkSession, d: str) -> DataFrame:
     """The finished caption documents, written under their names and read back."""
     path = scratch_path(spark, "captions")
     done = C.caption_names(_items(spark, d)).where("error is null")
-    named = unique_names(done.select("pos", "base_name", F.array_join("lines", "\n").alias("doc")), "base_name", "pos")
-    C.write_text_docs(named, path)
-    files = spark.read.option("wholetext", "true").text(path)
+    docs = materialise(done.select("pos", "base_name", F.array_join("lines", "\n").alias("doc")), "captions-done")
+    C.write_text_docs(unique_names(docs, "base_name", "pos"), path)
+    files = spark.read.text(path, wholetext=True)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "/name=([^/]*)/", 1)
     return files.select(F.url_decode(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))).alias("name"), F.col("value").alias("doc"))
 
