@@ -155,19 +155,20 @@ def _field_tail(c: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(root, rf'(?s)^(?:[^"]++|(?!{key}){token})*+{key}(.*)$', 1), F.lit(""))
 
 
-def _field_text(tail: Column) -> Column:
-    return F.when(tail.isNotNull(), F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), tail), "$.v"), F.lit("null")))
+def _value_text(tail: Column) -> Column:
+    return F.get_json_object(F.concat(F.lit('{"v":'), tail), "$.v")
 
 
 def json_find(c: Column, name: str) -> Column:
     """The first field of that name at any depth, as text; a container reads as an empty text."""
-    tail = _field_tail(c, name)
-    return F.when(F.substring(tail, 1, 1).isin("{", "["), "").otherwise(_field_text(tail))
+    tail = F.regexp_replace(_field_tail(c, name), r"(?s)\A[{\[].*", '""}')
+    return _value_text(F.regexp_replace(tail, r"\Anull", '"null"'))
 
 
 def json_node_string(c: Column, name: str) -> Column:
     """As ``json_find``, but a container reads as its JSON and a missing field as an empty text."""
-    return F.coalesce(_field_text(_field_tail(c, name)), F.lit(""))
+    tail = F.regexp_replace(_field_tail(c, name), r"\Anull", '"null"')
+    return F.coalesce(_value_text(tail), F.lit(""))
 
 
 def json_text_or(c: Column, path: str, default) -> Column:

@@ -75,17 +75,13 @@ def _unicode_escape(code: Column) -> Column:
 def _escape_char(ch: Column) -> Column:
     code = F.ascii(ch).cast("bigint")
     above = code - 0x10000
-    short = F.when(ch == "\b", "\\b")
-    for raw, text in {"\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r", '"': '\\"', "\\": "\\\\"}.items():
-        short = short.when(ch == raw, text)
-    return (
-        short.when((code >= 0x20) & (code <= 0x7F), ch)
-        .when(code <= 0xFFFF, _unicode_escape(code))
-        .otherwise(
-            F.concat(
-                _unicode_escape(F.shiftright(above, 10) + 0xD800),
-                _unicode_escape(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00),
-            )
+    rule = F.when(ch == "\b", "\\b")
+    for raw, text in {"\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}.items():
+        rule = rule.when(ch == raw, text)
+    return rule.when(code <= 0xFFFF, _unicode_escape(code)).otherwise(
+        F.concat(
+            _unicode_escape(F.shiftright(above, 10) + 0xD800),
+            _unicode_escape(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00),
         )
     )
 
@@ -93,12 +89,12 @@ def _escape_char(ch: Column) -> Column:
 def escape_java(c: Column) -> Column:
     """Backslash escapes for quotes, control and non-ASCII characters.
 
-    Only values that hold such a character are taken apart.
+    A text is replaced once per distinct special character it holds, backslashes
+    and quotes first, as the other escapes hold a backslash.
     """
-    return F.when(
-        c.rlike(r'[^ -\x7f]|["\\]'),
-        F.array_join(F.transform(F.split(c, ""), _escape_char), ""),
-    ).otherwise(c)
+    plain = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    special = F.array_distinct(F.regexp_extract_all(c, F.lit(r"[^ -\x7f]"), F.lit(0)))
+    return F.aggregate(special, plain, lambda text, ch: F.replace(text, ch, _escape_char(ch)))
 
 
 def csv_escape(c: Column) -> Column:

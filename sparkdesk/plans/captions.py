@@ -26,8 +26,9 @@ def read_urls(spark: SparkSession, d: str) -> DataFrame:
     )
     pages.select(line.alias("value")).write.text(path)
     arrays = scratch_path(spark, "link-arrays")
-    item = F.concat(F.lit('[" '), "url", F.lit('", 5, null, "", "'), "url", F.lit('#2"]'))
-    pages.select(item.alias("value"), "page_id").write.partitionBy("page_id").text(arrays)
+    item = F.concat(F.lit('" '), "url", F.lit('", 5, null, "", "'), "url", F.lit('#2"'))
+    fifty = pages.groupBy(F.floor(F.col("page_id") / 50).alias("part")).agg(F.array_join(F.collect_list(item), ",\n").alias("items"))
+    fifty.select("part", F.concat(F.lit("["), "items", F.lit("]")).alias("value")).write.partitionBy("part").text(arrays)
     return url_source(spark, [path, f"{arrays}/*"]).select("url")
 
 

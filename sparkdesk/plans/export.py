@@ -15,7 +15,7 @@ from sparkdesk.plans.inputs import table
 from sparkdesk.plans.orders import REQUESTS_SQL, priced
 from sparkdesk.plans.sqltext import escaped, iso_instant, iso_local
 from sparkdesk.session import scratch_path
-from sparkdesk.sources.demo import demo_columns
+from sparkdesk.sources.demo import FACTOR, FOLD, MASK, STREAMS, demo_columns, stream_start
 from sparkdesk.sources.seeds import seed_orders
 from sparkdesk.sources.tables import scan
 
@@ -131,16 +131,23 @@ QUERIES = {
 _DOCS = "select doc_id::varchar as doc_id, text, lang, source, n_chars::varchar as n_chars from documents"
 
 
-def _hex(name: str, first: int, digits: int, of: str = "") -> str:
-    digest = of or f"md5('1234567:{name}:' || r::varchar)"
-    return f"('0x' || substr({digest}, {first}, {digits}))::bigint"
+def _mixed_sql() -> str:
+    """The hash streams of the generated table, stage by stage."""
+    start = ", ".join(f"((r & {MASK}) + {stream_start(1234567, n)}) & {MASK} as {n}" for n in STREAMS)
+    stages = [f"s0 as (select (r >> 31) & {MASK} as high, {start} from (select l_orderkey * 8 + l_linenumber as r from lineitem))"]
+    for turn in range(3):
+        mixed = {n: f"(xor({n}, {n} >> {FOLD}) * {FACTOR}) & {MASK}" for n in STREAMS}
+        columns = ", ".join(f"xor({c}, high) as {n}" if turn == 0 else f"{c} as {n}" for n, c in mixed.items())
+        stages.append(f"s{turn + 1} as (select high, {columns} from s{turn})")
+    stages.append("m as (select " + ", ".join(f"xor({n}, {n} >> {FOLD}) as {n}" for n in STREAMS) + " from s3)")
+    return ", ".join(stages)
 
 
 def _made(name: str, value: str) -> str:
-    return f"case when {_hex(name, 1, 7)} % 10 <> 0 then {value} end as {name}"
+    return f"case when {name}_null % 10 <> 0 then {value} end as {name}"
 
 
-_BIN = " || ".join(f"chr(({_hex('bin', 2 * i + 1, 2, 'h')} % 94 + 33)::int)" for i in range(16))
+_BIN = " || ".join(f"chr((bin_{part} // {94**i} % 94 + 33)::int)" for part in "abcd" for i in range(4))
 
 ORACLE = {
     "scan_parquet": f"select * exclude (l_shipdate), {iso_local('l_shipdate')} as l_shipdate from lineitem",
@@ -155,14 +162,13 @@ ORACLE = {
     "write_parquet": "select * from documents",
     "export": "select page_id::varchar as page_id, url, html, 'csv' as format from pages",
     "generate_demo": f"""
-        with k as (select l_orderkey * 8 + l_linenumber as r from lineitem),
-        m as (select r, md5(md5('1234567:bin:' || r::varchar)) as h from k)
-        select {_made('i32', f"({_hex('i32', 9, 8)} - 2147483648)::int")},
-               {_made('i64', f"({_hex('i64', 9, 8)} - 2147483648) * 4294967296 + {_hex('i64', 17, 8)}")},
-               {_made('t96', iso_instant(f"make_timestamp((1704067200000 + {_hex('t96', 9, 13)} % 1000000) * 1000)"))},
-               {_made('f32', f"({_hex('f32', 9, 6)} / 16777216.0::double)::float")},
-               {_made('b', f"{_hex('b', 9, 1)} % 2 = 0")},
-               {_made('d64', f"{_hex('d64', 9, 13)}::double / 4503599627370496::double")},
+        with {_mixed_sql()}
+        select {_made('i32', "(i32_a * 2 + i32_b % 2 - 2147483648)::int")},
+               {_made('i64', "(i64_a * 2147483648 + i64_b - 2305843009213693952) * 4 + i64_c % 4")},
+               {_made('t96', iso_instant("make_timestamp((1704067200000 + t96_a % 1000000) * 1000)"))},
+               {_made('f32', "((f32_a >> 7) / 16777216.0::double)::float")},
+               {_made('b', "b_a % 2 = 0")},
+               {_made('d64', "((d64_a * 2147483648 + d64_b) >> 9)::double / 9007199254740992::double")},
                {_made('bin', f"to_base64(encode({_BIN}))")}
         from m""",
     "write_int96": f"select event_id, {iso_instant('ts')} as ts from events",

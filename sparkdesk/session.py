@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A generated method above 8000 bytes is never compiled by the JVM; fall back to smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
