@@ -24,7 +24,7 @@ VIEW_SCHEMA = "data struct<aid:string,cid:string,title:string,pages:array<varian
 TRACK_SCHEMA = "data struct<subtitle:struct<subtitles:array<variant>>>"
 BODY_SCHEMA = "body array<variant>"
 
-LINES_PER_PIECE = 4096
+PIECE_BITS = 12
 
 
 def api_code(payload: Column) -> Column:
@@ -203,21 +203,28 @@ def caption_names(items: DataFrame) -> DataFrame:
     return items.withColumn("base_name", F.when(F.col("error").isNull(), base))
 
 
-def caption_doc(lines: DataFrame, item: str, pos: str, text: str) -> DataFrame:
-    """``(item, line_count, doc)``: lines in order, joined with newlines.
+def _joined(order: str, value: str) -> Column:
+    entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
+    return F.array_join(F.transform(entries, lambda e: e["v"]), "\n", "")
+
+
+def caption_pieces(lines: DataFrame, item: str, pos: str, text: str) -> DataFrame:
+    """``(item, piece, line_count, text)``: the lines of each 4,096 positions, in order, joined with newlines.
 
-    Lines are first joined in pieces of bounded length, so a long document is
-    sorted and joined in many tasks; only its finished pieces meet in one.
+    However long a document is, a piece is short; use this where a whole one may not fit in a row.
     ``pos`` is a whole number and unique in its item.
     """
-    piece = F.floor(F.col(pos) / LINES_PER_PIECE).alias("_piece")
+    piece = F.shiftright(F.col(pos).cast("bigint"), PIECE_BITS).alias("piece")
+    return lines.groupBy(item, piece).agg(F.count("*").alias("line_count"), _joined(pos, text).alias("text"))
 
-    def joined(order: str, value: str) -> Column:
-        entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-        return F.array_join(F.transform(entries, lambda e: e["v"]), "\n", "")
 
-    pieces = lines.groupBy(item, piece).agg(joined(pos, text).alias("_text"), F.count("*").alias("_n"))
-    return pieces.groupBy(item).agg(F.sum("_n").alias("line_count"), joined("_piece", "_text").alias("doc"))
+def caption_doc(lines: DataFrame, item: str, pos: str, text: str) -> DataFrame:
+    """``(item, line_count, doc)``: lines in order, joined with newlines.
+
+    Sorting and joining is done piece by piece in many tasks; only finished pieces meet.
+    """
+    pieces = caption_pieces(lines, item, pos, text)
+    return pieces.groupBy(item).agg(F.sum("line_count").alias("line_count"), _joined("piece", "text").alias("doc"))
 
 
 def item_outcomes(items: DataFrame, error: str = "error") -> DataFrame:

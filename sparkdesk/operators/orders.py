@@ -164,7 +164,7 @@ def decide(orders: DataFrame, rules: DataFrame, tier: str = "customer_tier", amo
     known = F.when(F.col(tier).isin("PLATINUM", "GOLD"), F.col(tier)).otherwise("OTHER")
     table = F.broadcast(rules.withColumnRenamed("tier", "_tier"))
     fits = (known == F.col("_tier")) & (F.col(amount) >= F.col("lo")) & (F.col(amount) < F.col("hi"))
-    return orders.join(table, fits).drop("_tier", "lo", "hi")
+    return orders.join(table, fits, "left").drop("_tier", "lo", "hi")
 
 
 def find_order(orders: DataFrame, order_no: str) -> DataFrame:
@@ -187,9 +187,13 @@ def latest_orders(orders: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def append_orders(orders: DataFrame, path: str) -> None:
-    """Add order rows to the table, in one folder per UTC day of creation."""
+    """Add order rows to the table, in one folder per UTC day of creation.
+
+    The rows are rebalanced by day: few files per day, and several tasks for a large one.
+    """
     day = F.to_date(F.substring(F.col("order_no"), 4, 8), "yyyyMMdd")
-    orders.withColumn("order_day", day).write.mode("append").partitionBy("order_day").parquet(path)
+    by_day = orders.withColumn("order_day", day).hint("rebalance", F.col("order_day"))
+    by_day.write.mode("append").partitionBy("order_day").parquet(path)
 
 
 def violation_summary(requests: DataFrame) -> DataFrame:

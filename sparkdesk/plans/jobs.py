@@ -9,6 +9,7 @@ from sparkdesk.functions.cells import local_timestamp_text
 from sparkdesk.operators import jobs as J
 from sparkdesk.plans.inputs import job_log
 from sparkdesk.plans.sqltext import iso_local
+from sparkdesk.session import materialise
 
 def shown(df: DataFrame) -> DataFrame:
     return df.withColumns({name: local_timestamp_text(F.col(name)) for name in ("created_at", "updated_at")})
@@ -34,7 +35,8 @@ def reports(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_status(spark: SparkSession, d: str) -> DataFrame:
-    return shown(J.job_status(records(spark, d), reports(spark, d), "http://router:8089"))
+    kept = materialise(records(spark, d), "job-records")
+    return shown(J.job_status(kept, reports(spark, d), "http://router:8089"))
 
 
 QUERIES = {"job_fold": job_fold, "job_status": job_status}

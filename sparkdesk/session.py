@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Stream state beside the heap, for a fold over very many keys.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # A generated method above 8000 bytes is never compiled by the JVM; fall back to smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

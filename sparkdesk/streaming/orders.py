@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from sparkdesk.operators.keyed import insert_if_absent
 from sparkdesk.operators.orders import append_orders, price, split_valid, table_checks
@@ -13,29 +15,29 @@ from sparkdesk.operators.orders import append_orders, price, split_valid, table_
 ORDER_KEYS = ["order_no", "request_id"]
 
 
-def orders_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def stored_orders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The order table, empty where nothing was stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def add_orders(requests: DataFrame, path: str) -> None:
     """One batch of requests into the order table. Running it twice adds nothing the second time."""
     accepted, _ = split_valid(requests)
     orders = price(accepted).where(table_checks())
-    append_orders(orders.limit(0), path)
-    days = orders.agg(
-        F.min(F.substring("order_no", 4, 8)).alias("lo"), F.max(F.substring("order_no", 4, 8)).alias("hi")
-    ).first()
-    if days["lo"] is None:
+    day = F.to_date(F.substring("order_no", 4, 8), "yyyyMMdd")
+    days = orders.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if days["first"] is None:
         return
-    existing = orders_table(requests.sparkSession, path, _stored(orders)).where(
-        F.col("order_day").between(F.to_date(F.lit(days["lo"]), "yyyyMMdd"), F.to_date(F.lit(days["hi"]), "yyyyMMdd"))
+    schema = orders.withColumn("order_day", F.lit(None).cast("date")).schema
+    existing = stored_orders(requests.sparkSession, path, schema).where(
+        F.col("order_day").between(F.lit(days["first"]), F.lit(days["last"]))
     )
-    new = insert_if_absent(orders, existing, ORDER_KEYS, [F.col("created_at")])
-    append_orders(new, path)
-
-
-def _stored(orders: DataFrame):
-    return orders.withColumn("order_day", F.lit(None).cast("date")).schema
+    append_orders(insert_if_absent(orders, existing, ORDER_KEYS, [F.col("created_at")]), path)
 
 
 def stream_orders(requests: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

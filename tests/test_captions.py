@@ -93,7 +93,7 @@ def test_one_item_does_not_stop_the_others(spark):
 
 
 def test_caption_doc_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(C, "LINES_PER_PIECE", 3)
+    monkeypatch.setattr(C, "PIECE_BITS", 1)
     rows = [("a", i, f"l{i}") for i in range(20)] + [("b", -1, "x"), ("b", 7, None), ("b", 8, "")]
     df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "k string, n int, t string")
     got = {r["k"]: (r["line_count"], r["doc"]) for r in C.caption_doc(df, "k", "n", "t").collect()}
