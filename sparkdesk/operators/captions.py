@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkdesk.functions.jsons import json_text_or
 from sparkdesk.functions.links import VIDEO_ID, doc_base_name, extract_video_id, https_url, url_page_index
 from sparkdesk.functions.strings import is_blank, trim_ctl
-from sparkdesk.operators.keyed import first_per_key, frequent_key, spread_join
+from sparkdesk.operators.keyed import first_per_key, key_splits, spread_join, with_splits
 
 # Fixed values.
 MISSING_CODE = -(1 << 31)
@@ -58,14 +58,12 @@ def caption_context(
 ) -> DataFrame:
     """``urls(url, src, pos)`` with ids, title and the chosen part of their video.
 
-    ``frequent`` marks links to a video that very many links name.
+    ``splits`` is more than 1 for links to a video that very many links name.
     """
     named = urls.withColumn("bvid", extract_video_id(F.col("url"), id_pattern))
-    hot = frequent_key(named, ["bvid"])
-    landed = views.select("bvid", F.col("payload").alias("_view"))
-    seen = spread_join(
-        named.withColumn("frequent", hot), landed, ["bvid"], ["src", "pos"], F.col("frequent"), hot
-    )
+    splits = key_splits(named, ["bvid"])
+    landed = with_splits(views.select("bvid", F.col("payload").alias("_view")), ["bvid"], splits, "_parts")
+    seen = spread_join(with_splits(named, ["bvid"], splits), landed, ["bvid"], ["src", "pos"], "splits", "_parts")
     opened = seen.withColumn("_data", F.from_json("_view", VIEW_SCHEMA)["data"])
     data = F.col("_data")
     count = F.greatest(F.coalesce(F.size(data["pages"]), F.lit(0)), F.lit(1))
@@ -88,7 +86,7 @@ def caption_context(
         return F.when(~failed, c)
 
     return chosen.select(
-        "src", "pos", "url", "bvid", "frequent",
+        "src", "pos", "url", "bvid", "splits",
         known(F.col("aid")).alias("aid"),
         known(F.col("_part.cid")).alias("cid"),
         known(F.coalesce(data["title"], F.col("bvid"))).alias("title"),
@@ -178,12 +176,10 @@ def caption_tracks(
 
     Tracks and bodies are looked up once per part, however many links name it.
     """
-    wanted = context.where("error is null").groupBy("cid", "aid").agg(F.max("frequent").alias("_often"))
+    wanted = context.where("error is null").groupBy("cid", "aid").agg(F.max("splits").alias("_parts"))
     found = track_lines(wanted, tracks, bodies, language).withColumnRenamed("error", "_late")
-    joined = spread_join(
-        context, found, ["cid", "aid"], ["src", "pos"], F.col("frequent"), F.col("_often")
-    )
-    return joined.withColumn("error", F.coalesce("error", "_late")).drop("_late", "_often")
+    joined = spread_join(context, found, ["cid", "aid"], ["src", "pos"], "splits", "_parts")
+    return joined.withColumn("error", F.coalesce("error", "_late")).drop("_late")
 
 
 def clean_lines(items: Column) -> Column:

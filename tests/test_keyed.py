@@ -56,13 +56,13 @@ def test_spread_lookup(spark, how):
     rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 50}") for i in range(3000)]
     left = spark.createDataFrame(rows, "id int, k string")
     right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k5", 3), ("unused", 4)], "k string, v int")
-    joined = K.spread_lookup(left, right, ["k"], ["id"], how, min_rows=100, share=4)
+    joined = K.spread_lookup(left, right, ["k"], ["id"], how, rows_per_split=100)
     plain = left.join(right, "k", how)
     assert sorted(map(tuple, joined.select("id", "k", "v").collect()), key=str) == sorted(
         map(tuple, plain.select("id", "k", "v").collect()), key=str
     )
-    hot = left.withColumn("h", K.frequent_key(left, ["k"], min_rows=100, share=4)).where("h")
-    assert {r["k"] for r in hot.select("k").distinct().collect()} == {"hot", None}
+    parts = K.with_splits(left, ["k"], K.key_splits(left, ["k"], 100)).where("splits > 1").select("k", "splits").distinct()
+    assert {tuple(r) for r in parts.collect()} == {("hot", 11), (None, 11)}
 
 
 def test_hot_rows_are_split(spark):
@@ -77,7 +77,7 @@ def test_hot_rows_are_split(spark):
             return df.where("k = -1").select(F.spark_partition_id()).distinct().count()
 
         assert tasks(left.join(right, "k", "left").withColumn("x", F.rand())) == 1
-        assert tasks(K.spread_lookup(left, right, ["k"], ["id"], min_rows=100).withColumn("x", F.rand())) > 4
+        assert tasks(K.spread_lookup(left, right, ["k"], ["id"], rows_per_split=100).withColumn("x", F.rand())) > 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
         spark.conf.set("spark.sql.adaptive.enabled", before[1])
