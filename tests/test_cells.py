@@ -123,6 +123,12 @@ def test_csv_bytes(spark, tmp_path):
         E.write_csv(df, str(tmp_path / "x"), layout="other")
 
 
+def test_csv_lines_with_another_rule(spark):
+    df = spark.createDataFrame([("a,b", 1)], "s string, n int").coalesce(1)
+    lines = E.csv_lines(df, lambda c, field: F.concat(F.lit(field.name + "="), c.cast("string")))
+    assert [r["line"] for r in lines.collect()] == ["s,n", '"s=a,b",n=1']
+
+
 def test_csv_sink_equals_lines(spark, tmp_path):
     rows = [(" a ", None, 1.5), ("", "\r", None), (None, '\\"', float("nan")), ("#", "x,y", 0.1)]
     df = spark.createDataFrame(rows, "a string, `b,c` string, d double").coalesce(1)

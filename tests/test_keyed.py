@@ -65,6 +65,12 @@ def test_spread_lookup(spark, how):
     assert {tuple(r) for r in parts.collect()} == {("hot", 11), (None, 11)}
 
 
+def test_spread_lookup_on_nothing(spark):
+    left = spark.createDataFrame([], "id int, k string")
+    right = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert K.spread_lookup(left, right, ["k"], ["id"]).collect() == []
+
+
 def test_hot_rows_are_split(spark):
     """The hot key's rows reach several tasks; with a plain join they reach one."""
     left = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
