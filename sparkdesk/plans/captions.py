@@ -103,7 +103,7 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
 
 def with_tracks(spark: SparkSession, d: str) -> DataFrame:
     text = F.array_join("lines", "\n")
-    return _items(spark, d).select("pos", "cid", "subtitle_url", "error", F.size("lines").alias("n"), text.alias("text"))
+    return _items(spark, d).select("pos", "cid", "subtitle_url", "error", F.array_size("lines").alias("n"), text.alias("text"))
 
 
 def doc(spark: SparkSession, d: str) -> DataFrame:
