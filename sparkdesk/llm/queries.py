@@ -98,7 +98,7 @@ ORACLE = {
     "op2_quality_rules": rf"""
         with d as (select doc_id, coalesce(text, '') as t from documents),
         w as (select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
-            list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
         windows as (select doc_id, i, array_to_string(ws[i : i + 7], ' ') as k
             from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 6, 1))) as i from w)),
         twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, k) as n from windows) where n > 1),
@@ -107,8 +107,8 @@ ORACLE = {
             length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
             (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words,
             len(ls) as n_lines, length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) as n_upper,
-            len(list_filter(ls, x -> length(x) < 4 * length(regexp_replace(x, '[^|#*$%&<>!]+', '', 'g')))) as n_symbol_lines,
-            len(list_filter(ws, x -> x in ({_STOP}))) as n_stop_words
+            len(list_filter(ls, lambda x: length(x) < 4 * length(regexp_replace(x, '[^|#*$%&<>!]+', '', 'g')))) as n_symbol_lines,
+            len(list_filter(ws, lambda x: x in ({_STOP}))) as n_stop_words
             from w left join covered using (doc_id)),
         b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({_bounds_sql()}) as kept from b""",
@@ -116,8 +116,8 @@ ORACLE = {
         with d as (select doc_id, coalesce(text, '') as t from documents),
         m as ({" union all ".join(_rule_sql(i, r) for i, r in enumerate(secret_scan.RULES))}),
         e as (select *, unnest(range(1, len(a) + 1)) as i from m),
-        s as (select doc_id, kind, ord, length(a[i]) as n, list_sum(list_transform(g[1:i], x -> length(x)))
-            + coalesce(list_sum(list_transform(a[1:i - 1], x -> length(x))), 0) as start from e where length(v[i]) >= least),
+        s as (select doc_id, kind, ord, length(a[i]) as n, list_sum(list_transform(g[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(a[1:i - 1], lambda x: length(x))), 0) as start from e where length(v[i]) >= least),
         f as (select doc_id, ord, start, kind || ':' || start::bigint || ':' || (start + n)::bigint as span from s),
         g as (select doc_id, count(*) filter (ord = 0) as n_assign, count(*) filter (ord = 1) as n_access, count(*) filter (ord = 2) as n_hex,
             string_agg(span, ',' order by start, ord) filter (ord < 3) as base, string_agg(span, ',' order by start, ord) as spans from f group by doc_id)
