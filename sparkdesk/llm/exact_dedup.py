@@ -27,8 +27,8 @@ def with_chunks(texts: DataFrame, column: str) -> DataFrame:
     from the last cut, so that copies of a run are cut alike wherever they stand.
     """
     i, words = F.col, F.col("_words")
-    cut = lambda k: (F.get(words, k - 1) != F.get(words, k)) & (
-        F.pmod(F.xxhash64(F.get(words, k - 1), F.get(words, k)), F.lit(PAIRS_PER_CUT)) == 0
+    cut = lambda k: (F.pmod(F.xxhash64(F.get(words, k - 1), F.get(words, k)), F.lit(PAIRS_PER_CUT)) == 0) & (
+        F.get(words, k - 1) != F.get(words, k)
     )
     inner = F.when(F.size(words) > 1, F.filter(F.sequence(F.lit(1), F.size(words) - 1), cut)).otherwise(
         F.array().cast("array<int>")

@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import bpe, exact_dedup, jaccard_join, line_crf, packing, quality_rules, secret_scan, warc
+from sparkdesk.llm import bpe, exact_dedup, jaccard_join, line_crf, line_dedup, packing, quality_rules, secret_scan, substring_dedup, warc
 from sparkdesk.llm.common import table
 
 #: The vocabulary file of the tokenising queries.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def substring_query(spark: SparkSession, folder: str) -> DataFrame:
+    rows = substring_dedup.drop_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def quality_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.quality(table(spark, folder, "documents"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -28,6 +33,11 @@ def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(ids, VOCABULARY))
 
 
+def line_query(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def classifier_query(spark: SparkSession, folder: str) -> DataFrame:
     return line_crf.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -63,9 +73,11 @@ def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": substring_query,
     "op2_quality_rules": quality_rules_query,
     "op3_ngram_jaccard": jaccard_query,
     "op4_bpe": bpe_query,
+    "op5_line_dedup": line_query,
     "op6_quality_classifier": classifier_query,
     "op7_secret_scan": secret_query,
     "op8_packing": packing_query,
@@ -95,6 +107,17 @@ def _rule_sql(ordinal: int, rule: secret_scan.Rule) -> str:
 
 
 ORACLE = {
+    "op1_substring_dedup": f"""
+        with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+        windows as (select doc_id, i, array_to_string(ws[i : i + {substring_dedup.WINDOW - 1}], ' ') as k
+            from (select doc_id, ws, unnest(range(1, greatest(len(ws) - {substring_dedup.WINDOW - 2}, 1))) as i from w)),
+        later as (select doc_id, i from (select *, row_number() over (partition by k order by doc_id, i) as r from windows) where r > 1),
+        gone as (select distinct doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) as p from later),
+        words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from w),
+        kept as (select words.doc_id, string_agg(word, ' ' order by p) as t from words anti join gone using (doc_id, p) group by words.doc_id),
+        n as (select doc_id, count(*) as n from gone group by doc_id)
+        select w.doc_id, len(ws)::bigint as n_words, coalesce(n.n, 0)::bigint as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
+        from w left join n using (doc_id) left join kept using (doc_id)""",
     "op2_quality_rules": rf"""
         with d as (select doc_id, coalesce(text, '') as t from documents),
         w as (select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
