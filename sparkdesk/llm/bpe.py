@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from sparkdesk.llm.common import ship, text_of
 
 #: Documents are encoded in blocks of so many characters; so many pieces are remembered at most.
-BLOCK, KEEP = 4_000_000, 300_000
+BLOCK, KEEP = 4_000_000, 500_000
 #: The byte-level pre-tokenising pattern.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -85,20 +86,24 @@ class Vocabulary:
     def _merge(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         width, ranks, byte_ids = self.width, self.ranks, self.byte_ids
         words = list(words)
-        symbols, starts = [-1], []
+        symbols = [-1]
         for word in words:
-            starts.append(len(symbols))
             symbols += [self.special[word]] if word in self.special else [byte_ids[b] for b in word.encode()]
             symbols.append(-1)
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
+        # Separators are -1 and merged symbols -2: a pair with one of them has a key that no merge has.
         index: dict[int, list[int]] = {}
-        for place in range(len(symbols) - 1):
-            a, b = symbols[place], symbols[place + 1]
-            if a >= 0 and b >= 0 and (rank := ranks.get(a * width + b)) is not None:
-                index.setdefault(rank, []).append(place)
+        rank_of, places = ranks.get, index.get
+        keys = np.array(symbols, dtype=np.int64)
+        for place, key in enumerate((keys[:-1] * width + keys[1:]).tolist()):
+            if (rank := rank_of(key)) is not None:
+                if (held := places(rank)) is None:
+                    index[rank] = [place]
+                else:
+                    held.append(place)
         active = list(index)
         heapq.heapify(active)
-        pair_of = self._pairs()
+        pair_of, push = self._pairs(), heapq.heappush
         while active:
             rank = heapq.heappop(active)
             (a, b), made = pair_of[rank], self.made[rank]
@@ -110,17 +115,25 @@ class Vocabulary:
                 beyond = after[place] = after[right]
                 before[beyond] = place
                 left = before[place]
-                for first, x, y in ((left, symbols[left], made), (place, made, symbols[beyond])):
-                    if x >= 0 and y >= 0 and (other := ranks.get(x * width + y)) is not None:
-                        if other in index:
-                            index[other].append(first)
-                        else:
-                            index[other] = [first]
-                            heapq.heappush(active, other)
+                if (other := rank_of(symbols[left] * width + made)) is not None:
+                    if (held := places(other)) is None:
+                        index[other] = [left]
+                        push(active, other)
+                    else:
+                        held.append(left)
+                if (other := rank_of(made * width + symbols[beyond])) is not None:
+                    if (held := places(other)) is None:
+                        index[other] = [place]
+                        push(active, other)
+                    else:
+                        held.append(place)
         done = np.array(symbols, dtype=np.int64)
-        for word, start, end in zip(words, starts, [*starts[1:], len(symbols)]):
-            ids = done[start : end - 1]
-            yield word, ids[ids >= 0].astype("<u4").tobytes()
+        # What is left of a word lies between its separators.
+        left = done[done != -2]
+        ends = np.flatnonzero(left == -1)
+        raw = left.astype("<u4").tobytes()
+        for word, start, end in zip(words, (ends[:-1] * 4 + 4).tolist(), (ends[1:] * 4).tolist()):
+            yield word, raw[start:end]
 
     @lru_cache(maxsize=1)  # noqa: B019 - one vocabulary per worker
     def _pairs(self) -> list[tuple[int, int]]:
@@ -129,6 +142,13 @@ class Vocabulary:
             out[rank] = divmod(key, self.width)
         return out
 
+    def library(self):
+        """The same encoding by a library: the ids are the ranks of the tokens, which is checked here."""
+        if self.made != list(range(256, 256 + len(self.made))) or sorted(self.byte_ids) != list(range(256)):
+            raise ValueError("the vocabulary's ids are not in the order of its merges")
+        plain = {self.token_bytes[i]: i for i in range(256 + len(self.made))}
+        return tiktoken.Encoding("own", pat_str=PIECE, mergeable_ranks=plain, special_tokens=self.special)
+
     def decode(self, ids: list[int]) -> str:
         """The text of the ids; special tokens stay, numbers without a token give nothing."""
         tokens, width = self.token_bytes, self.width
@@ -140,6 +160,11 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def library(path: str) -> tiktoken.Encoding:
+    return vocabulary(path).library()
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batches in slices of about BLOCK characters, with the texts of a column."""
     for batch in batches:
