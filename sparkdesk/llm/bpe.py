@@ -61,6 +61,9 @@ class Vocabulary:
             self.token_bytes[i] = bytes(values[c] for c in token)
         for token, i in self.special.items():
             self.token_bytes[i] = token.encode()
+        self.sizes = np.array([len(t) for t in self.token_bytes])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(self.token_bytes), dtype=np.uint8)
         self.find = regex.compile(PIECE).findall
         special = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.cut = regex.compile(f"({special})").split if special else None
@@ -149,10 +152,15 @@ class Vocabulary:
         plain = {self.token_bytes[i]: i for i in range(256 + len(self.made))}
         return tiktoken.Encoding("own", pat_str=PIECE, mergeable_ranks=plain, special_tokens=self.special)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; special tokens stay, numbers without a token give nothing."""
-        tokens, width = self.token_bytes, self.width
-        return b"".join([tokens[i] for i in ids if i is not None and 0 <= i < width]).decode("utf-8", "replace")
+        ids = ids[(ids >= 0) & (ids < self.width)]
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return ""
+        at = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        return self.letters[at].tobytes().decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -211,7 +219,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
-                texts = pa.array([words.decode(ids or []) for ids in part.column(1).to_pylist()], pa.string())
+                lists = part.column(1)
+                ids, ends = pc.fill_null(lists.flatten(), -1).to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(lists), 0))
+                texts = pa.array([words.decode(i) for i in np.split(ids, ends[:-1])], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], names=["doc_id", "ids", "text"])
 
     ship(encoded.sparkSession)
