@@ -178,7 +178,9 @@ def caption_tracks(
     """
     wanted = context.where("error is null").groupBy("cid", "aid").agg(F.max("splits").alias("_parts"))
     found = track_lines(wanted, tracks, bodies, language).withColumnRenamed("error", "_late")
-    joined = spread_join(context, found, ["cid", "aid"], ["src", "pos"], "splits", "_parts")
+    # Failed links have no key: they keep out of the join, where they would all meet in one task.
+    joined = spread_join(context.where("error is null"), found, ["cid", "aid"], ["src", "pos"], "splits", "_parts")
+    joined = joined.unionByName(context.where("error is not null"), allowMissingColumns=True)
     return joined.withColumn("error", F.coalesce("error", "_late")).drop("_late")
 
 

@@ -21,7 +21,7 @@ BUCKET_BITS = 16
 # A key with more rows than this is split into parts of about as many rows.
 ROWS_PER_SPLIT, MAX_SPLITS = 1_000_000, 65_536
 SPLIT_KEYS, TRACKED_KEYS = 512, 4096
-NUMBERED = r"^(.+)_([1-9][0-9]{0,8})$"
+NUMBERED = r"(?s)^(.+)_([1-9][0-9]{0,17})$"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -6,6 +6,7 @@ customer_name, customer_tier, sku_code, quantity, unit_price, remark, requested_
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,7 @@ BLANK_MESSAGES = {
 QUANTITY_MESSAGE = "quantity: quantity must be greater than 0"
 PRICE_NULL_MESSAGE = "unitPrice: unitPrice must not be null"
 PRICE_MIN_MESSAGE = "unitPrice: unitPrice must be greater than 0"
+TABLE_MESSAGE = "order: the order table does not take these values"
 LENGTH_LIMITS = {"order_no": 32, "customer_name": 64, "customer_tier": 32, "sku_code": 64, "remark": 255}
 MIN_LIMIT, MAX_LIMIT, DEFAULT_LIMIT = 1, 100, 10
 
@@ -58,8 +60,16 @@ def validate(requests: DataFrame) -> DataFrame:
 
 
 def split_valid(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected requests."""
+    """Accepted and rejected requests; together they are all of them.
+
+    A request is rejected for the request rules or, when it keeps these, for those of the order table.
+    """
     checked = validate(requests)
+    # What the order table itself refuses, once the texts are trimmed and the price is rounded.
+    stored = normalise(checked.select("*", *[F.col(c).alias(f"_{c}") for c in requests.columns]))
+    refused = F.when((F.size("violations") == 0) & ~table_checks(stored.columns), F.array(F.lit(TABLE_MESSAGE))).otherwise(F.col("violations"))
+    kept = [F.col(f"_{c}").alias(c) for c in requests.columns]
+    checked = stored.withColumn("violations", refused).select(*kept, "violations", F.array_join("violations", "; ").alias("message"))
     bad = F.size("violations") > 0
     return checked.where(~bad).drop("violations", "message"), checked.where(bad)
 
@@ -124,10 +134,12 @@ def price(requests: DataFrame) -> DataFrame:
     )
 
 
-def table_checks() -> Column:
-    """True for a row that the order table's own constraints allow."""
+def table_checks(columns: Sequence[str] = tuple(LENGTH_LIMITS)) -> Column:
+    """True for a row that the order table's own constraints allow, as far as its columns are there."""
     ok = (F.col("quantity") > 0) & (F.col("unit_price") > 0)
     for name, limit in LENGTH_LIMITS.items():
+        if name not in columns:
+            continue
         fits = F.length(name) <= limit
         ok = ok & (F.coalesce(fits, F.lit(True)) if name == "remark" else fits)
     return F.coalesce(ok, F.lit(False))
@@ -191,8 +203,7 @@ def append_orders(orders: DataFrame, path: str) -> None:
 
     The rows are rebalanced by day: few files per day, and several tasks for a large one.
     """
-    day = F.to_date(F.substring(F.col("order_no"), 4, 8), "yyyyMMdd")
-    by_day = orders.withColumn("order_day", day).hint("rebalance", F.col("order_day"))
+    by_day = orders.withColumn("order_day", F.to_date("created_at")).hint("rebalance", F.col("order_day"))
     by_day.write.mode("append").partitionBy("order_day").parquet(path)
 
 

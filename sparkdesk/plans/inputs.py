@@ -17,8 +17,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def utc(c):
-    """The instant of a zone-free column that is meant as UTC."""
-    return F.concat(c.cast("string"), F.lit("Z")).cast("timestamp")
+    """The instant of a zone-free column that is meant as UTC, the zone of the session."""
+    return c.cast("timestamp")
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:

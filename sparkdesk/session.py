@@ -44,7 +44,8 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     shared = tempfile.mkdtemp(prefix="sparkdesk-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", shared)

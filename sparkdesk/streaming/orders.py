@@ -29,14 +29,10 @@ def add_orders(requests: DataFrame, path: str) -> None:
     """One batch of requests into the order table. Running it twice adds nothing the second time."""
     accepted, _ = split_valid(requests)
     orders = price(accepted).where(table_checks())
-    day = F.to_date(F.substring("order_no", 4, 8), "yyyyMMdd")
-    days = orders.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    if days["first"] is None:
-        return
+    days = orders.select(F.to_date("created_at").alias("order_day")).distinct()
     schema = orders.withColumn("order_day", F.lit(None).cast("date")).schema
-    existing = stored_orders(requests.sparkSession, path, schema).where(
-        F.col("order_day").between(F.lit(days["first"]), F.lit(days["last"]))
-    )
+    # Only the folders of the batch's days are read.
+    existing = stored_orders(requests.sparkSession, path, schema).join(days, "order_day", "left_semi")
     append_orders(insert_if_absent(orders, existing, ORDER_KEYS, [F.col("created_at")]), path)
 
 

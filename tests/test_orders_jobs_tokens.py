@@ -243,3 +243,27 @@ def test_effective_expiry(spark):
     for expiry, want in [("2024-01-01 01:00:00", 2), ("2024-01-01 03:00:00", 3), (None, 2)]:
         got = spark.range(1).select(T.effective_expiry(F.lit(expiry).cast("timestamp"), created)).first()[0]
         assert got == dt.datetime(2024, 1, 1, want)
+
+
+def test_no_request_vanishes(spark):
+    from datetime import datetime
+
+    at = datetime(2024, 1, 2)
+    rows = [("a", "Ann", "9.99"), ("b", "n" * 70, "9.99"), ("c", "Cy", "99999999999.00"), ("d", " ", "1.00")]
+    df = spark.createDataFrame([(i, n, "gold", "s-1", 2, Decimal(p), None, at) for i, n, p in rows],
+        "request_id string, customer_name string, customer_tier string, sku_code string, quantity int, unit_price decimal(16,5), remark string, requested_at timestamp")
+    accepted, rejected = O.split_valid(df)
+    assert [r.request_id for r in accepted.collect()] == ["a"] and accepted.columns == df.columns
+    found = {r.request_id: (r.customer_name, r.message) for r in rejected.collect()}
+    assert found.keys() == {"b", "c", "d"}
+    assert found["b"] == ("n" * 70, O.TABLE_MESSAGE) and found["c"][1] == O.TABLE_MESSAGE and "customerName" in found["d"][1]
+
+
+def test_seed_rows_are_appended(spark, tmp_path):
+    from sparkdesk.sources.seeds import seed_orders
+
+    path = str(tmp_path / "orders")
+    seeds = seed_orders(spark)
+    O.append_orders(seeds, path)
+    back = spark.read.parquet(path)
+    assert back.count() == seeds.count() and back.where("order_day != to_date(created_at)").isEmpty()
