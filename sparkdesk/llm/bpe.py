@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from sparkdesk.llm.common import ship, text_of
 
 #: Documents are encoded in blocks of so many characters; so many pieces are remembered at most.
-BLOCK, KEEP = 4_000_000, 500_000
+BLOCK, KEEP = 4_000_000, 1_000_000
 #: The byte-level pre-tokenising pattern.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -56,6 +56,9 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[vocab[a] * self.width + vocab[b]] = rank
             self.made.append(vocab[a + b])
+        self.sorted_keys = np.array(sorted(self.ranks), dtype=np.int64)
+        self.sorted_ranks = np.array([self.ranks[k] for k in self.sorted_keys.tolist()], dtype=np.int64)
+        self.letter_ids = np.array(self.byte_ids, dtype=np.int64)
         self.token_bytes = [b""] * self.width
         for token, i in vocab.items():
             self.token_bytes[i] = bytes(values[c] for c in token)
@@ -87,23 +90,28 @@ class Vocabulary:
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
     def _merge(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
-        width, ranks, byte_ids = self.width, self.ranks, self.byte_ids
+        width, rank_of = self.width, self.ranks.get
         words = list(words)
-        symbols = [-1]
-        for word in words:
-            symbols += [self.special[word]] if word in self.special else [byte_ids[b] for b in word.encode()]
-            symbols.append(-1)
+        for word in self.special:
+            if word in words:
+                words.remove(word)
+                yield word, np.array([self.special[word]], dtype="<u4").tobytes()
+        encoded = [w.encode() for w in words]
+        sizes = np.array([len(e) for e in encoded], dtype=np.int64)
+        # The words' bytes as symbols, -1 around each word; merged symbols become -2. Neither is in a key of a merge.
+        every = np.full(int(sizes.sum()) + len(words) + 1, -1, dtype=np.int64)
+        letters = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        every[np.arange(len(letters)) + np.repeat(np.arange(1, len(words) + 1), sizes)] = self.letter_ids[letters]
+        symbols = every.tolist()
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
-        # Separators are -1 and merged symbols -2: a pair with one of them has a key that no merge has.
-        index: dict[int, list[int]] = {}
-        rank_of, places = ranks.get, index.get
-        keys = np.array(symbols, dtype=np.int64)
-        for place, key in enumerate((keys[:-1] * width + keys[1:]).tolist()):
-            if (rank := rank_of(key)) is not None:
-                if (held := places(rank)) is None:
-                    index[rank] = [place]
-                else:
-                    held.append(place)
+        keys = every[:-1] * width + every[1:]
+        at = np.minimum(np.searchsorted(self.sorted_keys, keys), len(self.sorted_keys) - 1)
+        held_at = np.flatnonzero((self.sorted_keys[at] == keys) & (every[:-1] >= 0) & (every[1:] >= 0))
+        first = self.sorted_ranks[at[held_at]]
+        order = np.argsort(first, kind="stable")
+        found, cuts = np.unique(first[order], return_index=True)
+        index = {r: p.tolist() for r, p in zip(found.tolist(), np.split(held_at[order], cuts[1:]))} if len(found) else {}
+        places = index.get
         active = list(index)
         heapq.heapify(active)
         pair_of, push = self._pairs(), heapq.heappush
