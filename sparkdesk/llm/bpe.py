@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from sparkdesk.llm.common import ship, text_of
 
 #: Documents are encoded in blocks of so many characters; so many pieces are remembered at most.
-BLOCK, KEEP = 4_000_000, 300_000
+BLOCK, KEEP = 1_000_000, 200_000
 #: The byte-level pre-tokenising pattern.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
