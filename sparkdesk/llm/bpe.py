@@ -26,7 +26,9 @@ from pyspark.sql import types as T
 from sparkdesk.llm.common import ship, text_of
 
 #: Documents are encoded in blocks of so many characters; so many pieces are remembered at most.
-BLOCK, KEEP = 1_000_000, 200_000
+BLOCK, KEEP = 1_000_000, 500_000
+#: New pieces are merged so many characters at a time, and ids decoded so many at a time.
+MERGED, DECODED = 500_000, 1 << 17
 #: The byte-level pre-tokenising pattern.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -85,10 +87,22 @@ class Vocabulary:
         if len(self.known) + len(new) > KEEP:
             self.known = {}
             new = set().union(*split)
-        self.known.update(self._merge(new))
         known = self.known
+        for words in self._portions(new):
+            known.update(self._merge(words))
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
+    @staticmethod
+    def _portions(words: Iterable[str]) -> Iterator[list[str]]:
+        part, size = [], 0
+        for word in words:
+            part.append(word)
+            size += len(word)
+            if size >= MERGED:
+                yield part
+                part, size = [], 0
+        yield part
+
     def _merge(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         width, rank_of = self.width, self.ranks.get
         words = list(words)
@@ -162,13 +176,15 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; special tokens stay, numbers without a token give nothing."""
+        return b"".join(self._letters(ids[i : i + DECODED]) for i in range(0, len(ids), DECODED)).decode("utf-8", "replace")
+
+    def _letters(self, ids: np.ndarray) -> bytes:
         ids = ids[(ids >= 0) & (ids < self.width)]
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
         if not len(ends):
-            return ""
-        at = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
-        return self.letters[at].tobytes().decode("utf-8", "replace")
+            return b""
+        return self.letters[np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -237,6 +253,25 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())]))
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, text``: what ``decode`` returns for ``encode(docs, path)``, both in one pass of the same worker.
+
+    The ids of a text do not leave the worker in between, and a task holds one vocabulary instead of two.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for rows, texts in blocks(batches, "_text"):
+            encoded = words.encode(texts)
+            decoded = pa.array([words.decode(np.frombuffer(e, dtype="<u4")) for e in encoded], pa.string())
+            yield pa.RecordBatch.from_arrays([rows.column(0), id_lists(encoded), decoded], names=["doc_id", "ids", "text"])
+
+    ship(docs.sparkSession)
+    rows = docs.select("doc_id", text_of().alias("_text"))
+    fields = [rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("text", T.StringType())]
+    return rows.mapInArrow(run, T.StructType(fields))
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what ``decode`` returns."""
     return decoded.select(

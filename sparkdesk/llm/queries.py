@@ -29,8 +29,7 @@ def jaccard_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
-    ids = bpe.encode(table(spark, folder, "documents"), VOCABULARY)
-    return bpe.digests(bpe.decode(ids, VOCABULARY))
+    return bpe.digests(bpe.round_trip(table(spark, folder, "documents"), VOCABULARY))
 
 
 def line_query(spark: SparkSession, folder: str) -> DataFrame:

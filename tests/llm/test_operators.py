@@ -139,7 +139,9 @@ def test_posterior_bound():
 def test_bpe_and_packing(docs):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(TEXTS)}
-    for i, r in by_id(bpe.digests(bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY))).items():
+    two_steps = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    assert bpe.digests(two_steps).exceptAll(bpe.digests(bpe.round_trip(docs, VOCABULARY))).isEmpty()
+    for i, r in by_id(bpe.digests(bpe.round_trip(docs, VOCABULARY))).items():
         assert (r.n_tokens, r.ids_sha256) == (len(ids[i]), sha(",".join(map(str, ids[i]))))
         assert r.decoded_sha256 == sha(library.decode(ids[i], skip_special_tokens=False))
     rows = packing.packed_documents(docs.dropDuplicates(["doc_id"]), VOCABULARY).collect()
