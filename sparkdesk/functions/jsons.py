@@ -83,7 +83,7 @@ def _kind(v: Column) -> Column:
     )
 
 
-def _children(c: Column) -> Column:
+def children(c: Column) -> Column:
     """array<struct<key, kind, value>> of one document, in document order.
 
     Array elements have a null key. ``value`` is the bare text of a text and
@@ -107,7 +107,7 @@ def _children(c: Column) -> Column:
     return F.coalesce(F.when(_starts(c, "{"), fields).when(_starts(c, "["), items), none)
 
 
-def _is_container(kind: Column) -> Column:
+def is_container(kind: Column) -> Column:
     return kind.isin("object", "array")
 
 
@@ -120,7 +120,7 @@ def _nodes(c: Column, path: Column, depth: int) -> Column:
             F.concat(path, step).alias("path"), e["key"].alias("key"), e["kind"].alias("kind"), e["value"].alias("value")
         )
 
-    level = F.transform(_children(c), located)
+    level = F.transform(children(c), located)
     if depth <= 1:
         return level
     none = F.array().cast("array<struct<path:string,key:string,kind:string,value:string>>")
@@ -128,16 +128,17 @@ def _nodes(c: Column, path: Column, depth: int) -> Column:
         F.transform(
             level,
             lambda e: F.concat(
-                F.array(e), F.when(_is_container(e["kind"]), _nodes(e["value"], e["path"], depth - 1)).otherwise(none)
+                F.array(e), F.when(is_container(e["kind"]), _nodes(e["value"], e["path"], depth - 1)).otherwise(none)
             ),
         )
     )
 
 
-def json_flatten(c: Column, depth: int = 3) -> Column:
-    """array<struct<path, key, kind, value>> in document order; explode it for rows.
+def json_flatten(c: Column, depth: int) -> Column:
+    """array<struct<path, key, kind, value>> of the first ``depth`` levels, in document order; explode it for rows.
 
-    ``value`` is a raw-fragment read: a text stays text, anything else is JSON.
+    ``value`` is a raw-fragment read: a text stays text, anything else is JSON. For all levels
+    see ``operators.json_nodes``.
     """
     return _nodes(c, F.lit("$"), depth)
 
@@ -177,7 +178,7 @@ def json_text_or(c: Column, path: str, default) -> Column:
 
 def json_map(c: Column) -> Column:
     """map<string,string>; null for an empty or unreadable text and where a value is nested."""
-    nested = F.exists(F.map_values(F.from_json(c, _VARIANT_MAP)), lambda v: _is_container(_kind(v)))
+    nested = F.exists(F.map_values(F.from_json(c, _VARIANT_MAP)), lambda v: is_container(_kind(v)))
     return F.when(_starts(c, "{") & ~nested, F.from_json(c, _TEXT_MAP))
 
 

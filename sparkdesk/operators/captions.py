@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkdesk.functions.jsons import json_text_or
 from sparkdesk.functions.links import VIDEO_ID, doc_base_name, extract_video_id, https_url, url_page_index
 from sparkdesk.functions.strings import is_blank, trim_ctl
-from sparkdesk.operators.keyed import first_per_key, key_splits, spread_join, with_splits
+from sparkdesk.operators.keyed import first_per_key
 
 # Fixed values.
 MISSING_CODE = -(1 << 31)
@@ -56,14 +56,12 @@ def select_part(pages: Column, index: Column, video_cid: Column) -> Column:
 def caption_context(
     urls: DataFrame, views: DataFrame, id_pattern: str = VIDEO_ID, page_name: str = "p"
 ) -> DataFrame:
-    """``urls(url, src, pos)`` with ids, title and the chosen part of their video.
-
-    ``splits`` is more than 1 for links to a video that very many links name.
-    """
+    """``urls(url, src, pos)`` with ids, title and the chosen part of their video."""
     named = urls.withColumn("bvid", extract_video_id(F.col("url"), id_pattern))
-    splits = key_splits(named, ["bvid"])
-    landed = with_splits(views.select("bvid", F.col("payload").alias("_view")), ["bvid"], splits, "_parts")
-    seen = spread_join(with_splits(named, ["bvid"], splits), landed, ["bvid"], ["src", "pos"], "splits", "_parts")
+    # A link without an id gets a key of its own, which no id equals, so that such links do not meet in one task.
+    own = F.concat_ws(" ", F.lit("none"), F.col("src").cast("string"), F.col("pos").cast("string"))
+    landed = views.select(F.col("bvid").alias("_key"), F.col("payload").alias("_view"))
+    seen = named.withColumn("_key", F.coalesce("bvid", own)).join(landed, "_key", "left").drop("_key")
     opened = seen.withColumn("_data", F.from_json("_view", VIEW_SCHEMA)["data"])
     data = F.col("_data")
     count = F.greatest(F.coalesce(F.size(data["pages"]), F.lit(0)), F.lit(1))
@@ -86,7 +84,7 @@ def caption_context(
         return F.when(~failed, c)
 
     return chosen.select(
-        "src", "pos", "url", "bvid", "splits",
+        "src", "pos", "url", "bvid",
         known(F.col("aid")).alias("aid"),
         known(F.col("_part.cid")).alias("cid"),
         known(F.coalesce(data["title"], F.col("bvid"))).alias("title"),
@@ -176,10 +174,10 @@ def caption_tracks(
 
     Tracks and bodies are looked up once per part, however many links name it.
     """
-    wanted = context.where("error is null").groupBy("cid", "aid").agg(F.max("splits").alias("_parts"))
+    wanted = context.where("error is null").select("cid", "aid").distinct()
     found = track_lines(wanted, tracks, bodies, language).withColumnRenamed("error", "_late")
     # Failed links have no key: they keep out of the join, where they would all meet in one task.
-    joined = spread_join(context.where("error is null"), found, ["cid", "aid"], ["src", "pos"], "splits", "_parts")
+    joined = context.where("error is null").join(found, ["cid", "aid"], "left")
     joined = joined.unionByName(context.where("error is not null"), allowMissingColumns=True)
     return joined.withColumn("error", F.coalesce("error", "_late")).drop("_late")
 

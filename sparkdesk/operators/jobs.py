@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.strings import is_blank
-from sparkdesk.operators.keyed import spread_lookup
 
 # Fixed values.
 NEW_LAUNCHER_STATE, NEW_YARN_STATE = "SUBMITTED", "APP_ID_PENDING"
@@ -63,12 +62,13 @@ def job_status(records: DataFrame, reports: DataFrame, base_url: str) -> DataFra
     application. A record without an id keeps what the launcher saw, and has no link.
     """
     has_id = ~is_blank(F.col("application_id"))
-    keyed = records.withColumn("_app", F.when(has_id, F.col("application_id")))
+    # A record without an id gets a key of its own, so that such records do not meet in one task.
+    key = F.when(has_id, F.concat(F.lit("a"), "application_id")).otherwise(F.concat(F.lit("s"), "submission_id"))
     fields = FIELD_GROUPS["yarn_status"]
     seen = reports.select(
-        F.col("application_id").alias("_app"), *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_seen")
+        F.concat(F.lit("a"), "application_id").alias("_app"), *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_seen")
     )
-    joined = spread_lookup(keyed, seen, ["_app"], ["submission_id"])
+    joined = records.withColumn("_app", key).join(seen, "_app", "left")
     for field in fields:
         joined = joined.withColumn(field, F.when(F.col("_seen"), F.col(f"_{field}")).otherwise(F.col(field)))
     link = F.when(has_id, F.concat(F.lit(base_url + "/cluster/app/"), F.col("application_id")))

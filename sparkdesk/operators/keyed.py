@@ -1,8 +1,7 @@
 """Keyed building blocks that hold up when one key owns a large share of the rows.
 
-No step here sends all rows of a key to one task: first-per-key keeps one row
-per key before the shuffle, running counts work on (key, bucket) groups of
-bounded size, and lookups split the keys that a sketch reports as frequent.
+First-per-key keeps one row per key before the shuffle, and running counts work on (key, bucket)
+groups of bounded size. Lookups are plain joins, whose frequent keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -18,9 +17,6 @@ from sparkdesk.functions.strings import is_blank, trim_ctl
 from sparkdesk.session import materialise
 
 BUCKET_BITS = 16
-# A key with more rows than this is split into parts of about as many rows.
-ROWS_PER_SPLIT, MAX_SPLITS = 1_000_000, 65_536
-SPLIT_KEYS, TRACKED_KEYS = 512, 4096
 NUMBERED = r"(?s)^(.+)_([1-9][0-9]{0,17})$"
 
 
@@ -56,72 +52,6 @@ def ordered_union(direct: Sequence[DataFrame], configured: Sequence[DataFrame] =
     return first_per_key(whole.where(~is_blank(F.col("url"))), ["url"], [F.col("src"), F.col("pos")])
 
 
-def key_splits(df: DataFrame, on: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Into how many parts the rows of each frequent key go: ``(_h, _splits)``, at most 512 rows.
-
-    One pass over the key columns with a frequency sketch per task; the sketches are merged
-    in 64 tasks, then in one. Rows without a key count as one key. Only a missed or a
-    needless split can follow from the sketch's error, never a wrong row.
-    """
-    hashed = df.select(_key_hash(on), F.pmod(F.spark_partition_id(), F.lit(64)).alias("_g"))
-    sketches = hashed.groupBy("_g").agg(F.expr(f"approx_top_k_accumulate(_h, {TRACKED_KEYS})").alias("_s"))
-    # Grouped by one value: an ungrouped merge would also start from tasks without any sketch.
-    top = sketches.groupBy((F.col("_g") * 0).alias("_one")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_s), {SPLIT_KEYS})").alias("_top"))
-    found = top.select(F.explode("_top").alias("e")).where(F.col("e.count") >= rows_per_split)
-    parts = F.least(F.call_function("div", F.col("e.count"), F.lit(rows_per_split)) + 1, F.lit(MAX_SPLITS))
-    return found.select(F.col("e.item").alias("_h"), parts.cast("int").alias("_splits"))
-
-
-def _key_hash(on: Sequence[str]) -> Column:
-    return F.xxhash64(*[column(k) for k in on]).alias("_h")
-
-
-def with_splits(df: DataFrame, on: Sequence[str], splits: DataFrame, out: str = "splits") -> DataFrame:
-    """Rows with the number of parts of their key, 1 for most. ``splits`` has 512 rows at most, hence the broadcast."""
-    found = df.withColumn("_h", _key_hash(on)).join(F.broadcast(splits), "_h", "left")
-    return found.withColumn(out, F.coalesce("_splits", F.lit(1))).drop("_h", "_splits")
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    left_splits: str,
-    right_splits: str,
-    how: str = "left",
-) -> DataFrame:
-    """Equi-join that sends the left rows of a key to as many tasks as its splits say.
-
-    They are split by a hash of ``spread``, columns that tell left rows apart, so a retried
-    task splits them alike; right rows are repeated for each part. A key must have no
-    more splits on the left than on the right. The right column is dropped.
-    """
-    salt = F.pmod(F.xxhash64(*[column(c) for c in spread]), column(left_splits)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), column(right_splits) - 1))
-    split_right = right.withColumn("_salt", salts).drop(right_splits)
-    return left.withColumn("_salt", salt).join(split_right, [*on, "_salt"], how).drop("_salt")
-
-
-def spread_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """``spread_join`` with the splits that the frequent keys of ``left`` need.
-
-    ``left`` is read a second time for its keys, so give a frame near its scan. A small
-    right side is still broadcast by the optimiser, which knows its size.
-    """
-    splits = key_splits(left, on, rows_per_split)
-    split_left = with_splits(left, on, splits, "_parts")
-    split_right = with_splits(right, on, splits, "_right_parts")
-    return spread_join(split_left, split_right, on, spread, "_parts", "_right_parts", how).drop("_parts")
-
-
 def running_count(
     df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], flag: Column, out: str
 ) -> DataFrame:
@@ -176,7 +106,7 @@ def unique_names(
         F.regexp_extract("_base", NUMBERED, 1).alias("_parent"), "_base", "_first", number.cast("bigint").alias("_k")
     ).where("_k >= 2")
     parents = firsts.select(F.col("_base").alias("_parent"))
-    edges = spread_lookup(numbered, parents, ["_parent"], ["_base"], "inner")
+    edges = numbered.join(parents, "_parent")
     fixed = None
     if taken is not None:
         fixed, edges = _taken_names(firsts, edges, taken, suffix)

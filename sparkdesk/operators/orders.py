@@ -6,7 +6,9 @@ customer_name, customer_tier, sku_code, quantity, unit_price, remark, requested_
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,9 +109,9 @@ def order_status(risk: Column) -> Column:
 
 
 def order_number(created_at: Column, key: Column) -> Column:
-    """PO-<UTC time>-<6 hex digits>; the digits are a digest of the key, so a retry gives the same number."""
+    """PO-<UTC time>-<14 hex digits>, 32 characters; the digits are a digest of the key, so a retry gives the same number."""
     moment = F.translate(F.substring(instant_text(created_at), 1, 19), "-T:", "")
-    tail = F.upper(F.substring(F.md5(key.cast("string").cast("binary")), 1, 6))
+    tail = F.upper(F.substring(F.md5(key.cast("string").cast("binary")), 1, 14))
     return F.concat(F.lit("PO-"), moment, F.lit("-"), tail)
 
 
@@ -180,7 +182,11 @@ def decide(orders: DataFrame, rules: DataFrame, tier: str = "customer_tier", amo
 
 
 def find_order(orders: DataFrame, order_no: str) -> DataFrame:
-    return responses(orders.where(F.col("order_no") == order_no))
+    """The order of that number. Of the stored table only the day is read that a number made by ``order_number`` carries."""
+    found = orders.where(F.col("order_no") == order_no)
+    if "order_day" in orders.columns and (made := re.fullmatch(r"PO-([0-9]{8})[0-9]{6}-[0-9A-F]{14}", order_no)):
+        found = found.where(F.col("order_day") == F.lit(datetime.strptime(made[1], "%Y%m%d").date()))
+    return responses(found)
 
 
 def check_limit(limit: int | None = None) -> int:

@@ -93,7 +93,7 @@ def clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def context(spark: SparkSession, d: str) -> DataFrame:
-    return C.caption_context(urls(spark, d), views(spark, d), page_name="page").drop("url", "splits")
+    return C.caption_context(urls(spark, d), views(spark, d), page_name="page").drop("url")
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkdesk.functions import jsons as J
+from sparkdesk.operators.json_nodes import json_nodes
 from sparkdesk.plans.inputs import table
 
 
@@ -107,11 +108,10 @@ def map_struct(spark, d):
 
 
 def json_flatten(spark, d):
-    nodes = J.json_flatten(F.col("doc"), 4)
-    docs = table(spark, d, "events").select("event_id", _nested().alias("doc"))
-    return docs.select("event_id", F.posexplode(nodes).alias("n", "node")).select(
-        "event_id", "n", "node.path", "node.key", "node.kind", "node.value"
-    )
+    """The nested documents with a chain of five more levels at their end."""
+    chain = F.concat(F.lit(',"c":{"d":{"e":{"f":{"g":'), "event_id", F.lit("}}}}}"))
+    deep = F.concat(F.regexp_replace(_nested(), r"\}$", ""), chain)
+    return json_nodes(table(spark, d, "events").select("event_id", deep.alias("doc")), ["event_id"], "doc")
 
 
 QUERIES = {
@@ -173,6 +173,11 @@ ORACLE = {
                 {{'n': 8, 'path': '$.b.q', 'key': 'q', 'kind': 'array', 'value': '["{{\\"k\\":\\"' || event_type || '\\"}}"]'}},
                 {{'n': 9, 'path': '$.b.q[0]', 'key': null, 'kind': 'text', 'value': '{{"k":"' || event_type || '"}}'}},
                 {{'n': 10, 'path': '$.b.n', 'key': 'n', 'kind': 'other', 'value': 'null'}},
-                {{'n': 11, 'path': '$.u', 'key': 'u', 'kind': 'other', 'value': user_id::varchar}}]) as u
+                {{'n': 11, 'path': '$.u', 'key': 'u', 'kind': 'other', 'value': user_id::varchar}},
+                {{'n': 12, 'path': '$.c', 'key': 'c', 'kind': 'object', 'value': '{{"d":{{"e":{{"f":{{"g":' || event_id || '}}}}}}}}'}},
+                {{'n': 13, 'path': '$.c.d', 'key': 'd', 'kind': 'object', 'value': '{{"e":{{"f":{{"g":' || event_id || '}}}}}}'}},
+                {{'n': 14, 'path': '$.c.d.e', 'key': 'e', 'kind': 'object', 'value': '{{"f":{{"g":' || event_id || '}}}}'}},
+                {{'n': 15, 'path': '$.c.d.e.f', 'key': 'f', 'kind': 'object', 'value': '{{"g":' || event_id || '}}'}},
+                {{'n': 16, 'path': '$.c.d.e.f.g', 'key': 'g', 'kind': 'other', 'value': event_id::varchar}}]) as u
             from events)""",
 }

@@ -18,6 +18,13 @@ def priced(spark: SparkSession, d: str) -> DataFrame:
     return O.price(accepted).where(O.table_checks())
 
 
+def stored(spark: SparkSession, d: str) -> DataFrame:
+    """All orders as the order table, one folder per day."""
+    path = scratch_path(spark, "orders")
+    O.append_orders(priced(spark, d), path)
+    return spark.read.parquet(path)
+
+
 def _shown(df: DataFrame) -> DataFrame:
     times = {name: instant_text(F.col(name)) for name in ("created_at", "updated_at") if name in df.columns}
     return df.withColumns(times)
@@ -76,18 +83,18 @@ def order_valid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_by_key(spark: SparkSession, d: str) -> DataFrame:
-    """One order by its number, found through the whole table; a second number has no match."""
-    orders = priced(spark, d)
-    wanted = "PO-20240101001527-C9F0F8"
-    return _shown(O.find_order(orders, wanted))
+    """The order of the smallest accepted request by its number, read from the stored table; a second number has no match."""
+    orders = stored(spark, d)
+    wanted = orders.agg(F.min_by("order_no", "request_id")).first()[0]
+    return _shown(O.find_order(orders, wanted).unionByName(O.find_order(orders, "PO-20240101000000-00000000000000")))
 
 
 def limit_bounds(spark: SparkSession, d: str) -> DataFrame:
-    return _shown(O.latest_orders(priced(spark, d), 100))
+    return _shown(O.latest_orders(stored(spark, d), 100))
 
 
 def latest_orders(spark: SparkSession, d: str) -> DataFrame:
-    return _shown(O.latest_orders(priced(spark, d)))
+    return _shown(O.latest_orders(stored(spark, d)))
 
 
 def order_decision(spark: SparkSession, d: str) -> DataFrame:
@@ -152,7 +159,7 @@ QUERIES = {
 
 
 _TRIM = "trim({}, ' ' || chr(9) || chr(10))"
-_NUMBER = "'PO-' || strftime({ts}, '%Y%m%d%H%M%S') || '-' || upper(substr(md5({key}::varchar), 1, 6))"
+_NUMBER = "'PO-' || strftime({ts}, '%Y%m%d%H%M%S') || '-' || upper(substr(md5({key}::varchar), 1, 14))"
 
 REQUESTS_SQL = f"""
     requests as (
@@ -166,8 +173,7 @@ REQUESTS_SQL = f"""
                    ::decimal(16,5) as unit_price,
                ts as requested_at
         from events left join customer on c_custkey = user_id
-             left join part on p_partkey = event_id % (select count(*) from part)
-        where event_type = 'purchase'),
+             left join part on p_partkey = event_id % (select count(*) from part)),
     checked as (
         select *, [x for x in [
             case when coalesce({_TRIM.format('customer_name')}, '') = '' then 'customerName: customerName must not be blank' end,
@@ -235,7 +241,7 @@ ORACLE = {
     "order_valid": f"""
         with {REQUESTS_SQL}
         select request_id, case when len(violations) = 0 then 'accepted' else 'rejected' end as outcome from checked""",
-    "order_by_key": f"with {REQUESTS_SQL} {_RESPONSE} where order_no = 'PO-20240101001527-C9F0F8'",
+    "order_by_key": f"with {REQUESTS_SQL} {_RESPONSE} where order_no = (select arg_min(order_no, request_id) from priced)",
     "limit_bounds": f"""
         with {REQUESTS_SQL}, top as (select * from priced order by created_at desc, order_no limit 100)
         {_RESPONSE.replace('from priced', 'from top')}""",

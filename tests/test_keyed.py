@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkdesk.operators import keyed as K
+from sparkdesk.operators.captions import caption_context
+from sparkdesk.operators.jobs import job_status
 
 
 def one_by_one(titles, taken=()):
@@ -51,39 +53,30 @@ def test_running_count(spark, monkeypatch):
     assert {r["pos"]: r["n"] for r in got} == want
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_spread_lookup(spark, how):
-    rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 50}") for i in range(3000)]
-    left = spark.createDataFrame(rows, "id int, k string")
-    right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k5", 3), ("unused", 4)], "k string, v int")
-    joined = K.spread_lookup(left, right, ["k"], ["id"], how, rows_per_split=100)
-    plain = left.join(right, "k", how)
-    assert sorted(map(tuple, joined.select("id", "k", "v").collect()), key=str) == sorted(
-        map(tuple, plain.select("id", "k", "v").collect()), key=str
-    )
-    parts = K.with_splits(left, ["k"], K.key_splits(left, ["k"], 100)).where("splits > 1").select("k", "splits").distinct()
-    assert {tuple(r) for r in parts.collect()} == {("hot", 11), (None, 11)}
-
-
-def test_spread_lookup_on_nothing(spark):
-    left = spark.createDataFrame([], "id int, k string")
-    right = spark.createDataFrame([("a", 1)], "k string, v int")
-    assert K.spread_lookup(left, right, ["k"], ["id"]).collect() == []
+def test_a_number_above_a_thousand_million_is_a_number(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a_3000000000")], "pos bigint, base string")
+    taken = spark.createDataFrame([("a_2.md",), ("a_3000000000.md",)], "name string")
+    got = {r["pos"]: r["name"] for r in K.unique_names(df, "base", "pos", taken=taken).collect()}
+    assert got == {1: "a.md", 2: "a_3.md", 3: "a_3000000000_2.md"}
 
 
-def test_hot_rows_are_split(spark):
-    """The hot key's rows reach several tasks; with a plain join they reach one."""
-    left = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    right = spark.range(100).select((F.col("id") - 1).alias("k"), F.col("id").alias("v"))
+def test_rows_without_a_key_reach_several_tasks(spark):
+    """Links without an id and records without an application, with the help of adaptive execution switched off."""
+    links = spark.range(4000).select(F.lit("https://v.example.com/watch").alias("url"), F.lit(0).alias("src"), F.col("id").alias("pos"))
+    views = spark.createDataFrame([("BV1", "{}")], "bvid string, payload string")
+    texts = ["submission_id", "application_id", "job_name", "queue", "launcher_state", "yarn_state", "final_status", "tracking_url", "last_error"]
+    records = spark.range(4000).select(
+        *[(F.col("id").cast("string") if c == "submission_id" else F.lit(None).cast("string")).alias(c) for c in texts],
+        F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"),
+    )
+    reports = spark.createDataFrame([("a1", "RUNNING", None, None)], "application_id string, yarn_state string, final_status string, tracking_url string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        def tasks(df):
-            return df.where("k = -1").select(F.spark_partition_id()).distinct().count()
-
-        assert tasks(left.join(right, "k", "left").withColumn("x", F.rand())) == 1
-        assert tasks(K.spread_lookup(left, right, ["k"], ["id"], rows_per_split=100).withColumn("x", F.rand())) > 4
+        for joined in (caption_context(links, views), job_status(records, reports, "http://router")):
+            assert joined.count() == 4000
+            assert joined.select(F.spark_partition_id()).distinct().count() > 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
         spark.conf.set("spark.sql.adaptive.enabled", before[1])

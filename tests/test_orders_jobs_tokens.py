@@ -33,7 +33,7 @@ def test_normalise_and_number(spark):
     df = request(spark, ("k", " Cathy\t", " gold", "pg-ha-case ", 3, "199"), ("l", "n", "x", "s", 1, "0.015"))
     rows = O.price(df).orderBy("request_id").collect()
     assert (rows[0]["customer_name"], rows[0]["customer_tier"], rows[0]["sku_code"]) == ("Cathy", "GOLD", "PG-HA-CASE")
-    assert rows[0]["order_no"] == "PO-20240506070809-" + hashlib.md5(b"k").hexdigest()[:6].upper()
+    assert rows[0]["order_no"] == "PO-20240506070809-" + hashlib.md5(b"k").hexdigest()[:14].upper()
     assert (rows[0]["shipping_fee"], rows[0]["risk_level"], rows[0]["status"]) == (Decimal("6.00"), "MEDIUM", "CREATED")
     assert rows[1]["unit_price"] == Decimal("0.02")
 
@@ -267,3 +267,16 @@ def test_seed_rows_are_appended(spark, tmp_path):
     O.append_orders(seeds, path)
     back = spark.read.parquet(path)
     assert back.count() == seeds.count() and back.where("order_day != to_date(created_at)").isEmpty()
+
+
+def test_find_order_reads_one_day(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    O.append_orders(O.price(request(spark, ("a", "n", "t", "s", 1, "1"), ("b", "n", "t", "s", 1, "1"))), path)
+    stored = spark.read.parquet(path)
+    wanted = stored.where("request_id = 'a'").first()["order_no"]
+    found = O.find_order(stored, wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "order_day" in plan.split("PartitionFilters: ")[1].split("PushedFilters: ")[0]
+    assert "EqualTo(order_no" in plan.split("PushedFilters: ")[1]
+    assert [r["order_no"] for r in found.collect()] == [wanted]
+    assert O.find_order(stored, "PO-DEMO-0001").isEmpty()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkdesk.functions import jsons as J
+from sparkdesk.operators.json_nodes import json_nodes
 from sparkdesk.functions import links as L
 from sparkdesk.functions import strings as S
 
@@ -149,6 +150,18 @@ def test_json_flatten(spark):
             assert [(n["path"], n["key"], n["value"]) for n in nodes] == list(flat(doc, depth=depth))
 
 
+def test_json_nodes_to_any_depth(spark):
+    docs = [*DOCS, {"a": {"b": {"c": {"d": {"e": [[{"f": 1}]]}}}}}]
+    df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=False)) for i, d in enumerate(docs)] + [(99, None)], "id int, doc string")
+    got = {}
+    for r in sorted(json_nodes(df, ["id"], "doc").collect(), key=lambda r: (r["id"], r["n"])):
+        got.setdefault(r["id"], []).append((r["path"], r["key"], r["value"]))
+    for i, doc in enumerate(docs):
+        assert got.get(i, []) == list(flat(doc, depth=20))
+    assert 99 not in got
+    assert json_nodes(df, ["id"], "doc", 2).where("path rlike '[.].*[.].*[.]'").isEmpty()
+
+
 def flatten(depth):
     return lambda c: J.json_flatten(c, depth)
 
