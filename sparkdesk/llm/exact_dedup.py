@@ -91,8 +91,18 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they are."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key"))
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they are.
+
+    Of rows that repeat both the id and the normalised text one stays, whichever it is.
+    """
+    kept = exact_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    kept = kept.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key")).agg(F.count("*").alias("_n"))
+    kept = materialise(kept, "kept-ids")
     keyed = docs.withColumn("_sha", F.sha2(spaced(text_of()), 256))
-    left = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_key")), "left_semi")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_key"))
+    left, again = keyed.join(kept, same, "left_semi"), kept.where("_n > 1")
+    if not again.isEmpty():
+        # Only the rows of repeated ids are moved once more.
+        one = keyed.join(again, same, "left_semi").dropDuplicates(["doc_id", "_sha"])
+        left = left.join(again, same, "left_anti").unionByName(one)
     return left.drop("_sha")

@@ -64,6 +64,10 @@ def test_exact(docs):
     assert Counter(r.text_sha256 for r in rows if r.kept) == Counter({sha(t): 1 for t in groups})
     left = exact_dedup.drop_copies(docs)
     assert left.columns == docs.columns
+    plain = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    assert sorted((r.doc_id, plain(r.text)) for r in left.collect()) == sorted((min(ids), t) for t, ids in groups.items())
+    nobody = docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text")
+    assert Counter(plain(r.text) for r in exact_dedup.drop_copies(nobody).collect()) == Counter({t: 1 for t in groups})
 
 
 def test_exact_chunks_give_the_text_again(docs):
