@@ -17,11 +17,19 @@ from sparkdesk.session import materialise
 LINES_PER_CUT, LONGEST = 4, 1024
 
 
+def _versions(docs: DataFrame) -> DataFrame:
+    text = docs.select("doc_id", text_of().alias("_text"))
+    return text.withColumn("version", F.xxhash64("_text"))
+
+
 def with_chunks(docs: DataFrame) -> DataFrame:
     """``doc_id, version, lines, starts`` and ``chunks``, texts that joined by a line break give the whole text."""
+    return _chunked(_versions(docs))
+
+
+def _chunked(rows: DataFrame) -> DataFrame:
     lines, hashes, bounds, starts = (F.col(c) for c in ("lines", "_hashes", "_bounds", "starts"))
-    out = docs.select("doc_id", text_of().alias("_text"))
-    out = out.select("doc_id", F.xxhash64("_text").alias("version"), F.split("_text", "\n", -1).alias("lines"))
+    out = rows.withColumn("lines", F.split("_text", "\n", -1)).drop("_text")
     out = out.withColumn("_hashes", F.transform(lines, lambda s: F.xxhash64(s)))
     roll = lambda k: F.pmod(F.xxhash64(F.get(hashes, k - 2), F.get(hashes, k - 1)), F.lit(LINES_PER_CUT)) == 0
     inner = F.when(F.size(hashes) > 2, F.filter(F.sequence(F.lit(2), F.size(hashes) - 1), roll)).otherwise(F.array().cast("array<int>"))
@@ -60,7 +68,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     of them loses a chunk to another. Chunks of one line and chunks without a word always stay. No rows give no rows.
     """
     gone = repeated_chunks(docs).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "gone")
-    joined = with_chunks(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left")
+    # Texts are moved before they are cut, once; the hint keeps the join the same at every size.
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+    joined = _chunked(_versions(docs).join(gone.hint("merge"), same, "left"))
     gone, starts, lines, chunks = (F.col(c) for c in ("gone", "starts", "lines", "chunks"))
     sizes = F.transform(gone, lambda i: F.coalesce(F.get(starts, i + 1), F.size(lines)) - F.get(starts, i))
     left = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), gone)
