@@ -260,3 +260,32 @@ def test_empty_tables_and_rows_without_ids(docs, odd):
         assert count == n or name in ("copies", "one"), name
     assert packing.packed_documents(none, VOCABULARY).count() == 0
     assert jaccard_join.drop_near(odd).where("doc_id is null").count() == 2
+
+
+def test_repeated_line_runs(spark):
+    rng = np.random.default_rng(7)
+    passages = [[f"p{k} line {j} of a passage" for j in range(n)] + [""] * (k % 2) for k, n in enumerate((2, 3, 4, 6, 2, 5))]
+    texts = []
+    for i in range(60):
+        lines = []
+        for _ in range(rng.integers(1, 4)):
+            lines += [f"own {i} {rng.integers(1 << 40)}" for _ in range(rng.integers(0, 4))] + passages[rng.integers(len(passages))]
+        texts.append("\n".join(lines))
+    texts += ["\n\n\n\n", "same\nsame\nsame", "same\nsame\nsame\nsame\nsame", "\n".join(passages[3][2:4])]
+    seen, want = {}, []
+    for i, t in enumerate(texts):
+        lines, gone = t.split("\n"), set()
+        for k in range(len(lines) - 1):
+            if words_of(lines[k]) or words_of(lines[k + 1]):
+                doc, place = seen.setdefault((lines[k], lines[k + 1]), (i, k))
+                if doc != i or k - place >= 2:
+                    gone |= {k, k + 1}
+        want.append((len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    found = by_id(line_dedup.drop_repeated_lines(docs))
+    assert [(found[i].n_lines, found[i].n_removed, found[i].text) for i in range(len(texts))] == want
+    chunks = by_id(line_dedup.with_chunks(docs))
+    assert all("\n".join(chunks[i].chunks) == t and len(chunks[i].chunks) == found[i].n_chunks for i, t in enumerate(texts))
+    # No word of a passage is left at any place but the first.
+    left = Counter(x for f in found.values() for x in f.text.split("\n"))
+    assert all(left[x] == 1 for p in passages for x in p if x)
