@@ -2,7 +2,7 @@
 
 Each stage reads what the one before it wrote. The first four return the columns of ``documents``: the quality classifier drops documents,
 exact and near deduplication keep one document of each group, and the secret scan masks what it finds. The
-last returns the pieces of all documents left with their places in the sequences.
+last returns the pieces of all documents left, their token ids with their places in the sequences.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed."""
+    """The pieces of all documents with their ids, packed."""
     return packing.packed_documents(docs, VOCABULARY)
 
 

@@ -187,6 +187,6 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece of every document."""
-    cut = pieces(docs, path).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(cut)
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids`` of every piece of every document."""
+    packed = pack(pieces(docs, path))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")

@@ -54,7 +54,7 @@ def secret_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY)
+    return packing.packed_documents(table(spark, folder, "documents"), VOCABULARY).drop("ids")
 
 
 def exact_query(spark: SparkSession, folder: str) -> DataFrame:

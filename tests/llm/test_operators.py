@@ -289,3 +289,15 @@ def test_repeated_line_runs(spark):
     # No word of a passage is left at any place but the first.
     left = Counter(x for f in found.values() for x in f.text.split("\n"))
     assert all(left[x] == 1 for p in passages for x in p if x)
+
+
+def test_packed_pieces_keep_their_ids(docs, spark):
+    import corpus_pipeline
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found, rows = defaultdict(list), corpus_pipeline.STAGES[-1][1](spark, docs.dropDuplicates(["doc_id"]), "").collect()
+    for r in sorted(rows, key=lambda r: r.piece):
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert (len(ids), zlib.crc32(bytes(r.ids))) == (r.length, r.ids_crc32)
+        found[r.doc_id] += ids
+    assert found == {i: [*library.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(TEXTS)}
