@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from sparkdesk.operators.keyed import insert_if_absent
-from sparkdesk.operators.orders import append_orders, price, split_valid, table_checks
+from sparkdesk.operators.orders import LENGTH_LIMITS, TABLE_MESSAGE, append_orders, order_number, price, split_valid, table_checks
+from sparkdesk.session import materialise
 
 # The number ties an order to its day, so keys can only meet within one day's folder.
 ORDER_KEYS = ["order_no", "request_id"]
 
 
-def stored_orders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def stored_orders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The order table, empty where nothing was stored yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -25,22 +27,56 @@ def stored_orders(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def add_orders(requests: DataFrame, path: str) -> None:
-    """One batch of requests into the order table. Running it twice adds nothing the second time."""
-    accepted, _ = split_valid(requests)
+def _split_storable(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``split_valid``; a request that gets no order number, for want of a time or an id, is rejected, too."""
+    accepted, rejected = split_valid(requests)
+    number = order_number(F.col("requested_at"), F.col("request_id"))
+    fits = F.coalesce(F.length(number) <= LENGTH_LIMITS["order_no"], F.lit(False))
+    late = accepted.where(~fits).withColumns({"violations": F.array(F.lit(TABLE_MESSAGE)), "message": F.lit(TABLE_MESSAGE)})
+    return accepted.where(fits), rejected.unionByName(late)
+
+
+def add_orders(requests: DataFrame, path: str, aside: str | None = None, batch_id: int = 0) -> None:
+    """One batch of requests into the order table. Running it twice adds nothing the second time.
+
+    Below ``aside``, ``rejected`` gets the requests that break a rule, with their message, and ``conflicts`` the orders
+    whose key is stored already or came earlier in the batch, both in one folder per ``batch_id``. A batch that is run again
+    writes them anew until ``decided`` has its number, which it gets before its first order is stored, and never after.
+    """
+    spark = requests.sparkSession
+    accepted, rejected = _split_storable(requests)
     orders = price(accepted).where(table_checks())
     days = orders.select(F.to_date("created_at").alias("order_day")).distinct()
     schema = orders.withColumn("order_day", F.lit(None).cast("date")).schema
     # Only the folders of the batch's days are read.
-    existing = stored_orders(requests.sparkSession, path, schema).join(days, "order_day", "left_semi")
-    append_orders(insert_if_absent(orders, existing, ORDER_KEYS, [F.col("created_at")]), path)
+    existing = stored_orders(spark, path, schema).join(days, "order_day", "left_semi")
+    # Rows of one key and time in a fixed order, so that a batch that is run again chooses the same.
+    order = [F.col("created_at"), F.xxhash64(*orders.columns)]
+    if aside is None:
+        append_orders(insert_if_absent(orders, existing, ORDER_KEYS, order), path)
+        return
+    rank = F.row_number().over(W.partitionBy(*ORDER_KEYS).orderBy(*order))
+    stored = existing.select(*ORDER_KEYS).distinct().withColumn("_stored", F.lit(True))
+    marked = materialise(orders.withColumn("_rank", rank).join(stored, ORDER_KEYS, "left").select(*orders.columns, "_rank", "_stored"), "order-batch")
+    fresh = (F.col("_rank") == 1) & F.col("_stored").isNull()
+    decided = f"{aside}/decided/batch_id={batch_id}"
+    if stored_orders(spark, decided, T.StructType([T.StructField("n", T.LongType())])).isEmpty():
+        rejected.write.mode("overwrite").parquet(f"{aside}/rejected/batch_id={batch_id}")
+        marked.where(~fresh).drop("_rank", "_stored").write.mode("overwrite").parquet(f"{aside}/conflicts/batch_id={batch_id}")
+        spark.range(1).select(F.col("id").alias("n")).coalesce(1).write.mode("overwrite").parquet(decided)
+    append_orders(marked.where(fresh).drop("_rank", "_stored"), path)
+
 
+def stream_orders(requests: DataFrame, path: str, checkpoint: str, aside: str | None = None, **trigger) -> StreamingQuery:
+    """``trigger`` is what ``DataStreamWriter.trigger`` takes; all available input by default.
 
-def stream_orders(requests: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """``trigger`` is what ``DataStreamWriter.trigger`` takes; all available input by default."""
+    Requests that are not stored go below ``aside``, which is ``<path>-aside`` by default: stored, rejected and conflicting
+    ones are together all of the stream's.
+    """
+    aside = aside or f"{path.rstrip('/')}-aside"
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        add_orders(batch, path)
+        add_orders(batch, path, aside, batch_id)
 
     return (
         requests.writeStream.foreachBatch(add)

@@ -280,3 +280,32 @@ def test_find_order_reads_one_day(spark, tmp_path):
     assert "EqualTo(order_no" in plan.split("PushedFilters: ")[1]
     assert [r["order_no"] for r in found.collect()] == [wanted]
     assert O.find_order(stored, "PO-DEMO-0001").isEmpty()
+
+
+def test_stream_keeps_what_it_does_not_store(spark, tmp_path):
+    from datetime import datetime
+
+    from sparkdesk.streaming.orders import stream_orders
+
+    at, schema = datetime(2024, 1, 2), "request_id string, customer_name string, customer_tier string, sku_code string, quantity int, unit_price decimal(16,5), remark string, requested_at timestamp"
+    batches = [[("a", "Ann", at), ("b", " ", at), ("c", "Cy", None), ("a", "Ann", at)], [("a", "Ann", at), ("d", "Di", at), ("e", "n" * 70, at)]]
+    landed, path = str(tmp_path / "landed"), str(tmp_path / "orders")
+    frames = [spark.createDataFrame([(i, n, "gold", "s-1", 2, Decimal("9.99"), None, t) for i, n, t in rows], schema) for rows in batches]
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        stream_orders(stream, path, str(tmp_path / "ckpt")).awaitTermination()
+
+    def found():
+        read = lambda p: spark.read.parquet(p)
+        rejected, conflicts = read(f"{path}-aside/rejected"), read(f"{path}-aside/conflicts")
+        return [sorted(r.request_id for r in f.collect()) for f in (read(path), rejected, conflicts)], {r.request_id: r.message for r in rejected.collect()}
+
+    want = [["a", "d"], ["b", "c", "e"], ["a", "a"]]
+    ids, messages = found()
+    assert ids == want
+    assert "customerName" in messages["b"] and messages["c"] == messages["e"] == O.TABLE_MESSAGE
+    # A batch that is run again after its orders were stored changes nothing.
+    for k, frame in enumerate(frames):
+        add_orders(frame, path, f"{path}-aside", k)
+    assert found()[0] == want
