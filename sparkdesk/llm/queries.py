@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import bpe, exact_dedup, jaccard_join, line_crf, line_dedup, packing, quality_rules, secret_scan, substring_dedup, warc
+from sparkdesk.llm import bpe, exact_dedup, jaccard_join, line_crf, line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup, warc
 from sparkdesk.llm.common import table
 
 #: The vocabulary file of the tokenising queries.
@@ -65,6 +65,16 @@ def warc_query(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(table(spark, folder, "pages"))
 
 
+def merkle_query(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    proved = merkle.prove(*merkle.manifest(table(spark, folder, "documents"), tampered))
+    told = lambda name: F.lower(F.hex(name))
+    return proved.select(
+        "doc_id", told("hash").alias("leaf"), told("subroot").alias("subroot"), told("root").alias("root"), told("proof").alias("proof_sha256"),
+        told("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +92,7 @@ QUERIES = {
     "op8_packing": packing_query,
     "op9_exact_dedup": exact_query,
     "op10_warc": warc_query,
+    "op11_merkle": merkle_query,
     "pipeline": pipeline_query,
 }
 
@@ -105,7 +116,50 @@ def _rule_sql(ordinal: int, rule: secret_scan.Rule) -> str:
     )
 
 
+#: CRC-32 of the ASCII text ``t``, as DuckDB has none.
+_CRC = (
+    "xor(list_reduce([4294967295::bigint] || list_transform(string_split(t, ''), lambda x: ord(x)::bigint), lambda crc, byte: xor(crc >> 8, "
+    "list_reduce([(xor(crc, byte) & 255)] || [0::bigint, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))), 4294967295)"
+)
+
+
+def _merkle_sql(levels: int = 7, top: int = 2) -> str:
+    """The trees level by level; a tree of one node stays as it is. ``levels`` and ``top`` suffice for 2 million documents of a language in 64 of them."""
+    told = lambda c: f"coalesce(octet_length(encode({c}::varchar)) || ':' || {c}, '-')"
+    leaf = lambda text: f"sha256({' || '.join([told(c) for c in ('doc_id', 'source', 'lang', 'n_chars')] + [told(text)])})"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"c as (select *, {_CRC} % 3 = 0 as tampered from (select *, doc_id::varchar as t from documents))",
+        f"h as (select doc_id, lang as g, {leaf('text')} as h, case when tampered then {leaf(lower)} else {leaf('text')} end as seen from c)",
+        "p0 as (select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as i from h)",
+        "n0 as (select g, i, h, count(*) over (partition by g) as c from p0)",
+        "f0 as (select doc_id, g, i, seen as cur, '' as proof, h as leaf from p0)",
+    ]
+
+    def rise(n: str, f: str, l: int) -> None:
+        steps.append(f"r{n}{l} as (select g, i // 8 as i, list(h order by i) as run, max(c) as c from {n}{l} group by g, i // 8)")
+        steps.append(f"{n}{l + 1} as (select g, i, case when c = 1 then run[1] else sha256(array_to_string(run, '')) end as h, count(*) over (partition by g) as c from r{n}{l})")
+        steps.append(
+            f"{f}{l + 1} as (select {f}{l}.* exclude (cur, proof, i), r.i as i, case when c = 1 then cur else "
+            f"sha256(array_to_string(run[: {f}{l}.i % 8] || [cur] || run[{f}{l}.i % 8 + 2 :], '')) end as cur, "
+            f"case when c = 1 then proof else proof || array_to_string(run[: {f}{l}.i % 8] || run[{f}{l}.i % 8 + 2 :], '') end as proof "
+            f"from {f}{l} join r{n}{l} r on {f}{l}.g is not distinct from r.g and {f}{l}.i // 8 = r.i)"
+        )
+
+    for level in range(levels):
+        rise("n", "f", level)
+    steps.append(f"t0 as (select 0 as g, row_number() over (order by g nulls first) - 1 as i, h, g as name, count(*) over () as c from n{levels})")
+    steps.append(f"u0 as (select doc_id, leaf, h as subroot, 0 as g, t0.i, cur, proof from f{levels} f join t0 on f.g is not distinct from t0.name)")
+    for level in range(top):
+        rise("t", "u", level)
+    return (
+        f"with {', '.join(steps)} select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, cur as folded_root, cur = h as verified "
+        f"from u{top}, t{top}"
+    )
+
+
 ORACLE = {
+    "op11_merkle": _merkle_sql(),
     "op1_substring_dedup": f"""
         with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
         windows as (select doc_id, i, array_to_string(ws[i : i + {substring_dedup.WINDOW - 1}], ' ') as k
