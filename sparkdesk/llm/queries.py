@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import bpe, exact_dedup, jaccard_join, line_crf, line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup, warc
+from sparkdesk.llm import bpe, collocations, exact_dedup, jaccard_join, line_crf, line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup, warc
 from sparkdesk.llm.common import table
 
 #: The vocabulary file of the tokenising queries.
@@ -75,6 +75,10 @@ def merkle_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def collocation_query(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_exact_dedup": exact_query,
     "op10_warc": warc_query,
     "op11_merkle": merkle_query,
+    "op12_collocations": collocation_query,
     "pipeline": pipeline_query,
 }
 
@@ -160,6 +165,24 @@ def _merkle_sql(levels: int = 7, top: int = 2) -> str:
 
 ORACLE = {
     "op11_merkle": _merkle_sql(),
+    "op12_collocations": rf"""
+        with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        p as (select lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?
+-]')), '[^ 	]+') as ws from t),
+        n as (select lang, sum(len(ws)) as n from p group by lang),
+        g as (select lang, k, ws, unnest(range(1, len(ws) - k + 2)) as i from p, (select unnest(range(1, 6)) as k) where len(ws) >= k),
+        f as (select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase, count(*) as a from g group by all having count(*) >= 100),
+        w as (select *, string_split(phrase, ' ') as ws from f where k > 1),
+        inner_ as (select lang, a, k, array_to_string(ws[i : i + m - 1], ' ') as phrase from
+            (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from w))),
+        c as (select * from w where not exists (select 1 from inner_ x where x.lang = w.lang and x.phrase = w.phrase and x.a >= w.a)),
+        cut as (select *, unnest(range(1, k)) as j from c),
+        s as (select cut.*, x.a as l, y.a as r, n.n, (1000::hugeint * cut.a * n.n) // (x.a::hugeint * y.a) as score from cut
+            join f x on x.lang = cut.lang and x.phrase = array_to_string(cut.ws[: j], ' ')
+            join f y on y.lang = cut.lang and y.phrase = array_to_string(cut.ws[j + 1 :], ' ') join n on n.lang = cut.lang),
+        low as (select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank, phrase, a::bigint as a, l::bigint as l,
+            r::bigint as r, n::bigint as n, score::bigint as score from low qualify rank <= {collocations.TOP}""",
     "op1_substring_dedup": f"""
         with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
         windows as (select doc_id, i, array_to_string(ws[i : i + {substring_dedup.WINDOW - 1}], ' ') as k
