@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import bpe, collocations, exact_dedup, jaccard_join, line_crf, line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup, warc
+from sparkdesk.llm import bpe, collocations, exact_dedup, jaccard_join, line_crf, line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
 from sparkdesk.llm.common import table
 
 #: The vocabulary file of the tokenising queries.
@@ -79,6 +79,11 @@ def collocation_query(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def suffix_query(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffix_dedup.drop_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline_query(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op10_warc": warc_query,
     "op11_merkle": merkle_query,
     "op12_collocations": collocation_query,
+    "op13_suffix_dedup": suffix_query,
     "pipeline": pipeline_query,
 }
 
@@ -165,10 +171,23 @@ def _merkle_sql(levels: int = 7, top: int = 2) -> str:
 
 ORACLE = {
     "op11_merkle": _merkle_sql(),
+    "op13_suffix_dedup": f"""
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        s as (select doc_id, i, substr(h, 2 * i + 1, {2 * suffix_dedup.LENGTH}) as x
+            from (select doc_id, h, unnest(range(0, greatest(len(h) // 2 - {suffix_dedup.LENGTH - 1}, 0))) as i from d)),
+        f as (select x, min(doc_id) as first from s group by x having count(*) > 1),
+        gone as (select distinct doc_id, unnest(range(i, i + {suffix_dedup.LENGTH})) as p from s join f using (x) where doc_id > first),
+        runs as (select doc_id, count(*) as n, count(*) filter (lag is null or lag < p - 1) as spans
+            from (select doc_id, p, lag(p) over (partition by doc_id order by p) as lag from gone) group by doc_id),
+        b as (select doc_id, unnest(range(0, len(h) // 2)) as p, h from d),
+        kept as (select doc_id, string_agg(substr(h, 2 * p + 1, 2), '' order by p) as k from b anti join gone using (doc_id, p) group by doc_id)
+        select d.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
+            sha256(unhex(coalesce(k, ''))) as kept_sha256 from d left join runs using (doc_id) left join kept using (doc_id)""",
     "op12_collocations": rf"""
         with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
         p as (select lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?
--]')), '[^ 	]+') as ws from t),
+-
+]')), '[^ 	]+') as ws from t),
         n as (select lang, sum(len(ws)) as n from p group by lang),
         g as (select lang, k, ws, unnest(range(1, len(ws) - k + 2)) as i from p, (select unnest(range(1, 6)) as k) where len(ws) >= k),
         f as (select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase, count(*) as a from g group by all having count(*) >= 100),
