@@ -30,7 +30,7 @@ from sparkdesk.session import materialise
 LEAST, LONGEST, TOP = 100, 5, 2000
 NO_LANG = "und"
 #: Characters of text in a block.
-BLOCK = 16_000_000
+BLOCK = 4_000_000
 # What parts pieces and words, over lower-cased texts.
 PIECE_END, GAP = r"[.,;:!?\x0A-\x0D]+", r"[\x20\x09]+"
 
