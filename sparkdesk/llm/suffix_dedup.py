@@ -34,7 +34,7 @@ from sparkdesk.session import materialise
 LENGTH, K = 50, 16
 SPAN = LENGTH - K + 1
 #: Bytes of a text that are sampled at once, tuples of a run, and contexts that are induced at once.
-SEGMENT, RUN, CHUNK = 1 << 20, 1 << 20, 200_000
+SEGMENT, RUN, CHUNK = 1 << 20, 1 << 18, 200_000
 BASE = int(wordhash._numbers("suffix", 1)[0])
 INVERSE = pow(BASE, -1, 1 << 64)
 COLUMNS = ("name", "context", "doc", "sub", "pos")
