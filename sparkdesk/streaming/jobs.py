@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkdesk.operators.jobs import fold
-from sparkdesk.operators.keyed import first_per_key
+from sparkdesk.streaming import records
 
 
 def stream_job_fold(
-    log: DataFrame, seq: Column, path: str, checkpoint: str, key: str = "submission_id", **trigger
+    log: DataFrame, seq: Column, path: str, checkpoint: str, key: str = "submission_id", every: int = records.EVERY, **trigger
 ) -> StreamingQuery:
-    """Writes the records that each batch changed to ``path``, one folder per batch.
+    """Writes the records that each batch changed to the store of ``records`` at ``path``.
 
-    A repeated batch replaces its folder. The state keeps one record per submission
+    A repeated batch changes nothing. The state keeps one record per submission
     and is not dropped: a late change may come for any of them.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        records.commit(batch, batch_id, path, key, owner=checkpoint, every=every)
 
     return (
         fold(log, seq, key)
@@ -34,4 +33,4 @@ def stream_job_fold(
 
 def current_records(spark: SparkSession, path: str, key: str = "submission_id") -> DataFrame:
     """The newest stored record of each submission."""
-    return first_per_key(spark.read.parquet(path), [key], [F.desc("batch")]).drop("batch")
+    return records.current(spark, path, key)

@@ -184,7 +184,8 @@ def test_job_status(spark):
         "application_id", F.when(F.col("submission_id") == "b", " ").otherwise(F.col("application_id"))
     )
     reports = spark.createDataFrame(
-        [("application_1_1", "FINISHED", "SUCCEEDED", None)], "application_id string, yarn_state string, final_status string, tracking_url string"
+        [("application_1_1", "FINISHED", "SUCCEEDED", None, AT)],
+        "application_id string, yarn_state string, final_status string, tracking_url string, reported_at timestamp",
     )
     got = {r["submission_id"]: r for r in J.job_status(records, reports, "http://r").collect()}
     assert (got["a"]["yarn_state"], got["a"]["final_status"], got["a"]["tracking_url"]) == ("FINISHED", "SUCCEEDED", None)
