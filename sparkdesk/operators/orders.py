@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkdesk.functions.cells import instant_text
 from sparkdesk.functions.strings import trim_ctl
@@ -31,7 +33,10 @@ BLANK_MESSAGES = {
 QUANTITY_MESSAGE = "quantity: quantity must be greater than 0"
 PRICE_NULL_MESSAGE = "unitPrice: unitPrice must not be null"
 PRICE_MIN_MESSAGE = "unitPrice: unitPrice must be greater than 0"
-TABLE_MESSAGE = "order: the order table does not take these values"
+TABLE_LENGTH_MESSAGE = "{}: the order table takes at most {} characters"
+TABLE_PRICE_MESSAGE = "unitPrice: the order table takes at most 10 digits before the point"
+TABLE_NUMBER_MESSAGE = "requestedAt: an order number needs a time and a request id"
+FIELD_NAMES = {"customer_name": "customerName", "customer_tier": "customerTier", "sku_code": "skuCode", "remark": "remark"}
 LENGTH_LIMITS = {"order_no": 32, "customer_name": 64, "customer_tier": 32, "sku_code": 64, "remark": 255}
 MIN_LIMIT, MAX_LIMIT, DEFAULT_LIMIT = 1, 100, 10
 
@@ -57,8 +62,38 @@ def violations(df: DataFrame) -> Column:
 
 def validate(requests: DataFrame) -> DataFrame:
     """Requests with ``violations`` and their text, joined by '; '."""
-    checked = requests.withColumn("violations", violations(requests))
-    return checked.withColumn("message", F.array_join("violations", "; "))
+    told = requests.withColumn("violations", violations(requests))
+    return told.withColumn("message", F.array_join("violations", "; "))
+
+
+def table_violations(columns: Sequence[str], numbered: bool = False) -> Column:
+    """Messages on what the order table itself refuses of a normalised row, one for each of its columns that does not fit.
+
+    With ``numbered``, a row that gets no order number is refused, too.
+    """
+    checks = [
+        F.when(F.length(name) > LENGTH_LIMITS[name], TABLE_LENGTH_MESSAGE.format(field, LENGTH_LIMITS[name]))
+        for name, field in FIELD_NAMES.items()
+        if name in columns
+    ]
+    checks.append(F.when(F.col("unit_price").isNull() | (F.col("unit_price") <= 0), TABLE_PRICE_MESSAGE))
+    if numbered:
+        number = order_number(F.col("requested_at"), F.col("request_id"))
+        checks.append(F.when(~F.coalesce(F.length(number) <= LENGTH_LIMITS["order_no"], F.lit(False)), TABLE_NUMBER_MESSAGE))
+    return F.array_compact(F.array(*checks))
+
+
+def checked(requests: DataFrame, numbered: bool = False) -> DataFrame:
+    """Normalised requests, ``asked``, the struct of what they were, and ``violations``: those of the request rules or, where a
+    request keeps these, of the order table."""
+    stored = normalise(requests.select("*", violations(requests).alias("violations"), F.struct(*requests.columns).alias("asked")))
+    refused = F.when(F.size("violations") == 0, table_violations(stored.columns, numbered)).otherwise(F.col("violations"))
+    return stored.withColumn("violations", refused)
+
+
+def classify(requests: DataFrame, numbered: bool = False) -> DataFrame:
+    """Requests as they are with ``violations``, as ``checked`` finds them, and ``message``, their text."""
+    return checked(requests, numbered).select("asked.*", "violations", F.array_join("violations", "; ").alias("message"))
 
 
 def split_valid(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,14 +101,9 @@ def split_valid(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A request is rejected for the request rules or, when it keeps these, for those of the order table.
     """
-    checked = validate(requests)
-    # What the order table itself refuses, once the texts are trimmed and the price is rounded.
-    stored = normalise(checked.select("*", *[F.col(c).alias(f"_{c}") for c in requests.columns]))
-    refused = F.when((F.size("violations") == 0) & ~table_checks(stored.columns), F.array(F.lit(TABLE_MESSAGE))).otherwise(F.col("violations"))
-    kept = [F.col(f"_{c}").alias(c) for c in requests.columns]
-    checked = stored.withColumn("violations", refused).select(*kept, "violations", F.array_join("violations", "; ").alias("message"))
+    told = classify(requests)
     bad = F.size("violations") > 0
-    return checked.where(~bad).drop("violations", "message"), checked.where(bad)
+    return told.where(~bad).drop("violations", "message"), told.where(bad)
 
 
 def normalise(requests: DataFrame) -> DataFrame:
@@ -117,8 +147,13 @@ def order_number(created_at: Column, key: Column) -> Column:
 
 def price(requests: DataFrame) -> DataFrame:
     """Order rows of accepted requests; ``request_id`` stays as the key of the request."""
+    return price_normalised(normalise(requests))
+
+
+def price_normalised(requests: DataFrame, *carried: str) -> DataFrame:
+    """As ``price``, of requests that are normalised; ``carried`` columns stay, too."""
     amount = goods_amount(F.col("unit_price"), F.col("quantity"))
-    priced = normalise(requests).withColumn("_amount", amount)
+    priced = requests.withColumn("_amount", amount)
     return priced.select(
         "request_id",
         order_number(F.col("requested_at"), F.col("request_id")).alias("order_no"),
@@ -133,6 +168,7 @@ def price(requests: DataFrame) -> DataFrame:
         "remark",
         F.col("requested_at").alias("created_at"),
         F.col("requested_at").alias("updated_at"),
+        *carried,
     )
 
 
@@ -204,16 +240,64 @@ def latest_orders(orders: DataFrame, limit: int | None = None) -> DataFrame:
     return responses(newest)
 
 
+def limit_message(limit: Column) -> Column:
+    """What ``check_limit`` says to a limit, null for one that it takes; a null limit is the default one."""
+    low = F.when(limit < MIN_LIMIT, f"limit: limit must be at least {MIN_LIMIT}")
+    return low.when(limit > MAX_LIMIT, f"limit: limit must be at most {MAX_LIMIT}")
+
+
+def stored_orders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table, empty where nothing was stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def append_orders(orders: DataFrame, path: str) -> None:
     """Add order rows to the table, in one folder per UTC day of creation.
 
-    The rows are rebalanced by day: few files per day, and several tasks for a large one.
+    The rows are rebalanced by day: few files per day, and several tasks for a large one. What is added to each day is noted
+    beside the table before the rows are, so the notes never say too little.
+    """
+    by_day = orders.withColumn("order_day", F.to_date("created_at"))
+    by_day.groupBy("order_day").agg(F.count("*").alias("n")).coalesce(1).write.mode("append").parquet(day_counts_path(path))
+    by_day.hint("rebalance", F.col("order_day")).write.mode("append").partitionBy("order_day").parquet(path)
+
+
+def day_counts_path(path: str) -> str:
+    return f"{path.rstrip('/')}-days"
+
+
+def newest_days(spark: SparkSession, path: str, rows: int) -> list[tuple[date, int]]:
+    """The newest days of the stored table with their noted rows, newest first: ``rows`` days at most."""
+    noted = stored_orders(spark, day_counts_path(path), T.StructType([T.StructField("order_day", T.DateType()), T.StructField("n", T.LongType())]))
+    days = noted.where("order_day is not null").groupBy("order_day").agg(F.sum("n").alias("n"))
+    return [(r["order_day"], r["n"]) for r in days.orderBy(F.desc("order_day")).limit(rows).collect()]
+
+
+def latest_stored(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """``latest_orders`` of the stored table, reading from the newest day backwards.
+
+    The notes say after how many days enough rows are there; these folders alone are read. A note of an append that broke off may
+    count rows that never came: then more days are taken, and all of them in the end.
     """
-    by_day = orders.withColumn("order_day", F.to_date("created_at")).hint("rebalance", F.col("order_day"))
-    by_day.write.mode("append").partitionBy("order_day").parquet(path)
+    wanted = check_limit(limit)
+    orders = spark.read.parquet(path)
+    days, taken = newest_days(spark, path, wanted), 0
+    while taken < len(days):
+        noted = 0
+        while taken < len(days) and noted < wanted:
+            noted, taken = noted + days[taken][1], taken + 1
+        newest = orders.where(F.col("order_day") >= F.lit(days[taken - 1][0]))
+        if newest.limit(wanted).count() == wanted:
+            return latest_orders(newest, limit)
+    return latest_orders(orders, limit)
 
 
 def violation_summary(requests: DataFrame) -> DataFrame:
-    """Rejected requests per message."""
-    messages = requests.select(F.explode(violations(requests)).alias("message"))
+    """Rejected requests per message, of the request rules and of the order table."""
+    messages = classify(requests).select(F.explode("violations").alias("message"))
     return messages.groupBy("message").agg(F.count("*").alias("rejected"))

@@ -9,14 +9,13 @@ from sparkdesk.functions.cells import base64_text, instant_text, local_timestamp
 from sparkdesk.functions.links import export_base_name, safe_entry_name
 from sparkdesk.functions.strings import csv_escape
 from sparkdesk.operators import export as E
-from sparkdesk.operators import orders as O
-from sparkdesk.operators.keyed import insert_if_absent
+from sparkdesk.operators.orders import append_orders
 from sparkdesk.plans.inputs import table
 from sparkdesk.plans.orders import REQUESTS_SQL, priced
 from sparkdesk.plans.sqltext import escaped, iso_instant, iso_local
 from sparkdesk.session import scratch_path
 from sparkdesk.sources.demo import FACTOR, FOLD, MASK, STREAMS, demo_columns, stream_start
-from sparkdesk.sources.seeds import seed_orders
+from sparkdesk.sources.seeds import load_seeds
 from sparkdesk.sources.tables import scan
 
 
@@ -80,11 +79,12 @@ def write_int96(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seeds(spark: SparkSession, d: str) -> DataFrame:
-    now = F.lit("2024-06-01 12:00:00Z").cast("timestamp")
-    orders = priced(spark, d).select(*O.ORDER_COLUMNS)
-    new = insert_if_absent(seed_orders(spark, now), orders, ["order_no"], [F.col("created_at")])
-    whole = orders.unionByName(new)
-    return whole.select(
+    """The stored orders after the seeds were loaded twice."""
+    path, now = scratch_path(spark, "orders"), F.lit("2024-06-01 12:00:00Z").cast("timestamp")
+    append_orders(priced(spark, d), path)
+    load_seeds(spark, path, now)
+    load_seeds(spark, path, now)
+    return spark.read.parquet(path).select(
         "order_no", "customer_name", "quantity", "unit_price", "shipping_fee",
         instant_text(F.col("created_at")).alias("created_at"),
     )

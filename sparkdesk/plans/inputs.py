@@ -21,7 +21,7 @@ def utc(c):
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Order requests: all events with their customer and part; some break a rule on purpose."""
+    """Order requests: all events with their customer and part; some break a rule of requests or of the order table on purpose."""
     events = table(spark, folder, "events")
     parts = table(spark, folder, "part")
     part_count = parts.agg(F.count("*")).scalar()
@@ -31,6 +31,7 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
         F.pmod("event_id", part_count).alias("p_partkey"),
         F.get_json_object("props", "$.k").cast("int").alias("quantity"),
         F.when(F.col("event_id") % 89 == 3, F.lit(0))
+        .when(F.col("event_id") % 101 == 9, F.lit(99999999999))
         .when(F.col("event_id") % 97 != 5, F.col("value").cast("decimal(12,2)") * F.lit(1.005).cast("decimal(4,3)"))
         .cast("decimal(16,5)")
         .alias("unit_price"),
@@ -43,7 +44,10 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
     tier = F.when(F.col("c_mktsegment") == "MACHINERY", " platinum").when(F.col("c_mktsegment") == "FURNITURE", "Gold\t")
     return whole.select(
         "request_id",
-        F.when(F.col("c_custkey") % 50 == 7, " \t ").otherwise(F.concat(F.lit(" "), "c_name", F.lit("\n"))).alias("customer_name"),
+        F.when(F.col("c_custkey") % 50 == 7, " \t ")
+        .when(F.col("request_id") % 103 == 11, F.repeat("c_name", F.lit(4)))
+        .otherwise(F.concat(F.lit(" "), "c_name", F.lit("\n")))
+        .alias("customer_name"),
         tier.otherwise("silver").alias("customer_tier"),
         F.col("sku").alias("sku_code"),
         "quantity",

@@ -18,11 +18,17 @@ def priced(spark: SparkSession, d: str) -> DataFrame:
     return O.price(accepted).where(O.table_checks())
 
 
-def stored(spark: SparkSession, d: str) -> DataFrame:
-    """All orders as the order table, one folder per day."""
-    path = scratch_path(spark, "orders")
-    O.append_orders(priced(spark, d), path)
-    return spark.read.parquet(path)
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, d: str) -> str:
+    """The path of all orders as the order table, one folder per day; written once in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        path = scratch_path(spark, "orders")
+        O.append_orders(priced(spark, d), path)
+        _STORED[key] = path
+    return _STORED[key]
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -84,17 +90,26 @@ def order_valid(spark: SparkSession, d: str) -> DataFrame:
 
 def order_by_key(spark: SparkSession, d: str) -> DataFrame:
     """The order of the smallest accepted request by its number, read from the stored table; a second number has no match."""
-    orders = stored(spark, d)
+    orders = spark.read.parquet(stored(spark, d))
     wanted = orders.agg(F.min_by("order_no", "request_id")).first()[0]
     return _shown(O.find_order(orders, wanted).unionByName(O.find_order(orders, "PO-20240101000000-00000000000000")))
 
 
 def limit_bounds(spark: SparkSession, d: str) -> DataFrame:
-    return _shown(O.latest_orders(stored(spark, d), 100))
+    return _shown(O.latest_stored(spark, stored(spark, d), 100))
+
+
+def limit_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Each event as a request for the latest orders, with the limit that holds or what is said to it."""
+    asked = F.get_json_object("props", "$.k").cast("int") * 2 - 50
+    rows = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, asked).alias("asked"))
+    message = O.limit_message(F.col("asked"))
+    chosen = F.when(message.isNull(), F.coalesce("asked", F.lit(O.DEFAULT_LIMIT)))
+    return rows.select("event_id", "asked", chosen.alias("chosen"), message.alias("message"))
 
 
 def latest_orders(spark: SparkSession, d: str) -> DataFrame:
-    return _shown(O.latest_orders(stored(spark, d)))
+    return _shown(O.latest_stored(spark, stored(spark, d)))
 
 
 def order_decision(spark: SparkSession, d: str) -> DataFrame:
@@ -149,6 +164,7 @@ QUERIES = {
     "order_valid": order_valid,
     "order_by_key": order_by_key,
     "limit_bounds": limit_bounds,
+    "limit_checks": limit_checks,
     "latest_orders": latest_orders,
     "order_decision": order_decision,
     "first_per_key": first_of_key,
@@ -164,17 +180,17 @@ _NUMBER = "'PO-' || strftime({ts}, '%Y%m%d%H%M%S') || '-' || upper(substr(md5({k
 REQUESTS_SQL = f"""
     requests as (
         select event_id as request_id,
-               case when user_id % 50 = 7 then ' ' || chr(9) || ' ' else ' ' || c_name || chr(10) end as customer_name,
+               case when user_id % 50 = 7 then ' ' || chr(9) || ' ' when event_id % 103 = 11 then repeat(c_name, 4) else ' ' || c_name || chr(10) end as customer_name,
                case c_mktsegment when 'MACHINERY' then ' platinum' when 'FURNITURE' then 'Gold' || chr(9) else 'silver' end
                    as customer_tier,
                lower(p_brand || '-' || p_partkey) as sku_code,
                (props->>'$.k')::int as quantity,
-               case when event_id % 89 = 3 then 0 when event_id % 97 <> 5 then value::decimal(12,2) * 1.005::decimal(4,3) end
+               case when event_id % 89 = 3 then 0 when event_id % 101 = 9 then 99999999999 when event_id % 97 <> 5 then value::decimal(12,2) * 1.005::decimal(4,3) end
                    ::decimal(16,5) as unit_price,
                ts as requested_at
         from events left join customer on c_custkey = user_id
              left join part on p_partkey = event_id % (select count(*) from part)),
-    checked as (
+    asked as (
         select *, [x for x in [
             case when coalesce({_TRIM.format('customer_name')}, '') = '' then 'customerName: customerName must not be blank' end,
             case when coalesce({_TRIM.format('customer_tier')}, '') = '' then 'customerTier: customerTier must not be blank' end,
@@ -182,11 +198,17 @@ REQUESTS_SQL = f"""
             case when quantity < 1 then 'quantity: quantity must be greater than 0' end,
             case when unit_price is null then 'unitPrice: unitPrice must not be null' end,
             case when unit_price < 0.01 then 'unitPrice: unitPrice must be greater than 0' end]
-            if x is not null] as violations
+            if x is not null] as broken
         from requests),
+    checked as (
+        select * exclude (broken), case when len(broken) > 0 then broken else [x for x in [
+            case when length({_TRIM.format('customer_name')}) > 64 then 'customerName: the order table takes at most 64 characters' end,
+            case when unit_price >= 10000000000 then 'unitPrice: the order table takes at most 10 digits before the point' end]
+            if x is not null] end as violations
+        from asked),
     normal as (
         select request_id, {_TRIM.format('customer_name')} as customer_name, upper({_TRIM.format('customer_tier')}) as customer_tier,
-               upper(sku_code) as sku_code, quantity, round(unit_price, 2)::decimal(12,2) as unit_price, requested_at
+               upper(sku_code) as sku_code, quantity, try_cast(round(unit_price, 2) as decimal(12,2)) as unit_price, requested_at
         from requests),
     amounts as (
         select *, (unit_price * quantity)::decimal(24,2) as amount
@@ -237,7 +259,7 @@ ORACLE = {
     "order_response": f"with {REQUESTS_SQL} {_RESPONSE}",
     "order_violations": f"""
         with {REQUESTS_SQL}
-        select request_id, len(violations)::int as n, array_to_string(violations, '; ') as message from checked""",
+        select request_id, len(broken)::int as n, array_to_string(broken, '; ') as message from asked""",
     "order_valid": f"""
         with {REQUESTS_SQL}
         select request_id, case when len(violations) = 0 then 'accepted' else 'rejected' end as outcome from checked""",
@@ -245,6 +267,11 @@ ORACLE = {
     "limit_bounds": f"""
         with {REQUESTS_SQL}, top as (select * from priced order by created_at desc, order_no limit 100)
         {_RESPONSE.replace('from priced', 'from top')}""",
+    "limit_checks": """
+        with asked as (select event_id, case when event_id % 7 <> 0 then (props->>'$.k')::int * 2 - 50 end as asked from events)
+        select *, case when asked is null then 10 when asked between 1 and 100 then asked end as chosen,
+               case when asked < 1 then 'limit: limit must be at least 1' when asked > 100 then 'limit: limit must be at most 100' end as message
+        from asked""",
     "latest_orders": f"""
         with {REQUESTS_SQL}, top as (select * from priced order by created_at desc, order_no limit 10)
         {_RESPONSE.replace('from priced', 'from top')}""",

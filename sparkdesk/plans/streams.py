@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.operators import orders as O
 from sparkdesk.plans.inputs import job_log, requests, table
 from sparkdesk.plans.jobs import FOLD_SQL, shown
-from sparkdesk.plans.orders import ORACLE as ORDER_ORACLE
-from sparkdesk.plans.orders import _shown
+from sparkdesk.plans.orders import REQUESTS_SQL
 from sparkdesk.session import scratch_path
 from sparkdesk.streaming.export import stream_export as start_export
 from sparkdesk.streaming.jobs import current_records, stream_job_fold
+from sparkdesk.streaming.orders import outcomes
 from sparkdesk.streaming.orders import stream_orders as start_orders
 
 
@@ -24,11 +23,15 @@ def follow(spark: SparkSession, df: DataFrame, name: str, files_per_batch: int =
 
 
 def stream_orders(spark: SparkSession, d: str) -> DataFrame:
-    """Every request arrives twice; the second time adds nothing."""
+    """Every request arrives twice, and what became of it: the second time adds nothing."""
     path = scratch_path(spark, "stream-orders")
     asked = requests(spark, d)
     start_orders(follow(spark, asked.unionByName(asked), "requests"), path, scratch_path(spark, "ckpt")).awaitTermination()
-    return _shown(O.responses(spark.read.parquet(path)))
+    found = outcomes(spark, f"{path}-aside")
+    # Stored rows are those of the order table itself.
+    stored = spark.read.parquet(path).select("order_no", "request_id", F.lit("stored").alias("outcome"))
+    found = found.where("outcome <> 'stored'").select("order_no", F.col("request.request_id").alias("request_id"), "outcome", "message")
+    return found.unionByName(stored, allowMissingColumns=True)
 
 
 def stream_fold(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +52,12 @@ def stream_export(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"stream_orders": stream_orders, "stream_job_fold": stream_fold, "stream_export": stream_export}
 
 ORACLE = {
-    "stream_orders": ORDER_ORACLE["order_response"],
+    "stream_orders": f"""
+        with {REQUESTS_SQL},
+        good as (select order_no, request_id, unnest(['stored', 'conflict']) as outcome from priced)
+        select order_no, request_id, outcome, null as message from good
+        union all
+        select null, request_id, 'rejected', array_to_string(violations, '; ') from checked, range(2) where len(violations) > 0""",
     "stream_job_fold": f"with {FOLD_SQL} select * from record",
     "stream_export": "select doc_id::varchar as doc_id, text, lang, source, n_chars::varchar as n_chars from documents",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,68 +9,94 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkdesk.operators.keyed import insert_if_absent
-from sparkdesk.operators.orders import LENGTH_LIMITS, TABLE_MESSAGE, append_orders, order_number, price, split_valid, table_checks
+from sparkdesk.operators.orders import append_orders, checked, price, price_normalised, split_valid, stored_orders, table_checks
 from sparkdesk.session import materialise
 
 # The number ties an order to its day, so keys can only meet within one day's folder.
 ORDER_KEYS = ["order_no", "request_id"]
+STORED, REJECTED, CONFLICT = "stored", "rejected", "conflict"
+DECIDED = "batch_id bigint"
 
 
-def stored_orders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The order table, empty where nothing was stored yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def _of_days(orders: DataFrame, days: tuple) -> DataFrame:
+    """Rows of a stored table from the first to the last of these days; no others are read."""
+    return orders.where(F.col("order_day").between(F.lit(days[0]), F.lit(days[1])))
 
 
-def _split_storable(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """As ``split_valid``; a request that gets no order number, for want of a time or an id, is rejected, too."""
-    accepted, rejected = split_valid(requests)
-    number = order_number(F.col("requested_at"), F.col("request_id"))
-    fits = F.coalesce(F.length(number) <= LENGTH_LIMITS["order_no"], F.lit(False))
-    late = accepted.where(~fits).withColumns({"violations": F.array(F.lit(TABLE_MESSAGE)), "message": F.lit(TABLE_MESSAGE)})
-    return accepted.where(fits), rejected.unionByName(late)
+def classified(requests: DataFrame) -> DataFrame:
+    """Every request as its order, with ``request``, what was asked, ``message``, null for a good one, and ``rank`` among those of its key.
+
+    One pass over the requests. A rejected one has a null order but for its request id, and never meets others of no key.
+    """
+    told = checked(requests, numbered=True)
+    message = F.when(F.size("violations") > 0, F.array_join("violations", "; "))
+    orders = price_normalised(told.select("*", F.col("asked").alias("request"), message.alias("message")), "request", "message")
+    good = F.col("message").isNull()
+    names = [c for c in orders.columns if c not in ("request_id", "request", "message")]
+    orders = orders.select("request_id", *[F.when(good, F.col(c)).alias(c) for c in names], "request", "message")
+    # Rows of one key and time in a fixed order, so that a batch that is run again chooses the same.
+    own = F.xxhash64(*names)
+    key = F.when(good, F.col("order_no")).otherwise(F.xxhash64("request", "message").cast("string"))
+    rank = F.row_number().over(W.partitionBy(key, "request_id").orderBy("created_at", own))
+    return orders.withColumn("rank", rank)
+
+
+def decide(requests: DataFrame, path: str) -> DataFrame:
+    """``classified`` requests with their ``outcome`` against the order table at ``path``: stored, rejected or conflict."""
+    spark = requests.sparkSession
+    staged = materialise(classified(requests), "order-batch")
+    days = staged.agg(F.to_date(F.min("created_at")), F.to_date(F.max("created_at"))).first()
+    good = staged.where("message is null")
+    table = T.StructType([*[f for f in staged.schema if f.name in ORDER_KEYS], T.StructField("order_day", T.DateType())])
+    present = _of_days(stored_orders(spark, path, table), days).select(*ORDER_KEYS, F.lit(True).alias("_there")).distinct()
+    outcome = F.when((F.col("rank") == 1) & F.col("_there").isNull(), STORED).otherwise(CONFLICT)
+    good = good.join(present, ORDER_KEYS, "left").withColumn("outcome", outcome).select(*staged.columns, "outcome")
+    return good.unionByName(staged.where("message is not null").withColumn("outcome", F.lit(REJECTED))).drop("rank")
 
 
 def add_orders(requests: DataFrame, path: str, aside: str | None = None, batch_id: int = 0) -> None:
     """One batch of requests into the order table. Running it twice adds nothing the second time.
 
-    Below ``aside``, ``rejected`` gets the requests that break a rule, with their message, and ``conflicts`` the orders
-    whose key is stored already or came earlier in the batch, both in one folder per ``batch_id``. A batch that is run again
-    writes them anew until ``decided`` has its number, which it gets before its first order is stored, and never after.
+    Below ``aside`` the batch's folder of ``outcomes`` gets every request with what became of it: stored, rejected with its message, or in
+    conflict with an order whose key is stored already or came earlier in the batch. Two places beside it take turns in naming the last batch
+    whose outcomes are complete, which is before its first order is stored. A batch that is run again decides anew
+    until it is named there, and then only stores what is missing.
     """
     spark = requests.sparkSession
-    accepted, rejected = _split_storable(requests)
-    orders = price(accepted).where(table_checks())
-    days = orders.select(F.to_date("created_at").alias("order_day")).distinct()
-    schema = orders.withColumn("order_day", F.lit(None).cast("date")).schema
-    # Only the folders of the batch's days are read.
-    existing = stored_orders(spark, path, schema).join(days, "order_day", "left_semi")
-    # Rows of one key and time in a fixed order, so that a batch that is run again chooses the same.
-    order = [F.col("created_at"), F.xxhash64(*orders.columns)]
     if aside is None:
-        append_orders(insert_if_absent(orders, existing, ORDER_KEYS, order), path)
+        accepted, _ = split_valid(requests)
+        orders = price(accepted).where(table_checks())
+        days = orders.agg(F.to_date(F.min("created_at")), F.to_date(F.max("created_at"))).first()
+        schema = orders.withColumn("order_day", F.lit(None).cast("date")).schema
+        existing = _of_days(stored_orders(spark, path, schema), days)
+        append_orders(insert_if_absent(orders, existing, ORDER_KEYS, [F.col("created_at"), F.xxhash64(*orders.columns)]), path)
         return
-    rank = F.row_number().over(W.partitionBy(*ORDER_KEYS).orderBy(*order))
-    stored = existing.select(*ORDER_KEYS).distinct().withColumn("_stored", F.lit(True))
-    marked = materialise(orders.withColumn("_rank", rank).join(stored, ORDER_KEYS, "left").select(*orders.columns, "_rank", "_stored"), "order-batch")
-    fresh = (F.col("_rank") == 1) & F.col("_stored").isNull()
-    decided = f"{aside}/decided/batch_id={batch_id}"
-    if stored_orders(spark, decided, T.StructType([T.StructField("n", T.LongType())])).isEmpty():
-        rejected.write.mode("overwrite").parquet(f"{aside}/rejected/batch_id={batch_id}")
-        marked.where(~fresh).drop("_rank", "_stored").write.mode("overwrite").parquet(f"{aside}/conflicts/batch_id={batch_id}")
-        spark.range(1).select(F.col("id").alias("n")).coalesce(1).write.mode("overwrite").parquet(decided)
-    append_orders(marked.where(fresh).drop("_rank", "_stored"), path)
+    named = [stored_orders(spark, f"{aside}/decided-{k}", T.StructType([T.StructField("batch_id", T.LongType())])) for k in (0, 1)]
+    again = bool(named[0].unionByName(named[1]).where(F.col("batch_id") >= batch_id).take(1))
+    folder = f"{aside}/outcomes/batch_id={batch_id}"
+    if not again:
+        decide(requests, path).write.mode("overwrite").partitionBy("outcome").parquet(folder)
+        last = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id")).coalesce(1)
+        last.write.mode("overwrite").parquet(f"{aside}/decided-{batch_id % 2}")
+    fresh = spark.read.parquet(folder).where(F.col("outcome") == STORED).drop("request", "message", "outcome")
+    if again:
+        days = fresh.agg(F.to_date(F.min("created_at")), F.to_date(F.max("created_at"))).first()
+        schema = T.StructType([*fresh.schema.fields, T.StructField("order_day", T.DateType())])
+        fresh = fresh.join(_of_days(stored_orders(spark, path, schema), days).select(*ORDER_KEYS), ORDER_KEYS, "left_anti")
+        if fresh.isEmpty():
+            return
+    append_orders(fresh, path)
+
+
+def outcomes(spark: SparkSession, aside: str) -> DataFrame:
+    """Every request of the stream: its order, ``request``, ``message``, ``outcome`` and ``batch_id``."""
+    return spark.read.parquet(f"{aside}/outcomes")
 
 
 def stream_orders(requests: DataFrame, path: str, checkpoint: str, aside: str | None = None, **trigger) -> StreamingQuery:
     """``trigger`` is what ``DataStreamWriter.trigger`` takes; all available input by default.
 
-    Requests that are not stored go below ``aside``, which is ``<path>-aside`` by default: stored, rejected and conflicting
-    ones are together all of the stream's.
+    What became of each request goes below ``aside``, which is ``<path>-aside`` by default; see ``outcomes``.
     """
     aside = aside or f"{path.rstrip('/')}-aside"
 

@@ -16,7 +16,7 @@ from sparkdesk.operators import orders as O
 from sparkdesk.operators import tokens as T
 from sparkdesk.sources.seeds import seed_orders
 from sparkdesk.streaming.jobs import current_records, stream_job_fold
-from sparkdesk.streaming.orders import add_orders
+from sparkdesk.streaming.orders import add_orders, outcomes
 
 REQUEST = (
     "request_id string, customer_name string, customer_tier string, sku_code string, quantity int, "
@@ -257,7 +257,10 @@ def test_no_request_vanishes(spark):
     assert [r.request_id for r in accepted.collect()] == ["a"] and accepted.columns == df.columns
     found = {r.request_id: (r.customer_name, r.message) for r in rejected.collect()}
     assert found.keys() == {"b", "c", "d"}
-    assert found["b"] == ("n" * 70, O.TABLE_MESSAGE) and found["c"][1] == O.TABLE_MESSAGE and "customerName" in found["d"][1]
+    assert found["b"] == ("n" * 70, "customerName: the order table takes at most 64 characters")
+    assert found["c"][1] == O.TABLE_PRICE_MESSAGE and "customerName" in found["d"][1]
+    counted = {r.message: r.rejected for r in O.violation_summary(df).collect()}
+    assert counted == {found[i][1]: 1 for i in "bcd"}
 
 
 def test_seed_rows_are_appended(spark, tmp_path):
@@ -298,15 +301,78 @@ def test_stream_keeps_what_it_does_not_store(spark, tmp_path):
         stream_orders(stream, path, str(tmp_path / "ckpt")).awaitTermination()
 
     def found():
-        read = lambda p: spark.read.parquet(p)
-        rejected, conflicts = read(f"{path}-aside/rejected"), read(f"{path}-aside/conflicts")
-        return [sorted(r.request_id for r in f.collect()) for f in (read(path), rejected, conflicts)], {r.request_id: r.message for r in rejected.collect()}
-
-    want = [["a", "d"], ["b", "c", "e"], ["a", "a"]]
-    ids, messages = found()
-    assert ids == want
-    assert "customerName" in messages["b"] and messages["c"] == messages["e"] == O.TABLE_MESSAGE
+        told = outcomes(spark, f"{path}-aside").collect()
+        assert {r.request.request_id for r in told if r.outcome == "stored"} == {r.request_id for r in spark.read.parquet(path).collect()}
+        return sorted((r.outcome, r.request.request_id) for r in told), {r.request.request_id: r.message for r in told if r.outcome == "rejected"}
+
+    want = [("conflict", "a"), ("conflict", "a"), *[("rejected", i) for i in "bce"], ("stored", "a"), ("stored", "d")]
+    rows, messages = found()
+    assert rows == want and spark.read.parquet(path).count() == 2
+    assert "customerName" in messages["b"] and messages["c"] == O.TABLE_NUMBER_MESSAGE and "64" in messages["e"]
     # A batch that is run again after its orders were stored changes nothing.
     for k, frame in enumerate(frames):
         add_orders(frame, path, f"{path}-aside", k)
-    assert found()[0] == want
+    assert found()[0] == want and spark.read.parquet(path).count() == 2
+
+
+def test_batch_that_broke_off_before_its_orders(spark, tmp_path, monkeypatch):
+    """Decided, then lost before the append: the rerun stores what was decided."""
+    from sparkdesk.streaming import orders as S
+
+    path, df = str(tmp_path / "orders"), request(spark, ("a", "n", "t", "s", 1, "1"), ("b", "n", "t", "s", 1, "1"), ("c", "", "t", "s", 1, "1"))
+    with monkeypatch.context() as m:
+        m.setattr(S, "append_orders", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            add_orders(df, path, f"{path}-aside", 0)
+    assert O.stored_orders(spark, path, df.schema).isEmpty()
+    add_orders(df, path, f"{path}-aside", 0)
+    add_orders(df, path, f"{path}-aside", 1)
+    assert sorted(r.request_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert sorted((r.outcome, r.request.request_id) for r in outcomes(spark, f"{path}-aside").collect()) == [
+        ("conflict", "a"), ("conflict", "b"), ("rejected", "c"), ("rejected", "c"), ("stored", "a"), ("stored", "b"),
+    ]
+
+
+def test_latest_reads_the_newest_days(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    rows = spark.range(300).select(
+        F.col("id").alias("request_id"), *[F.lit("x").alias(c) for c in ("customer_name", "customer_tier", "sku_code", "remark")],
+        F.lit(1).alias("quantity"), F.lit(Decimal("1.00")).alias("unit_price"),
+        # Seven orders a day, many of one time.
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("id") / 7) * 86_400 + F.col("id") % 2).alias("requested_at"),
+    )
+    orders = O.price(rows)
+    O.append_orders(orders.where("request_id % 3 = 0"), path)
+    O.append_orders(orders.where("request_id % 3 <> 0"), path)
+    for limit in (1, 6, 13, 100):
+        found = O.latest_stored(spark, path, limit)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in O.latest_orders(orders, limit).collect()]
+        filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert "order_day" in filters and ">=" in filters
+    days = {f.split("order_day=")[1][:10] for f in O.latest_stored(spark, path, 13).inputFiles()}
+    assert days  # the reader lists all; the filter above leaves two of them to read
+    # A note on rows that never came only makes the search go on.
+    spark.sql("select date'2030-01-01' as order_day, 1000L as n").write.mode("append").parquet(O.day_counts_path(path))
+    assert [tuple(r) for r in O.latest_stored(spark, path, 13).collect()] == [tuple(r) for r in O.latest_orders(orders, 13).collect()]
+    assert O.latest_stored(spark, path, 100).count() == 100
+
+
+def test_seeds_loaded_twice(spark, tmp_path):
+    from sparkdesk.sources.seeds import load_seeds
+
+    for path, first in ((str(tmp_path / "new"), 0), (str(tmp_path / "old"), 1)):
+        if first:
+            O.append_orders(O.price(request(spark, ("a", "n", "t", "s", 1, "1"))), path)
+        load_seeds(spark, path)
+        load_seeds(spark, path)
+        assert spark.read.parquet(path).count() == 2 + first
+
+
+@pytest.mark.parametrize("limit", [None, -1, 0, 1, 100, 101])
+def test_limit_messages(spark, limit):
+    said = spark.range(1).select(O.limit_message(F.lit(limit).cast("int"))).first()[0]
+    if said is None:
+        O.check_limit(limit)
+    else:
+        with pytest.raises(ValueError, match=said):
+            O.check_limit(limit)
