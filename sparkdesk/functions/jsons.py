@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from sparkdesk.functions.strings import is_empty
 _CORRUPT = "_unreadable"
 _TEXT_MAP = "map<string,string>"
 _VARIANT_MAP = "map<string,variant>"
+_NODES = "array<struct<path:string,key:string,kind:string,value:string,level:int>>"
 
 
 def _as_text(c: Column) -> Column:
@@ -73,65 +75,71 @@ def json_list(c: Column, element: str) -> Column:
 
 
 def _kind(v: Column) -> Column:
-    """object, array, text or other."""
-    shape = F.schema_of_variant(v)
-    return (
-        F.when(F.startswith(shape, F.lit("OBJECT")), "object")
-        .when(F.startswith(shape, F.lit("ARRAY")), "array")
-        .when(shape == "STRING", "text")
-        .otherwise("other")
-    )
+    """object, array, text or other; the type of the variant is made once."""
+    known = F.create_map(*[F.lit(x) for pair in (("OBJECT", "object"), ("ARRAY", "array"), ("STRING", "text")) for x in pair])
+    return F.coalesce(F.try_element_at(known, F.substring_index(F.schema_of_variant(v), "<", 1)), F.lit("other"))
 
 
-def children(c: Column) -> Column:
-    """array<struct<key, kind, value>> of one document, in document order.
+def _children(c: Column, path: Column, level: int) -> Column:
+    """array<struct<path, key, kind, value, level>> of one document that itself is at ``path``, in document order.
 
     Array elements have a null key. ``value`` is the bare text of a text and
     the JSON of anything else; a scalar document has no children.
     """
+
+    def node(step: Column, key: Column, value: Column, typed: Column) -> Column:
+        return F.struct(
+            F.concat(path, step).alias("path"), key.alias("key"), _kind(typed).alias("kind"),
+            F.coalesce(value, F.lit("null")).alias("value"), F.lit(level).alias("level"),
+        )
+
     fields = F.zip_with(
         F.map_entries(F.from_json(c, _TEXT_MAP)),
         F.map_values(F.from_json(c, _VARIANT_MAP)),
-        lambda e, v: F.struct(
-            e["key"].alias("key"), _kind(v).alias("kind"), F.coalesce(e["value"], F.lit("null")).alias("value")
-        ),
+        lambda e, v: node(F.concat(F.lit("."), e["key"]), e["key"], e["value"], v),
     )
     items = F.zip_with(
-        F.from_json(c, "array<string>"),
+        F.transform(F.from_json(c, "array<string>"), lambda e, i: F.struct(e.alias("e"), i.alias("i"))),
         F.from_json(c, "array<variant>"),
-        lambda e, v: F.struct(
-            F.lit(None).cast("string").alias("key"), _kind(v).alias("kind"), F.coalesce(e, F.lit("null")).alias("value")
-        ),
+        lambda e, v: node(F.concat(F.lit("["), e["i"].cast("string"), F.lit("]")), F.lit(None).cast("string"), e["e"], v),
     )
-    none = F.array().cast("array<struct<key:string,kind:string,value:string>>")
-    return F.coalesce(F.when(_starts(c, "{"), fields).when(_starts(c, "["), items), none)
+    return F.coalesce(F.when(_starts(c, "{"), fields).when(_starts(c, "["), items), F.array().cast(_NODES))
 
 
 def is_container(kind: Column) -> Column:
     return kind.isin("object", "array")
 
 
-def _nodes(c: Column, path: Column, depth: int) -> Column:
-    """All nodes below a document, a parent before its children, to ``depth`` levels."""
+def _nodes(c: Column, path: Column, depth: int, level: int = 1) -> Column:
+    """All nodes below a document with their ``level``, a parent before its children, down to level ``depth``."""
+    nodes = _children(c, path, level)
+    if level >= depth:
+        return nodes
 
-    def located(e: Column, i: Column) -> Column:
-        step = F.coalesce(F.concat(F.lit("."), e["key"]), F.concat(F.lit("["), i.cast("string"), F.lit("]")))
-        return F.struct(
-            F.concat(path, step).alias("path"), e["key"].alias("key"), e["kind"].alias("kind"), e["value"].alias("value")
-        )
-
-    level = F.transform(children(c), located)
-    if depth <= 1:
-        return level
-    none = F.array().cast("array<struct<path:string,key:string,kind:string,value:string>>")
-    return F.flatten(
-        F.transform(
-            level,
-            lambda e: F.concat(
-                F.array(e), F.when(is_container(e["kind"]), _nodes(e["value"], e["path"], depth - 1)).otherwise(none)
-            ),
-        )
-    )
+    def with_below(e: Column) -> Column:
+        return F.when(is_container(e["kind"]), F.concat(F.array(e), _nodes(e["value"], e["path"], depth, level + 1))).otherwise(F.array(e))
+
+    return F.flatten(F.transform(nodes, with_below))
+
+
+def nodes_from(c: Column, path: Column, depth: int) -> Column:
+    """array<struct<path, key, kind, value, level>> of ``depth`` levels of a document that itself is at ``path``."""
+    return _nodes(c, path, depth)
+
+
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def json_depth(c: Column) -> Column:
+    """How many levels of nodes a document has: its brackets, outside of texts, open so deep at most."""
+    brackets = F.regexp_replace(F.regexp_replace(c, rf"(?s){_STRING}", ""), r"[^\[\]{}]++", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, sign: Column) -> Column:
+        now = state["now"] + F.when(sign.isin("{", "["), 1).when(sign == "", 0).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.coalesce(F.aggregate(F.split(brackets, ""), start, step, lambda state: state["most"]), F.lit(0))
 
 
 def json_flatten(c: Column, depth: int) -> Column:
@@ -140,7 +148,47 @@ def json_flatten(c: Column, depth: int) -> Column:
     ``value`` is a raw-fragment read: a text stays text, anything else is JSON. For all levels
     see ``operators.json_nodes``.
     """
-    return _nodes(c, F.lit("$"), depth)
+    plain = lambda e: F.struct(*[e[f].alias(f) for f in ("path", "key", "kind", "value")])
+    return F.transform(_nodes(c, F.lit("$"), depth), plain)
+
+
+def _root(c: Column) -> Column:
+    """The compact document of an object or an array, null for anything else."""
+    return F.when(_starts(c, "{") | _starts(c, "["), F.get_json_object(c, "$"))
+
+
+def _key(name: str) -> str:
+    return json.dumps(name, ensure_ascii=False) + ":"
+
+
+def _found(c: Column, names: Sequence[str], container) -> Column:
+    """A struct of the texts of the first field of each name; ``container(document, name)`` is that of an object or array.
+
+    The compact document is made once and scanned once, into its texts, each with the scalar after it where it is a key. In a
+    compact document a text before a colon is a key, and a key without a scalar has a container.
+    """
+    fields = F.regexp_extract_all(_root(c), F.lit(rf"(?s){_STRING}(?::(?:{_STRING}|[^\"\[\]{{}},]++)?+)?+"), F.lit(0))
+
+    def text(found: Column, name: str) -> Column:
+        value = F.substring(F.get(F.filter(found, lambda f: F.startswith(f, F.lit(_key(name)))), F.lit(0)), len(_key(name)) + 1, 2**31 - 1)
+        bare = F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
+        return F.when(value == "", container(c, name)).when(F.startswith(value, F.lit('"')), bare).otherwise(value)
+
+    # The list is bound by a lambda, so it is made once for all names.
+    told = F.transform(F.array(fields), lambda found: F.struct(*[text(found, name).alias(name) for name in names]))
+    return F.get(told, F.lit(0))
+
+
+def json_find_all(c: Column, names: Sequence[str]) -> Column:
+    """A struct with ``json_find`` of every name, from one scan of the document."""
+    return _found(c, names, lambda c, name: F.lit(""))
+
+
+def json_node_strings(c: Column, names: Sequence[str]) -> Column:
+    """A struct with ``json_node_string`` of every name, from one scan; the document is read again only for a field that is a container."""
+    found = _found(c, names, lambda c, name: _value_text(_field_tail(c, name)))
+    whole = F.transform(F.array(found), lambda r: F.struct(*[F.coalesce(r[name], F.lit("")).alias(name) for name in names]))
+    return F.get(whole, F.lit(0))
 
 
 def _field_tail(c: Column, name: str) -> Column:
@@ -150,10 +198,8 @@ def _field_tail(c: Column, name: str) -> Column:
     pattern steps over whole string tokens, so a text that looks like a key is not taken
     for one; it never backtracks.
     """
-    root = F.when(_starts(c, "{") | _starts(c, "["), F.get_json_object(c, "$"))
-    key = re.escape(json.dumps(name, ensure_ascii=False) + ":")
-    token = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-    return F.nullif(F.regexp_extract(root, rf'(?s)^(?:[^"]++|(?!{key}){token})*+{key}(.*)$', 1), F.lit(""))
+    key = re.escape(_key(name))
+    return F.nullif(F.regexp_extract(_root(c), rf'(?s)^(?:[^"]++|(?!{key}){_STRING})*+{key}(.*)$', 1), F.lit(""))
 
 
 def _value_text(tail: Column) -> Column:
@@ -162,14 +208,12 @@ def _value_text(tail: Column) -> Column:
 
 def json_find(c: Column, name: str) -> Column:
     """The first field of that name at any depth, as text; a container reads as an empty text."""
-    tail = F.regexp_replace(_field_tail(c, name), r"(?s)\A[{\[].*", '""}')
-    return _value_text(F.regexp_replace(tail, r"\Anull", '"null"'))
+    return json_find_all(c, [name]).getField(name)
 
 
 def json_node_string(c: Column, name: str) -> Column:
     """As ``json_find``, but a container reads as its JSON and a missing field as an empty text."""
-    tail = F.regexp_replace(_field_tail(c, name), r"\Anull", '"null"')
-    return F.coalesce(_value_text(tail), F.lit(""))
+    return json_node_strings(c, [name]).getField(name)
 
 
 def json_text_or(c: Column, path: str, default) -> Column:

@@ -9,32 +9,33 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.cells import column
-from sparkdesk.functions.jsons import children, is_container
+from sparkdesk.functions.jsons import is_container, json_depth, nodes_from
 from sparkdesk.session import materialise
 
+#: Levels that one projection opens.
+STEP = 8
 
-def json_nodes(df: DataFrame, keys: Sequence[str], doc: str, depth: int | None = None) -> DataFrame:
+
+def json_nodes(df: DataFrame, keys: Sequence[str], doc: str, depth: int | None = None, step: int = STEP) -> DataFrame:
     """``n, path, key, kind, value`` beside the keys, one row per node; ``n`` counts a document's nodes in order from 0.
 
-    Documents are opened level by level, and only objects and arrays are opened again, until none is left
-    or ``depth`` levels are done. A level is written before the next one is made from it, so
-    there is one job per level of the deepest document. The keys tell the documents apart.
+    The deepest document, or ``depth``, says how many levels there are. Up to ``step`` levels are one projection without a shuffle or a written
+    table. Deeper ones are opened ``step`` levels at a time: what a round leaves closed is written and opened by the next. The keys tell
+    the documents apart.
     """
     names = [column(k) for k in keys]
-    level = df.select(*names, F.lit("$").alias("path"), F.array().cast("array<int>").alias("_place"), column(doc).alias("value"))
-    found, levels = None, 0
-    while True:
-        opened = level.select(*names, "path", "_place", F.posexplode(children(F.col("value"))).alias("_i", "_e"))
-        step = F.coalesce(F.concat(F.lit("."), "_e.key"), F.concat(F.lit("["), F.col("_i").cast("string"), F.lit("]")))
-        opened = opened.select(
-            *names, F.concat("path", step).alias("path"), F.concat("_place", F.array("_i")).alias("_place"), "_e.key", "_e.kind", "_e.value"
-        )
-        opened = materialise(opened, "json-level")
-        found = opened if found is None else found.unionByName(opened)
-        level = opened.where(is_container(F.col("kind")))
-        levels += 1
-        if levels == depth or level.isEmpty():
-            break
+    levels = df.agg(F.max(json_depth(column(doc)))).first()[0] or 1
+    levels = levels if depth is None else min(depth, levels)
+    rows = df.select(*names, F.lit("$").alias("path"), F.array().cast("array<int>").alias("_place"), column(doc).alias("value"))
+    found, shown = None, [*names, "_place", "_e.path", "_e.key", "_e.kind", "_e.value"]
+    for base in range(0, levels, step):
+        here = min(step, levels - base)
+        opened = rows.select(*names, "_place", F.posexplode(nodes_from(F.col("value"), F.col("path"), here)).alias("_i", "_e"))
+        if levels <= step:
+            return opened.select(*names, F.col("_i").alias("n"), "_e.path", "_e.key", "_e.kind", "_e.value")
+        opened = materialise(opened.withColumn("_place", F.concat("_place", F.array("_i"))), "json-levels")
+        found = opened.select(*shown) if found is None else found.unionByName(opened.select(*shown))
+        rows = opened.where((F.col("_e.level") == here) & is_container(F.col("_e.kind"))).select(*names, "_e.path", "_place", "_e.value")
     # A parent's place is the beginning of its children's, so it sorts before them.
     order = W.partitionBy(*names).orderBy("_place")
     return found.select(*names, (F.row_number().over(order) - 1).alias("n"), "path", "key", "kind", "value")

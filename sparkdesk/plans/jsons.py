@@ -20,14 +20,14 @@ def _props():
 
 
 def _nested():
-    """{"z": id, "a": {"q": [user, {"k": type}]}, "k": props as text} with a null."""
+    """{"z": id, "a": {"u": user, "q": [{"deep": type}]}, "k": props as text, "b": ..., "u": minus user} with a null."""
     inner = F.struct(F.array(F.to_json(F.struct(F.col("event_type").alias("k")))).alias("q"), F.lit(None).cast("int").alias("n"))
     deep = F.struct(
         F.col("event_id").alias("z"),
         F.struct(F.col("user_id").alias("u"), F.array(F.struct(F.col("event_type").alias("deep"))).alias("q")).alias("a"),
         F.col("props").alias("k"),
         inner.alias("b"),
-        F.col("user_id").alias("u"),
+        (-F.col("user_id")).alias("u"),
     )
     return F.to_json(deep, {"ignoreNullFields": "false"})
 
@@ -58,28 +58,18 @@ def json_list(spark, d):
 
 
 def json_find(spark, d):
-    doc = F.col("doc")
-    return table(spark, d, "events").select("event_id", _nested().alias("doc")).select(
-        "event_id",
-        J.json_find(doc, "u").alias("u"),
-        J.json_find(doc, "deep").alias("deep"),
-        J.json_find(doc, "k").alias("k"),
-        J.json_find(doc, "a").alias("container"),
-        J.json_find(doc, "n").alias("null_value"),
-        J.json_find(doc, "missing").alias("missing"),
-    )
+    """Six names from one scan; ``u`` stands in the text twice, nested first."""
+    found = table(spark, d, "events").select("event_id", J.json_find_all(_nested(), ["u", "deep", "k", "a", "n", "missing"]).alias("f"))
+    return found.select(
+        "event_id", "f.u", "f.deep", "f.k", F.col("f.a").alias("container"), F.col("f.n").alias("null_value"), "f.missing"
+    )
 
 
 def json_node_string(spark, d):
-    doc = F.col("doc")
-    return table(spark, d, "events").select("event_id", _nested().alias("doc")).select(
-        "event_id",
-        J.json_node_string(doc, "u").alias("u"),
-        J.json_node_string(doc, "a").alias("container"),
-        J.json_node_string(doc, "k").alias("k"),
-        J.json_node_string(doc, "missing").alias("missing"),
-        J.json_node_string(F.lit("{bad"), "k").alias("bad"),
-    )
+    found = table(spark, d, "events").select("event_id", J.json_node_strings(_nested(), ["u", "a", "k", "missing"]).alias("f"))
+    return found.select(
+        "event_id", "f.u", F.col("f.a").alias("container"), "f.k", "f.missing", J.json_node_string(F.lit("{bad"), "k").alias("bad")
+    )
 
 
 def json_map(spark, d):
@@ -173,7 +163,7 @@ ORACLE = {
                 {{'n': 8, 'path': '$.b.q', 'key': 'q', 'kind': 'array', 'value': '["{{\\"k\\":\\"' || event_type || '\\"}}"]'}},
                 {{'n': 9, 'path': '$.b.q[0]', 'key': null, 'kind': 'text', 'value': '{{"k":"' || event_type || '"}}'}},
                 {{'n': 10, 'path': '$.b.n', 'key': 'n', 'kind': 'other', 'value': 'null'}},
-                {{'n': 11, 'path': '$.u', 'key': 'u', 'kind': 'other', 'value': user_id::varchar}},
+                {{'n': 11, 'path': '$.u', 'key': 'u', 'kind': 'other', 'value': (-user_id)::varchar}},
                 {{'n': 12, 'path': '$.c', 'key': 'c', 'kind': 'object', 'value': '{{"d":{{"e":{{"f":{{"g":' || event_id || '}}}}}}}}'}},
                 {{'n': 13, 'path': '$.c.d', 'key': 'd', 'kind': 'object', 'value': '{{"e":{{"f":{{"g":' || event_id || '}}}}}}'}},
                 {{'n': 14, 'path': '$.c.d.e', 'key': 'e', 'kind': 'object', 'value': '{{"f":{{"g":' || event_id || '}}}}'}},

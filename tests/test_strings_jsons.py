@@ -132,6 +132,39 @@ def test_json_find_in_a_long_document(spark):
     assert values(spark, lambda c: J.json_find(c, "k"), long) == ["7"]
 
 
+def test_json_names_from_one_scan(spark):
+    names = ["k", "a", "x", "q\"k", "é", "none"]
+    docs = [*DOCS, {"é": "ü", "x": {"é": 1.50, "k": False}}, {"a": "k\":1", "b": ["x", "k"], "x": -1e3}]
+    for text in [json.dumps(d, ensure_ascii=False) for d in docs] + ["", "{bad", None, " {} "]:
+        all_, each = spark.range(1).select(
+            J.json_find_all(F.lit(text).cast("string"), names), F.struct(*[J.json_find(F.lit(text).cast("string"), n) for n in names])
+        ).first()
+        assert (tuple(all_) if all_ else (None,) * 6) == tuple(each)
+        nodes = spark.range(1).select(J.json_node_strings(F.lit(text).cast("string"), names)).first()[0]
+        for name, found, node in zip(names, each, nodes or [""] * 6):
+            if text and text.strip().startswith(("{", "[")) and text != "{bad":
+                hit, value = reference_find(json.loads(text), name)
+                compact = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+                want = value if isinstance(value, str) else compact
+                if isinstance(value, float):
+                    assert float(found) == float(node) == value
+                else:
+                    assert found == (None if not hit else "" if isinstance(value, (dict, list)) else want)
+                    assert node == (want if hit else "")
+            else:
+                assert found is None and node == ""
+
+
+def test_json_depth(spark):
+    texts = ["", "5", '"["', "[]", '{"a":1}', '{"a":"]}[[[","b":[{"c":[]}]}', "[[[[[[1]]]]],[2]]", None]
+    assert values(spark, J.json_depth, *texts) == [0, 0, 0, 1, 1, 4, 6, 0]
+
+
+def test_json_nodes_make_no_shuffle(spark):
+    df = spark.createDataFrame([(1, '{"a":[{"b":[1]}]}')], "id int, doc string")
+    assert "Exchange" not in json_nodes(df, ["id"], "doc")._jdf.queryExecution().executedPlan().toString()
+
+
 def flat(node, path="$", depth=3):
     items = node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ()
     for key, value in items:
@@ -150,16 +183,17 @@ def test_json_flatten(spark):
             assert [(n["path"], n["key"], n["value"]) for n in nodes] == list(flat(doc, depth=depth))
 
 
-def test_json_nodes_to_any_depth(spark):
+@pytest.mark.parametrize("step", [1, 3, 8])
+def test_json_nodes_to_any_depth(spark, step):
     docs = [*DOCS, {"a": {"b": {"c": {"d": {"e": [[{"f": 1}]]}}}}}]
     df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=False)) for i, d in enumerate(docs)] + [(99, None)], "id int, doc string")
     got = {}
-    for r in sorted(json_nodes(df, ["id"], "doc").collect(), key=lambda r: (r["id"], r["n"])):
+    for r in sorted(json_nodes(df, ["id"], "doc", step=step).collect(), key=lambda r: (r["id"], r["n"])):
         got.setdefault(r["id"], []).append((r["path"], r["key"], r["value"]))
     for i, doc in enumerate(docs):
         assert got.get(i, []) == list(flat(doc, depth=20))
     assert 99 not in got
-    assert json_nodes(df, ["id"], "doc", 2).where("path rlike '[.].*[.].*[.]'").isEmpty()
+    assert json_nodes(df, ["id"], "doc", 2, step).where("path rlike '[.].*[.].*[.]'").isEmpty()
 
 
 def flatten(depth):
