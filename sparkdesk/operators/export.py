@@ -72,9 +72,18 @@ def write_csv(df: DataFrame, path: str, layout: str = "parts", mode: str = "erro
 
 
 def _write_with_headers(lines: DataFrame, header: str, path: str, mode: str, options: dict[str, str]) -> None:
-    first_of_task = F.monotonically_increasing_id() % (1 << 33) == 0
-    text = F.when(first_of_task, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
-    lines.select(text.alias("line")).write.mode(mode).options(lineSep="\n", **options).text(path)
+    """Lines with the header before the first of every file, also of files that are cut by a number of rows, and of a table without rows."""
+    conf = lines.sparkSession.conf.get("spark.sql.files.maxRecordsPerFile", "0")
+    most = int(options.get("maxRecordsPerFile", conf))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
+    first = place % most == 0 if most > 0 else place == 0
+    text = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
+    counted = Observation("lines")
+    rows = lines.observe(counted, F.count("*").alias("n")).select(text.alias("line"))
+    rows.write.mode(mode).options(lineSep="\n", **options).text(path)
+    if not counted.get["n"]:
+        alone = lines.sparkSession.range(1).select(F.lit(header).alias("line")).coalesce(1)
+        alone.write.mode("append").options(lineSep="\n", **options).text(path)
 
 
 def write_csv_compressed(
@@ -122,9 +131,23 @@ def export(df: DataFrame, path: str, fmt: str | None = None, level: int = 1, mod
     return chosen
 
 
+def export_counted(df: DataFrame, path: str, fmt: str | None = None, level: int = 1) -> DataFrame:
+    """``export`` to a new folder, and what it came to: one row of ``format, rows, files, bytes``.
+
+    Rows are counted by the write itself, bytes are those of the committed files; nothing is rendered for counting.
+    """
+    counted = Observation("export")
+    chosen = export(df.observe(counted, F.count("*").alias("rows")), path, fmt, level)
+    files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length")
+    return files.agg(
+        F.lit(chosen).alias("format"), F.lit(counted.get["rows"]).cast("bigint").alias("rows"),
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+    )
+
+
 def export_stats(df: DataFrame) -> DataFrame:
-    """Rows and bytes of the CSV form, header included, in one pass."""
-    header = F.lit(len(header_text(df).encode()) + 1).cast("bigint")
+    """Rows and bytes of the CSV form, header included, in one pass, without writing it."""
+    header = F.lit(header_bytes(df)).cast("bigint")
     return csv_rows(df).agg(
         F.lit("csv").alias("format"),
         F.count("*").alias("rows"),
@@ -132,6 +155,10 @@ def export_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def header_bytes(df: DataFrame) -> int:
+    return len(header_text(df).encode()) + 1
+
+
 def write_csv_counted(df: DataFrame, path: str, **options) -> dict[str, int]:
     """Write the ``concat`` layout and return the rows and bytes counted during that write."""
     counted = Observation("export")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.links import doc_base_name, extract_video_id, https_url, safe_file_name, url_page_index
@@ -15,7 +16,7 @@ from sparkdesk.sources.link_lists import url_source
 
 
 def read_urls(spark: SparkSession, d: str) -> DataFrame:
-    """Page links through a text file with comments, blank lines and doubled lines, read back."""
+    """Page links through text files with comments, blank lines and doubled lines, and through JSON arrays, read back with their places."""
     path = scratch_path(spark, "links")
     pages = table(spark, d, "pages")
     line = (
@@ -24,12 +25,18 @@ def read_urls(spark: SparkSession, d: str) -> DataFrame:
         .when(F.col("page_id") % 10 == 5, F.concat(F.lit("\t"), "url", F.lit("  "), "url", F.lit(" ")))
         .otherwise(F.concat("url", F.lit("\r")))
     )
-    pages.select(line.alias("value")).write.text(path)
+    thousand = pages.select(F.floor(F.col("page_id") / 1000).alias("part"), "page_id", line.alias("value"))
+    thousand.repartition("part").sortWithinPartitions("part", "page_id").select("part", "value").write.partitionBy("part").text(path)
     arrays = scratch_path(spark, "link-arrays")
     item = F.concat(F.lit('" '), "url", F.lit('", 5, null, "", "'), "url", F.lit('#2"'))
-    fifty = pages.groupBy(F.floor(F.col("page_id") / 50).alias("part")).agg(F.array_join(F.collect_list(item), ",\n").alias("items"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("page_id", item.alias("item")))), lambda x: x["item"])
+    fifty = pages.groupBy(F.floor(F.col("page_id") / 50).alias("part")).agg(F.array_join(items, ",\n").alias("items"))
     fifty.select("part", F.concat(F.lit("["), "items", F.lit("]")).alias("value")).write.partitionBy("part").text(arrays)
-    return url_source(spark, [path, f"{arrays}/*"]).select("url")
+    found = url_source(spark, [f"{path}/*", f"{arrays}/*"])
+    place = F.row_number().over(W.partitionBy("pos.file").orderBy("pos"))
+    kind = F.when(F.contains(F.col("pos.file"), F.lit("/link-arrays-")), "json").otherwise("lines")
+    part = F.regexp_extract("pos.file", "/part=([0-9]+)/", 1).cast("bigint")
+    return found.select("url", kind.alias("kind"), part.alias("part"), place.cast("bigint").alias("place"))
 
 
 def video_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -220,9 +227,12 @@ _PART = f"case page_id % 5 when 0 then {_TITLE} when 1 then ' ' when 2 then null
 
 ORACLE = {
     "url_source": """
-        select url from pages where page_id % 10 not in (3, 4) union all
-        select url from pages where page_id % 10 = 5 union all
-        select url from pages union all select url || '#2' from pages""",
+        with u as (
+            select 'lines' as kind, page_id // 1000 as part, page_id, 1 as i, url from pages where page_id % 10 not in (3, 4) union all
+            select 'lines', page_id // 1000, page_id, 2, url from pages where page_id % 10 = 5 union all
+            select 'json', page_id // 50, page_id, 1, url from pages union all
+            select 'json', page_id // 50, page_id, 2, url || '#2' from pages)
+        select url, kind, part::bigint as part, row_number() over (partition by kind, part order by page_id, i) as place from u""",
     "extract_video_id": f"select page_id as pos, case when page_id % 20 <> 7 then {_ID} end as bvid from pages",
     "url_page_index": f"""
         with p as (

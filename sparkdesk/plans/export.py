@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.cells import base64_text, instant_text, local_timestamp_text
@@ -91,6 +92,17 @@ def seeds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def export_stats(spark: SparkSession, d: str) -> DataFrame:
+    """What a write in each format came to. A CSV document has one header, its parts one each; compressed sizes are only compared."""
+    docs = table(spark, d, "documents")
+    told = [E.export_counted(docs, scratch_path(spark, f"export-{fmt}"), fmt) for fmt in E.FORMATS]
+    rows = told[0].unionByName(told[1]).unionByName(told[2])
+    one_header = F.col("bytes") - (F.col("files") - 1) * E.header_bytes(docs)
+    csv = F.max(F.when(F.col("format") == "csv", F.col("bytes"))).over(W.partitionBy())
+    rows = rows.withColumn("smaller", (F.col("bytes") > 0) & (F.col("bytes") < csv))
+    return rows.select("format", "rows", F.when(F.col("format") == "csv", one_header).alias("bytes"), "smaller")
+
+
+def export_text_stats(spark: SparkSession, d: str) -> DataFrame:
     return E.export_stats(table(spark, d, "documents"))
 
 
@@ -122,6 +134,7 @@ QUERIES = {
     "write_int96": write_int96,
     "seed_orders": seeds,
     "export_stats": export_stats,
+    "export_text_stats": export_text_stats,
     "csv_escape": csv_escaped,
     "safe_entry_name": entry_names,
     "export_base_name": base_names,
@@ -180,6 +193,14 @@ ORACLE = {
         union all
         select 'PO-DEMO-0002', 'Bob Li', 1, 299.00::decimal(12,2), 26.00::decimal(12,2), '2024-06-01T11:52:00Z'""",
     "export_stats": f"""
+        with s as (
+            select count(*) as rows,
+                (sum(strlen(doc_id || ',' || {escaped('text')} || ',' || lang || ',' || source || ',' || n_chars) + 1)
+                 + strlen('doc_id,text,lang,source,n_chars') + 1)::bigint as bytes
+            from documents)
+        select format, rows, case when format = 'csv' then bytes end as bytes, format <> 'csv' as smaller
+        from s, (select unnest(['parquet', 'csv', 'zip']) as format)""",
+    "export_text_stats": f"""
         select 'csv' as format, count(*) as rows,
                (sum(strlen(doc_id || ',' || {escaped('text')} || ',' || lang || ',' || source || ',' || n_chars) + 1)
                 + strlen('doc_id,text,lang,source,n_chars') + 1)::bigint as bytes

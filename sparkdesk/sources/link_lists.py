@@ -36,8 +36,8 @@ def url_source(spark: SparkSession, path: str | list[str], kind: str = "auto") -
     """``(url, pos)`` of link files; ``pos`` sorts by file, then by place in the file.
 
     ``kind`` is ``lines``, ``json`` or ``auto``, which looks at the first character of each
-    file that is not blank. Line files are split among tasks; only a JSON array,
-    one value, is read as a whole.
+    file that is not blank, in a join with the lines. Line files are split among tasks; only a JSON array,
+    one value, comes together in one row.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -54,20 +54,22 @@ def url_source(spark: SparkSession, path: str | list[str], kind: str = "auto") -
     heads = lines.where(~is_blank(F.col("value"))).groupBy("file").agg(
         F.min_by(F.substring(trim_ctl(F.col("value")), 1, 1), F.struct("block", "line")).alias("head")
     )
-    arrays = [row["file"] for row in heads.where("head = '['").select("file").collect()]
-    if not arrays:
-        return _exploded(lines, parse_link_line(F.col("value")))
-    plain = lines.where(~F.col("file").isin(arrays))
-    return _exploded(plain, parse_link_line(F.col("value"))).unionByName(_json_arrays(spark, arrays))
+    # One row per file on the right: a plain join, broadcast only at a known small size.
+    told = lines.join(heads, "file")
+    plain = _exploded(told.where("head <> '['"), parse_link_line(F.col("value")))
+    placed = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    whole = told.where("head = '['").groupBy("file").agg(F.array_join(F.transform(placed, lambda x: x["value"]), "\n").alias("value"))
+    return plain.unionByName(_arrays(whole))
 
 
 def _json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.lit(0).cast(T.LongType()).alias("block"),
-        F.lit(0).cast(T.LongType()).alias("line"),
-    )
+    return _arrays(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")))
+
+
+def _arrays(whole: DataFrame) -> DataFrame:
+    """Links of files (file, value) that are one JSON array each."""
+    start = F.lit(0).cast(T.LongType())
     links = parse_link_array(F.col("value"))
     wrong = F.raise_error(F.concat(F.lit("not a JSON array of links: "), F.col("file"))).cast("array<string>")
-    return _exploded(whole.where(~is_blank(F.col("value"))), F.coalesce(links, wrong))
+    rows = whole.where(~is_blank(F.col("value"))).withColumns({"block": start, "line": start})
+    return _exploded(rows, F.coalesce(links, wrong))

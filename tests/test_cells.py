@@ -207,3 +207,41 @@ def test_generated_table(spark):
     again = generate(spark, 20_000).repartition(3)
     assert df.exceptAll(again).isEmpty()
     assert not df.exceptAll(generate(spark, 20_000, seed=5)).isEmpty()
+
+
+def test_one_column_tables_keep_their_header(spark, tmp_path):
+    """Without rows, with empty cells, and in files cut by a number of rows."""
+    import glob
+
+    read = lambda path: ["".join(open(f)) for f in sorted(glob.glob(f"{path}/part-*"))]
+    E.write_csv(spark.createDataFrame([], "a string"), str(tmp_path / "none"))
+    assert "".join(read(tmp_path / "none")) == "a\n"
+    rows = spark.createDataFrame([("x",), (None,), ("",), ("y,z",), ("w",)], "a string").coalesce(1)
+    E.write_csv(rows, str(tmp_path / "cut"), maxRecordsPerFile="2")
+    assert read(tmp_path / "cut") == ["a\nx\n\n", 'a\n\n"y,z"\n', "a\nw\n"]
+    E.write_csv_compressed(rows.where("false"), str(tmp_path / "gz"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "gz")).columns == ["a"]
+
+
+def test_one_column_stream_keeps_its_header(spark, tmp_path):
+    import glob
+
+    from sparkdesk.streaming.export import stream_export
+
+    for part in (["x", ""], ["y"]):
+        spark.createDataFrame([(v,) for v in part], "a string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("a string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    stream_export(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    texts = sorted("".join(open(f)) for f in glob.glob(f"{tmp_path}/out/batch=*/part-*"))
+    assert texts == ["a\nx\n\n", "a\ny\n"]
+
+
+def test_counts_of_each_format_come_from_its_write(spark, tmp_path):
+    import glob
+    import os
+
+    rows = spark.range(100).select("id", F.concat(F.lit("text "), "id").alias("t")).repartition(3)
+    for fmt in E.FORMATS:
+        told = E.export_counted(rows, str(tmp_path / fmt), fmt).first()
+        files = glob.glob(f"{tmp_path}/{fmt}/part-*")
+        assert tuple(told) == (fmt, 100, len(files), sum(map(os.path.getsize, files)))

@@ -69,7 +69,7 @@ def test_rows_without_a_key_reach_several_tasks(spark):
         *[(F.col("id").cast("string") if c == "submission_id" else F.lit(None).cast("string")).alias(c) for c in texts],
         F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"),
     )
-    reports = spark.createDataFrame([("a1", "RUNNING", None, None)], "application_id string, yarn_state string, final_status string, tracking_url string")
+    reports = spark.createDataFrame([("a1", "RUNNING", None, None, None)], "application_id string, yarn_state string, final_status string, tracking_url string, reported_at timestamp")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
