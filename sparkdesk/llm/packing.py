@@ -1,10 +1,11 @@
 """Packing of tokenised documents into sequences by patterns.
 
-The histogram of lengths has at most CAPACITY rows whatever the input, and it alone comes to the driver. There,
-patterns of one to three lengths that fill a sequence exactly are given repeat counts by non-negative
-least squares against the histogram; counts are rounded so that no length is used more often than it occurs,
-and what is left is packed best-fit, longest first, again by counts. In Spark every piece gets its
-rank among the pieces of its length, and its rank gives its place.
+Pieces that follow each other, BLOCK tokens of them, are packed in the task that made them: patterns of one to three lengths that
+fill a sequence exactly are given repeat counts by non-negative least squares against the block's histogram of lengths, and
+counts are rounded so that no length is used more often than it occurs. What no full sequence took, a few pieces of a hundred, meets
+once more over all blocks: patterns again, by the histogram of at most CAPACITY lengths, which alone comes to the driver, and
+best-fit, longest first, for the rest. Only these pieces are moved, and there every one gets its rank among the pieces of its
+length from its rank in its block and the counts of the blocks before.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from sparkdesk.llm.common import ship, text_of
 from sparkdesk.session import materialise
 
 CAPACITY, END_ID = 1024, 2
-#: Pieces of one length are ranked in so many parts, so that a frequent length is not one task's work.
-PARTS = 256
+#: Tokens of pieces that are packed together in a task.
+BLOCK = 8_000_000
 STEPS = 300
 
 
@@ -94,14 +96,10 @@ def fit_counts(patterns: np.ndarray, histogram: np.ndarray, steps: int = STEPS)
     return x
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns with counts that use every length exactly as often as it occurs."""
-    left = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in histogram.items():
-        left[length] = n
-    lengths = np.flatnonzero(left)
+def full_plan(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns that fill a sequence exactly, with counts; ``left``, how often each length occurs, is lowered by what they use."""
     out: list[tuple[tuple[int, ...], int]] = []
-    patterns = exact_patterns(lengths, capacity)
+    patterns = exact_patterns(np.flatnonzero(left), capacity)
     if len(patterns):
         counts = np.rint(fit_counts(patterns, left.astype(float))).astype(np.int64)
         for k in np.argsort(-counts, kind="stable"):
@@ -113,6 +111,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
                 out.append((tuple(row), n))
                 for v in row:
                     left[v] -= n
+    return out
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns with counts that use every length exactly as often as it occurs."""
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    for length, n in histogram.items():
+        left[length] = n
+    out = full_plan(left, capacity)
     return out + best_fit({int(v): int(left[v]) for v in np.flatnonzero(left)}, capacity)
 
 
@@ -144,24 +151,77 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int,
     return [(held, count) for at in room.values() for held, count in at.items()]
 
 
-def ranked(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``rank``, a gapless number from 0 among the rows of each length."""
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int")
-    rows = rows.withColumn("_part", part)
-    sizes = rows.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    earlier = W.partitionBy("length").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select("length", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(W.partitionBy("length", "_part").orderBy("doc_id", "piece")) - 1
-    return rows.withColumn("_inside", inside).join(sizes, ["length", "_part"]).withColumn("rank", F.col("_inside") + F.col("_before")).drop("_part", "_inside", "_before")
+def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the pieces of a block: the number of its full sequence from 0, or -1, the place there, and the rank among the block's
+    other pieces of its length."""
+    left = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    order = np.argsort(lengths, kind="stable")
+    start = np.cumsum(left) - left
+    used, total = np.zeros(capacity + 1, dtype=np.int64), left.copy()
+    sequence, offset = np.full(len(lengths), -1, dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
+    number = 0
+    for pattern, count in full_plan(left, capacity):
+        at = 0
+        for length in pattern:
+            rows = order[start[length] + used[length] : start[length] + used[length] + count]
+            sequence[rows], offset[rows] = np.arange(number, number + count), at
+            used[length] += count
+            at += length
+        number += count
+    rank = np.empty(len(lengths), dtype=np.int64)
+    rank[order] = np.arange(len(lengths)) - np.repeat(start + used, total)
+    return sequence, offset, rank
+
+
+def packed_in_blocks(rows: DataFrame, capacity: int) -> DataFrame:
+    """``rows`` with ``sequence_id`` and ``offset`` of full sequences, -1 for pieces of none; and ``_block, _rank`` of these."""
+
+    def flush(held: list[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+        lengths = np.concatenate([b.column("length").to_numpy(zero_copy_only=False) for b in held])
+        sequence, offset, rank = place(lengths, capacity)
+        # No block has as many sequences as tokens.
+        sequence = np.where(sequence >= 0, sequence + (block << 24), -1)
+        at = 0
+        for batch in held:
+            part = slice(at, at + len(batch))
+            at += len(batch)
+            columns = [pa.array(c[part]) for c in (sequence, offset, np.full(len(lengths), block), rank)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, "sequence_id", "offset", "_block", "_rank"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        held, tokens, block = [], 0, TaskContext.get().partitionId() << 16
+        for batch in batches:
+            for start in range(0, len(batch), 2_000):
+                held.append(batch.slice(start, 2_000))
+                tokens += pc.sum(held[-1].column("length")).as_py()
+                if tokens >= BLOCK:
+                    yield from flush(held, block)
+                    held, tokens, block = [], 0, block + 1
+        if held:
+            yield from flush(held, block)
+
+    names = rows.columns
+    added = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset", "_block", "_rank")]
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``rows`` (doc_id, piece, length and others) with ``sequence_id`` and ``offset``.
+    """``rows`` (length and others) with ``sequence_id`` and ``offset``.
 
-    Every sequence is filled from 0 without a gap, to the capacity at most. No rows give no sequences.
+    Every sequence is filled from 0 without a gap, to the capacity at most. Rows need no id, and equal ones are packed each. No rows give
+    no sequences. The rows are written once; those of full sequences stay where they are.
     """
-    rows = materialise(rows, "pieces")
-    histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    rows = materialise(packed_in_blocks(rows, capacity), "pieces")
+    full = rows.where("sequence_id >= 0").drop("_block", "_rank")
+    rest = rows.where("sequence_id < 0").drop("sequence_id", "offset")
+    sizes = rest.groupBy("length", "_block").agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy("length").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    sizes = materialise(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "piece-counts")
+    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    rest = rest.join(sizes.drop("_n"), ["length", "_block"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_block", "_before")
     slots, used, sequences = [], dict.fromkeys(histogram, 0), 0
     for pattern, count in plan(histogram, capacity):
         offset = 0
@@ -173,17 +233,17 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots.sort()
     keys, bases, offsets = (np.array([s[k] for s in slots], dtype=np.int64) for k in range(3))
 
-    names = rows.columns
+    names = [c for c in full.columns if c not in ("sequence_id", "offset")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_rank"))
             at = np.searchsorted(keys, (length << 52) + rank, side="right") - 1
             columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(bases[at] + rank), pa.array(offsets[at])], names=[*names, "sequence_id", "offset"])
+            # Numbers below 0, so that they are none of a block's.
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(-1 - bases[at] - rank), pa.array(offsets[at])], names=[*names, "sequence_id", "offset"])
 
-    places = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    return ranked(rows).mapInArrow(run, T.StructType([*rows.schema.fields, *places]))
+    return full.unionByName(rest.select(*names, "_rank").mapInArrow(run, full.schema))
 
 
 def packed_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -301,3 +301,47 @@ def test_packed_pieces_keep_their_ids(docs, spark):
         assert (len(ids), zlib.crc32(bytes(r.ids))) == (r.length, r.ids_crc32)
         found[r.doc_id] += ids
     assert found == {i: [*library.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(TEXTS)}
+
+
+def sequences_of(rows, capacity=packing.CAPACITY):
+    """Pieces by sequence; each is filled from 0 without a gap."""
+    found = defaultdict(list)
+    for r in rows:
+        found[r.sequence_id].append((r.offset, r.length))
+    for places in found.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return found
+
+
+@pytest.mark.parametrize("block", [1, 5000, 8_000_000])
+def test_packing_without_ids_and_by_blocks(spark, monkeypatch, block):
+    """Rows without an id, and one length alone, whatever the blocks are: as few sequences as all together need."""
+    monkeypatch.setattr(packing, "BLOCK", block)
+    rows = spark.range(0, 4000, 1, 5).select(
+        F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).alias("piece"),
+        F.when(F.col("id") < 2500, F.lit(512)).otherwise(F.pmod(F.xxhash64("id"), F.lit(1024)) + 1).alias("length"),
+    )
+    got = packing.pack(rows).collect()
+    assert len(got) == 4000
+    found = sequences_of(got)
+    assert len(found) <= 1.01 * sum(r.length for r in got) / 1024 + 1
+    alone = packing.pack(rows.where("length = 512")).collect()
+    assert len(sequences_of(alone)) == -(-len(alone) // 2)
+    assert packing.pack(rows.where("false")).count() == 0
+
+
+def test_ranks_of_a_block():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(1, 65, 3000)
+    sequence, offset, rank = packing.place(lengths, 64)
+    for number in range(sequence.max() + 1):
+        rows = np.flatnonzero(sequence == number)
+        rows = rows[np.argsort(offset[rows])]
+        assert lengths[rows].sum() == 64 and (offset[rows] == np.cumsum(lengths[rows]) - lengths[rows]).all()
+    for length in range(1, 65):
+        rest = rank[(sequence < 0) & (lengths == length)]
+        assert sorted(rest.tolist()) == list(range(len(rest)))
