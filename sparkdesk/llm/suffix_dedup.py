@@ -4,7 +4,7 @@ Suffixes are sorted where they are sampled, and all others are induced from thes
 
 1. Sample. Every string of LENGTH bytes holds a sampled place: that of the smallest hash among its K-byte pieces, leftmost of equal ones.
    The piece is the suffix's name. A stretch is a run of strings (places of the text) that share their sampled place. Tasks
-   hand on their suffix tuples as sorted, compressed runs, one for each shard.
+   hand on their suffix tuples as sorted runs, one for each shard.
 2. Recursion. A shard merges its runs in Spark's sort, which spills to disk. Names that occur once end here, as no
    string over them repeats. Stretches with equal bytes (name and context, 128 bits of hash) are repeats of the first document's.
 3. Induction. Where a name stands in different contexts, the suffixes from the sampled places on are sorted by their bytes, again in Spark's sort,
@@ -75,19 +75,6 @@ def stretches(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
         yield names, contexts, (start + first) << SHIFT | apart << 6 | n
 
 
-def _pack(columns: list[np.ndarray]) -> bytes:
-    """Eight planes of bytes for each column, so that bytes that seldom change lie together; names, sorted, as differences."""
-    columns = [np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:]]
-    planes = b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(planes)
-
-
-def _unpack(row: bytes) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row), dtype=np.uint8).reshape(len(COLUMNS), 8, -1)
-    columns = [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
-    return [np.cumsum(columns[0].view(np.uint64)).view(np.int64), *columns[1:]]
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc, sub, text`` of the rows with an id; ``sub`` tells rows of one id by their text, and is 0 where the id is there once."""
     ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
@@ -102,14 +89,14 @@ def sorted_tuples(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def flush(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*held)]
         shard = (columns[0] % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((columns[0], shard))
         edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        parts = [order[a:b] for a, b in zip(edges, [*edges[1:], len(order)])]
-        payload = [_pack([c[p] for c in columns]) for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array(shard[order][edges], pa.int32()), pa.array(payload, pa.binary())], names=["shard", "run"])
+        ends = pa.array([*edges.tolist(), len(order)], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c[order].view(np.int64))) for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(shard[order][edges], pa.int32()), *lists], names=["shard", *COLUMNS])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -119,21 +106,15 @@ def sorted_tuples(rows: DataFrame) -> DataFrame:
                     held.append([names, contexts, np.full(len(pos), doc), np.full(len(pos), sub), pos])
                     size += len(pos)
                     if size >= RUN:
-                        yield from flush(held)
+                        yield flush(held)
                         held, size = [], 0
         if held:
-            yield from flush(held)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in batch.column("run"):
-                columns = [pa.array(c) for c in _unpack(run.as_py())]
-                for start in range(0, len(columns[0]), 50_000):
-                    yield pa.RecordBatch.from_arrays([c.slice(start, 50_000) for c in columns], names=list(COLUMNS))
+            yield flush(held)
 
     ship(spark)
-    shipped = rows.select("doc", "sub", "text").mapInArrow(runs, "shard int, run binary").repartition(shards, "shard")
-    return shipped.select("run").mapInArrow(merge, ", ".join(f"{c} bigint" for c in COLUMNS)).sortWithinPartitions("name", "context", "doc")
+    shipped = rows.select("doc", "sub", "text").mapInArrow(runs, "shard int, " + ", ".join(f"{c} array<bigint>" for c in COLUMNS))
+    tuples = shipped.repartition(shards, "shard").select(F.inline(F.arrays_zip(*COLUMNS)))
+    return tuples.sortWithinPartitions("name", "context", "doc")
 
 
 def repeated(tuples: DataFrame) -> DataFrame:
