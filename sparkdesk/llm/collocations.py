@@ -9,8 +9,8 @@ a piece ends or no phrase lives, and beside it the block's own list of phrases w
 - group-counts: the blocks' lists, already added up inside each block, meet by phrase,
 - semi-joins: phrases frequent in the language go back to their blocks, and places of all others die before the next round.
 
-Phrases are told apart by the pair of ids of their two shorter halves, which are row numbers of written tables, and words by
-their texts, so nothing depends on a hash.
+Words meet by their texts and longer phrases by the ids of their two halves. An id is a hash of 64 bits, of frequent
+phrases only; that no two of a length share one is checked, and the job stops where they do.
 """
 
 from __future__ import annotations
@@ -139,10 +139,12 @@ def frequent(relation: DataFrame, keys: list[str], least: int) -> tuple[DataFram
     """
     listed = relation.select("block", "lang", F.posexplode("found").alias("code", "_f")).select("block", "lang", "code", "_f.*")
     total = F.sum("n").over(W.partitionBy("lang", *keys))
-    often = materialise(listed.withColumn("a", total).where(F.col("a") >= least).drop("n"), "phrases-of-blocks")
-    phrases = often.groupBy("lang", *keys).agg(F.first("a").alias("a")).withColumn("id", F.monotonically_increasing_id())
-    phrases = materialise(phrases, "phrases")
-    return phrases, often.join(phrases.drop("a"), ["lang", *keys]).select("block", "code", "id")
+    often = listed.withColumn("a", total).where(F.col("a") >= least).drop("n").withColumn("id", F.xxhash64("lang", *keys))
+    often = materialise(often, "phrases-of-blocks")
+    phrases = materialise(often.groupBy("id", "lang", *keys).agg(F.first("a").alias("a")), "phrases")
+    if not phrases.groupBy("id").agg(F.count("*").alias("_n")).where("_n > 1").isEmpty():
+        raise ValueError("one id stands for two phrases")
+    return phrases, often.select("block", "code", "id")
 
 
 def candidates(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
