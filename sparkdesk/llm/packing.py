@@ -26,7 +26,7 @@ from sparkdesk.session import materialise
 
 CAPACITY, END_ID = 1024, 2
 #: Tokens of pieces that are packed together in a task.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
 STEPS = 300
 
 
@@ -39,6 +39,21 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     text is empty: one piece with the end id alone. Repeated rows are packed each; other columns are not read.
     """
 
+    ship(docs.sparkSession)
+    return _texts(docs).mapInArrow(encoder(path, capacity, end_id), _piece_schema(docs))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_of().alias("_text"))
+
+
+def _piece_schema(docs: DataFrame) -> T.StructType:
+    return T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("piece int, start bigint, length bigint, ids binary").fields])
+
+
+def encoder(path: str, capacity: int = CAPACITY, end_id: int = END_ID):
+    """What ``pieces`` does with the batches of a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = bpe.library(path), int(end_id).to_bytes(4, "little")
         for rows, texts in bpe.blocks(batches, "_text"):
@@ -53,9 +68,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             columns = [rows.column(0).take(pa.array(take)), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), lengths, pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
 
-    ship(docs.sparkSession)
-    rows = docs.select("doc_id", text_of().alias("_text"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T._parse_datatype_string("piece int, start bigint, length bigint, ids binary").fields]))
+    return run
 
 
 def exact_patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -173,8 +186,11 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, n
     return sequence, offset, rank
 
 
-def packed_in_blocks(rows: DataFrame, capacity: int) -> DataFrame:
-    """``rows`` with ``sequence_id`` and ``offset`` of full sequences, -1 for pieces of none; and ``_block, _rank`` of these."""
+def packed_in_blocks(rows: DataFrame, capacity: int, make=None, schema: T.StructType | None = None) -> DataFrame:
+    """``rows`` with ``sequence_id`` and ``offset`` of full sequences, -1 for pieces of none; and ``_block, _rank`` of these.
+
+    Where ``make`` is given, the pieces are what it makes of the rows' batches, of that ``schema``, in the same Python worker.
+    """
 
     def flush(held: list[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
         lengths = np.concatenate([b.column("length").to_numpy(zero_copy_only=False) for b in held])
@@ -192,7 +208,7 @@ def packed_in_blocks(rows: DataFrame, capacity: int) -> DataFrame:
         from pyspark import TaskContext
 
         held, tokens, block = [], 0, TaskContext.get().partitionId() << 16
-        for batch in batches:
+        for batch in make(batches) if make else batches:
             for start in range(0, len(batch), 2_000):
                 held.append(batch.slice(start, 2_000))
                 tokens += pc.sum(held[-1].column("length")).as_py()
@@ -202,19 +218,20 @@ def packed_in_blocks(rows: DataFrame, capacity: int) -> DataFrame:
         if held:
             yield from flush(held, block)
 
-    names = rows.columns
+    schema = schema or rows.schema
+    names = schema.names
     added = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset", "_block", "_rank")]
     ship(rows.sparkSession)
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))
+    return rows.mapInArrow(run, T.StructType([*schema.fields, *added]))
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(rows: DataFrame, capacity: int = CAPACITY, make=None, schema: T.StructType | None = None) -> DataFrame:
     """``rows`` (length and others) with ``sequence_id`` and ``offset``.
 
     Every sequence is filled from 0 without a gap, to the capacity at most. Rows need no id, and equal ones are packed each. No rows give
     no sequences. The rows are written once; those of full sequences stay where they are.
     """
-    rows = materialise(packed_in_blocks(rows, capacity), "pieces")
+    rows = materialise(packed_in_blocks(rows, capacity, make, schema), "pieces")
     full = rows.where("sequence_id >= 0").drop("_block", "_rank")
     rest = rows.where("sequence_id < 0").drop("sequence_id", "offset")
     sizes = rest.groupBy("length", "_block").agg(F.count("*").alias("_n"))
@@ -248,5 +265,5 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def packed_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids`` of every piece of every document."""
-    packed = pack(pieces(docs, path))
+    packed = pack(_texts(docs), make=encoder(path), schema=_piece_schema(docs))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")
