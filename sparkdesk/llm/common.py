@@ -27,6 +27,17 @@ def spaced(text: Column) -> Column:
     return F.regexp_replace(text, ODD_SPACE, " ")
 
 
+def free(docs: DataFrame, *stems: str) -> list[str]:
+    """Names for helper columns, each its stem with as many underscores as it takes to be none of the columns of ``docs``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        out.append(stem)
+        taken.add(stem.lower())
+    return out
+
+
 def digest(text: Column) -> Column:
     """SHA-256 as 32 bytes."""
     return F.unhex(F.sha2(text, 256))

@@ -1,6 +1,7 @@
 """Near duplicates: word-shingle Jaccard join with Bayesian pruning of candidates.
 
-Texts with equal shingle sets are one class member from the start. Members that agree in a whole band of
+Texts with equal shingle sets are one class member from the start; a member has a number of its own, so rows that share
+a doc_id but not a text are told apart. Members that agree in a whole band of
 MinHash values are candidates. Candidates are compared a few MinHash values at a time: a pair is dropped as soon as
 the posterior probability that its similarity reaches the threshold, given the agreements so far and a uniform
 prior, is below the tolerance. Pairs that remain are verified on their whole shingle sets.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkdesk.llm import wordhash
-from sparkdesk.llm.common import ship, text_of
+from sparkdesk.llm.common import digest, free, ship, text_of
 from sparkdesk.session import materialise
 
 WORDS, THRESHOLD = 5, 0.8
@@ -123,7 +124,7 @@ def verified(pairs: np.ndarray, left: list[np.ndarray], right: list[np.ndarray],
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, bands`` of every row that has an id: its shingle set's digest and band keys, null without a word."""
+    """``doc_id, text_id, key, bands`` of every row that has an id: its text's digest, its shingle set's digest and band keys, null without a word."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,10 +134,17 @@ def sets(docs: DataFrame) -> DataFrame:
                 shingles = shingle_set(text)
                 keys.append(set_key(shingles) if len(shingles) else None)
                 bands.append(band_keys(min_hashes(shingles)) if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), rows.column("text_id"), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_id", "key", "bands"],
+            )
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text"))
-    return rows.mapInArrow(run, "doc_id bigint, key binary, bands array<bigint>")
+    return _texts(docs).mapInArrow(run, "doc_id bigint, text_id binary, key binary, bands array<bigint>")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    rows = docs.where("doc_id is not null")
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(text_of()).alias("text_id"), text_of().alias("_text"))
 
 
 def candidates(members: DataFrame) -> DataFrame:
@@ -161,10 +169,8 @@ def blocks(docs: DataFrame, members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in wordhash.slices(batches, "_text"):
             out: list[tuple] = []
-            for i, key, copies, slots, text in zip(*(rows.column(c).to_pylist() for c in ("id", "key", "copies", "slots")), texts):
+            for i, copies, slots, text in zip(*(rows.column(c).to_pylist() for c in ("id", "copies", "slots")), texts):
                 shingles = shingle_set(text)
-                if not len(shingles) or set_key(shingles) != key:
-                    continue
                 names = [0] * BANDS
                 for s in slots:
                     names[s["band"]] = s["bucket"]
@@ -177,8 +183,8 @@ def blocks(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
     columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), text_of().alias("_text"))
-    return texts.join(members, "id").mapInArrow(run, BLOCK_ROW)
+    named = members.select("rep.doc_id", "rep.text_id", "id", "copies", "slots")
+    return _texts(docs).join(named, ["doc_id", "text_id"]).select("id", "copies", "slots", "_text").mapInArrow(run, BLOCK_ROW)
 
 
 def compare(rows: list[dict], threshold: float = THRESHOLD) -> Iterator[tuple]:
@@ -269,6 +275,30 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small
 
 
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row with an id as in ``sets``, and of each shingle set that has a link ``key, first, n_links, n_linked_texts``.
+
+    ``first`` is the smallest (doc_id, text_id) of the set's class.
+    """
+    light = materialise(sets(docs), "shingle-sets")
+    rep = F.min(F.struct("doc_id", "text_id")).alias("rep")
+    reps = light.where("key is not null").groupBy("key", "bands").agg(rep, F.count("*").alias("copies"))
+    # Numbers are fixed by being written; everything after this reads the written ones.
+    reps = materialise(reps.withColumn("id", F.monotonically_increasing_id()), "shingle-reps")
+    members = reps.select("id", "rep", "copies").join(candidates(reps), "id")
+    found = materialise(compared(blocks(docs, members)), "links")
+    counts = found.groupBy("id").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
+    roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    facts = reps.select("id", "key", "rep", "copies").join(counts, "id", "left").where("copies > 1 or links is not null")
+    facts = facts.join(roots, "id", "left").select(
+        "key", "rep", F.coalesce("class_id", "id").alias("root"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"),
+    )
+    facts = materialise(facts, "facts")
+    firsts = facts.groupBy("root").agg(F.min("rep").alias("first"))
+    return light, materialise(facts.join(firsts, "root").select("key", "first", "n_links", "n_linked_texts"), "classes")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, n_links, n_linked_texts``, one row per row of ``docs`` (doc_id, text).
 
@@ -276,24 +306,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the smallest doc_id of a document's connected group and its own where it has no link. ``n_links`` counts linked
     documents, those with the same set among them, ``n_linked_texts`` the different sets among them. A null text is empty;
     a text without words is linked with none, one of fewer than five words has one shingle of all its words. A row without a
-    doc_id takes no part: no class, no link. Rows that repeat an id count as documents and share its class.
+    doc_id takes no part: no class, no link. Every row is a document, also one that repeats an id: rows that share an id
+    and not a text have the links and the class of their own texts. Other columns are not read. No rows give no rows.
     """
-    light = materialise(sets(docs), "shingle-sets")
-    reps = light.where("key is not null").groupBy("key", "bands").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
-    reps = materialise(reps, "shingle-reps")
-    members = reps.select("id", "key", "copies").join(candidates(reps), "id")
-    found = materialise(compared(blocks(docs, members)), "links")
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
-    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    facts = reps.where("copies > 1").select("id", "key").unionByName(reps.join(counts, "id", "left_semi").select("id", "key")).distinct()
-    facts = facts.join(reps.select("id", "key", "copies"), ["id", "key"]).join(counts, "id", "left").join(classes, "id", "left")
-    facts = materialise(facts.select(
-        "key", F.coalesce("class_id", "id").alias("class_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"),
-    ), "facts")
+    light, facts = _classes(docs)
     zero = F.lit(0).cast("bigint")
     out = light.join(facts, "key", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", zero).alias("n_links"),
+        "doc_id", F.coalesce("first.doc_id", "doc_id").alias("class_id"), F.coalesce("n_links", zero).alias("n_links"),
         F.coalesce("n_linked_texts", zero).alias("n_linked_texts"),
     )
     none = docs.where("doc_id is null").select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("class_id"), zero.alias("n_links"), zero.alias("n_linked_texts"))
@@ -301,6 +320,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that have the smallest doc_id of their class, or no doc_id; all columns as they are."""
-    gone = near_duplicates(docs).where("doc_id != class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(materialise(gone, "near-copies"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of each class of ``near_duplicates`` the document with the smallest doc_id, and all rows that are in no class; all columns as they are.
+
+    Of different texts with that doc_id the one with the smallest SHA-256 stays; rows that repeat both id and text stay together, as
+    do rows without a doc_id. Columns may have any names.
+    """
+    light, facts = _classes(docs)
+    doc, text = free(docs, "_gone", "_gone_text")
+    gone = light.join(facts, "key").where("struct(doc_id, text_id) != first").select(F.col("doc_id").alias(doc), F.col("text_id").alias(text))
+    same = (F.col("doc_id") == F.col(doc)) & (digest(text_of()) == F.col(text))
+    return docs.join(materialise(gone.distinct(), "near-copies"), same, "left_anti")
