@@ -84,9 +84,12 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Every candidate with the offset of its first byte, its successor's offset and its header; no payloads."""
+    """Every candidate with the offset of its first byte, its successor's offset and its header; no payloads.
+
+    Only a line feed begins a header line: U+0085, U+2028 and U+2029 may stand in a url.
+    """
     head = F.substring_index("value", END, 1)
-    field = lambda name: F.regexp_extract("_head", rf"(?im)^{name}:[ \t]*([^\r\n]*?)[ \t]*\r?$", 1)
+    field = lambda name: F.regexp_extract("_head", rf"(?dim)^{name}:[ \t]*([^\r\n]*?)[ \t]*\r?$", 1)
     rows = _pieces(spark, path).select(
         "file", "block", "size", "nth", F.octet_length("value").alias("_octets"),
         F.contains("value", F.lit(END)).alias("_closed"), head.alias("_head"), F.octet_length(head).alias("_head_octets"), "value",
@@ -190,7 +193,10 @@ def _with_split_bodies(spark: SparkSession, path: str, every: DataFrame, records
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes ``pages`` as archives and reads the records back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
 
-    Length and digest of a response are those of the payload as read; a revisit carries them in its header.
+    One row per row of ``pages``. Length and digest of a response are those of the payload as read; a revisit carries them in its
+    header. A null html is an empty payload; ``refers_to`` is null for responses. A row without a page_id is a response with a
+    null page_id. Of pages that repeat the smallest page_id of a payload all are responses. Columns beside page_id, url and html
+    are not read. No rows give no rows.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
