@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import digest, text_of
+from sparkdesk.llm.common import digest, free, text_of
 from sparkdesk.session import materialise, scratch_path
 
 
@@ -79,7 +79,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
     """Brings the ledger at ``ledger`` up to date with the texts of ``versions``, and returns it.
 
     A blob's rules that the ledger already has in this version are not run again.
-    A retried write leaves no half rows, as Parquet folders are committed whole.
+    A run that breaks off may leave some of its files: their pairs are known to the next run, which scans the others. Runs that
+    append at once may record a pair twice; ``spans`` takes it once.
     """
     spark = versions.sparkSession
     blobs = versions.select(text_of().alias("_text")).groupBy(digest(F.col("_text")).alias("blob"), "_text").agg(
@@ -108,10 +109,15 @@ def _read(spark, ledger: str) -> DataFrame | None:
 
 
 def spans(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``blob, kind, ord, start, end`` of every match that is long enough; code points, end exclusive."""
+    """``blob, kind, ord, start, end`` of every match that is long enough; code points, end exclusive.
+
+    A pair of blob and rule that the ledger holds several times counts once.
+    """
     order = W.partitionBy("blob", "rule").orderBy("nth")
     rows = ledger.where(F.size("matches") > 0).select("blob", F.inline("matches"))
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(order)).withColumn("start", F.col("end") - F.col("len"))
+    rows = rows.withColumn("again", F.coalesce(F.lag("nth").over(order) == F.col("nth"), F.lit(False)))
+    width = F.when(F.col("again"), F.lit(0)).otherwise(F.col("gap") + F.col("len"))
+    rows = rows.withColumn("end", F.sum(width).over(order)).withColumn("start", F.col("end") - F.col("len")).where("not again")
     known = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)])
     least = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.least)])
     rows = rows.where(known[F.col("rule")].isNotNull() & (F.col("value") >= least[F.col("rule")]))
@@ -136,8 +142,10 @@ def secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...]
 def redact(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with the characters of every span in ``text`` replaced by the mask; other rows and columns as they are.
 
-    Spans that overlap or touch become one. A null text stays null.
+    Spans that overlap or touch become one. A null text stays null and an empty one empty. Rows that repeat an id or a text are each masked by their
+    own text, rows without an id too. Other columns may have any names. No rows give no rows.
     """
+    blob, hit, places = free(docs, "_blob", "_found", "_cuts")
     done = scan(docs, ledger or scratch_path(docs.sparkSession, "ledger"), rules)
     by_start = W.partitionBy("blob").orderBy("start", "end")
     rows = spans(done, rules).withColumn("_upto", F.max("end").over(by_start.rowsBetween(W.unboundedPreceding, -1)))
@@ -146,11 +154,11 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = None, r
     islands = rows.groupBy("blob", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     before = F.coalesce(F.lag("end").over(W.partitionBy("blob").orderBy("_island")), F.lit(0))
     islands = islands.withColumn("after", before)
-    cuts = islands.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end", "after"))).alias("_cuts"))
-    cuts = materialise(cuts.withColumnRenamed("blob", "_found"), "cuts")
-    text, cut = F.col("text"), F.col("_cuts")
+    cuts = islands.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end", "after"))).alias(places))
+    cuts = materialise(cuts.withColumnRenamed("blob", hit), "cuts")
+    text, cut = F.col("text"), F.col(places)
     gone = lambda c: F.concat(text.substr((c["after"] + 1).cast("int"), (c["start"] - c["after"]).cast("int")), F.lit(mask))
     tail = text.substr((F.element_at(cut, -1)["end"] + 1).cast("int"), F.length(text))
     clean = F.when(cut.isNull(), text).otherwise(F.concat(F.array_join(F.transform(cut, gone), ""), tail))
-    joined = docs.withColumn("_blob", digest(text_of())).join(cuts, F.col("_blob") == F.col("_found"), "left")
-    return joined.withColumn("text", clean).select(*docs.columns)
+    joined = docs.withColumn(blob, digest(text_of())).join(cuts, F.col(blob) == F.col(hit), "left")
+    return joined.withColumn("text", clean).drop(blob, hit, places)
