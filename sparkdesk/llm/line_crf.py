@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkdesk.llm.common import ship, text_of
+from sparkdesk.llm.common import free, ship, text_of
 from sparkdesk.llm.wordhash import slices
 
 #: The sample: so many documents at most, and so many lines of each, spread evenly over it.
@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Only rows whose crc32(doc_id) mod 4 is not 2 are used, ``sample`` of them at most, chosen by a hash of the id, so the
     sample is small enough to be sent to every task. A null quality is no label; of repeated ones the larger
-    counts. Without any label the model knows nothing, and nothing is rejected for that.
+    counts, and of rows of ``docs`` that repeat an id one, that with the smallest features, so at most ``sample`` rows are
+    collected. Without any label the model knows nothing, and nothing is rejected for that.
     """
     ship(docs.sparkSession)
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -180,7 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     texts = docs.select("doc_id", text_of().alias("_text")).join(F.broadcast(chosen), "doc_id")
     kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("quality", T.IntegerType()), T.StructField("features", T.BinaryType())])
-    rows = texts.select("doc_id", "quality", "_text").mapInArrow(run, kind).collect()
+    made = texts.select("doc_id", "quality", "_text").mapInArrow(run, kind)
+    rows = made.groupBy("doc_id", "quality").agg(F.min("features").alias("features")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
     width = 3 * 15 + 1
     return fit([(np.frombuffer(r["features"], np.float32).reshape(-1, width).astype(float), r["quality"]) for r in rows])
@@ -214,14 +216,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def drop_bad(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores at least the threshold, all columns as they are."""
+    """The rows of ``docs`` whose text scores at least the threshold, all columns as they are, whatever their names.
+
+    A null text is an empty one and is judged as such; rows are judged one by one, so rows that repeat an id, and rows without one, each go or
+    stay by their own text. No rows give no rows. Without labels all rows stay.
+    """
     model = train(docs, labels)
     ship(docs.sparkSession)
     blank, names = not model.weights.any(), docs.columns
+    (held,) = free(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, "_text"):
+        for rows, texts in slices(batches, held):
             keep = pa.array([blank or model.score(text) >= threshold for text in texts], pa.bool_())
             yield pa.RecordBatch.from_arrays([rows.column(i).filter(keep) for i in range(len(names))], names=names)
 
-    return docs.withColumn("_text", text_of()).mapInArrow(run, docs.schema)
+    return docs.withColumn(held, text_of()).mapInArrow(run, docs.schema)
