@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkdesk.llm.common import digest, spaced, text_of
+from sparkdesk.llm.common import digest, free, spaced, text_of
 from sparkdesk.session import materialise
 
 #: One word pair in so many ends a chunk; a chunk has at most LONGEST words.
@@ -91,18 +91,20 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they are.
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they are, whatever their names.
 
-    Of rows that repeat both the id and the normalised text one stays, whichever it is.
+    Of rows that repeat both the id and the normalised text one stays, whichever it is. A null text is an empty one. Rows without
+    an id give way to rows with one. No rows give no rows.
     """
+    sha, doc, key, n = free(docs, "_sha", "_id", "_key", "_n")
     kept = exact_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    kept = kept.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_key")).agg(F.count("*").alias("_n"))
+    kept = kept.groupBy(F.col("doc_id").alias(doc), F.col("text_sha256").alias(key)).agg(F.count("*").alias(n))
     kept = materialise(kept, "kept-ids")
-    keyed = docs.withColumn("_sha", F.sha2(spaced(text_of()), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_key"))
-    left, again = keyed.join(kept, same, "left_semi"), kept.where("_n > 1")
+    keyed = docs.withColumn(sha, F.sha2(spaced(text_of()), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(sha) == F.col(key))
+    left, again = keyed.join(kept, same, "left_semi"), kept.where(F.col(n) > 1)
     if not again.isEmpty():
         # Only the rows of repeated ids are moved once more.
-        one = keyed.join(again, same, "left_semi").dropDuplicates(["doc_id", "_sha"])
+        one = keyed.join(again, same, "left_semi").dropDuplicates(["doc_id", sha])
         left = left.join(again, same, "left_anti").unionByName(one)
-    return left.drop("_sha")
+    return left.drop(sha)
