@@ -83,7 +83,7 @@ def base_names(spark: SparkSession, d: str) -> DataFrame:
 
 def file_names(spark: SparkSession, d: str) -> DataFrame:
     """Document texts as names: far too long, with line breaks and characters no file may have."""
-    text = F.when(F.col("doc_id") % 10 == 1, " ... ").when(F.col("doc_id") % 10 == 2, F.concat(F.substring("text", 1, 30), F.lit("..")))
+    text = F.when(F.col("doc_id") % 10 == 1, " ... ").when(F.col("doc_id") % 10 == 2, F.concat("text", F.lit("..")))
     return table(spark, d, "documents").select("doc_id", safe_file_name(text.otherwise(F.col("text"))).alias("name"))
 
 
@@ -177,41 +177,46 @@ QUERIES = {
     "write_text_docs": text_docs,
 }
 
-_ID = "'BV' || lpad((page_id // 2)::varchar, 10, '0')"
+_VIDEO = "'BV' || lpad({0}::varchar, 10, '0')"
 _PAGE = "coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') as int), 1)"
 
-# Links with their conversation, as the landed payloads say it.
+# Every turn as a video, and the links of pages to the turns of their conversation.
+_LINKS = f"""
+    talk as (select conv_id * 8 + turn as v, conv_id, turn, text from conversations),
+    link as (
+        select page_id * 8 + coalesce(turn, 0) as pos, url, page_id % 20 <> 7 as named, page_id // 2 * 8 + coalesce(turn, 0) as number
+        from pages left join talk on conv_id = page_id // 2)"""
+# Links with their turn, as the landed payloads say it.
 _CONTEXT = f"""
-    talk as (select conv_id, text from conversations where turn = 0),
+    {_LINKS},
     joined as (
-        select page_id as pos, case when page_id % 20 <> 7 then {_ID} end as bvid, conv_id, substr(text, 1, 40) as head,
-               1 + conv_id % 3 as pages, least({_PAGE}, 1 + conv_id % 3)::int as p
-        from pages left join talk on page_id % 20 <> 7 and conv_id = page_id // 2),
+        select pos, case when named then {_VIDEO.format('number')} end as bvid, v, text, 1 + v % 3 as pages, least({_PAGE}, 1 + v % 3)::int as p
+        from link left join talk on named and v = number),
     context as (
-        select pos, bvid, conv_id, head, pages, p,
-               case when bvid is null then 'no video id' when conv_id is null then 'no view'
-                    when conv_id % 17 = 3 then 'view failed: code=-404, message=not found'
-                    when conv_id % 19 = 5 then 'missing aid' end as e,
-               case when p = 2 and conv_id % 5 = 1 then conv_id * 100 + 50 else conv_id * 100 + p end as c,
-               case when conv_id % 7 <> 2 then head else bvid end as t,
-               case p when 1 then 'Part: one' when 2 then null else case when trim(head) <> '' then head end end as part
+        select pos, bvid, v, pages, p,
+               case when bvid is null then 'no video id' when v is null then 'no view'
+                    when v % 17 = 3 then 'view failed: code=-404, message=not found'
+                    when v % 19 = 5 then 'missing aid' end as e,
+               case when p = 2 and v % 5 = 1 then v * 100 + 50 else v * 100 + p end as c,
+               case when v % 7 <> 2 then text else bvid end as t,
+               case p when 1 then 'Part: one' when 2 then case when v % 4 <> 1 then '2. ' || text end
+                      else case when trim(text) <> '' then text end end as part
         from joined)"""
 _ITEMS = f"""
     {_CONTEXT},
+    part as (select v, v * 100 + i as cid, text from (select *, unnest(generate_series(1, 1 + v % 3)) as i from talk)),
     body as (
-        select conv_id * 100 + turn + 1 as cid,
-               case when conv_id % 7 = 6 then [] else
+        select cid, case when v % 7 = 6 then [] else
                     [y for y in [{trimmed('x')} for x in string_split(text, chr(10))] if y <> ''] end as lines
-        from conversations),
-    known as (
-        select cid from body where (cid - 1) % 100 < 3 union all select conv_id * 100 + 50 from talk),
+        from part),
+    known as (select cid from part where v % 11 <> 4 union all select v * 100 + 50 from talk),
     choice as (
-        select x.*, k.cid as track_cid, b.lines as body_lines, b.cid as body_cid,
-               case c % 5 when 1 then 'zh-CN' when 2 then 'xx' when 3 then 'en' end as lan
+        select x.*, (v + c) % 5 as list, k.cid as track_cid, b.lines as body_lines, b.cid as body_cid,
+               case (v + c) % 5 when 1 then 'zh-CN' when 2 then 'xx' when 3 then 'en' end as lan
         from context x left join known k on e is null and k.cid = c left join body b on e is null and b.cid = c),
     items as (
-        select *, case when e is not null then e when track_cid is null then 'no track list' when c % 5 = 0 then 'no tracks'
-                  when c % 5 = 4 then 'empty track url' when body_cid is null then 'no body'
+        select *, case when e is not null then e when track_cid is null then 'no track list' when list = 0 then 'no tracks'
+                  when list = 4 then 'empty track url' when body_cid is null then 'no body'
                   when len(body_lines) = 0 then 'no content lines' end as error
         from choice)"""
 
@@ -233,7 +238,7 @@ ORACLE = {
             select 'json', page_id // 50, page_id, 1, url from pages union all
             select 'json', page_id // 50, page_id, 2, url || '#2' from pages)
         select url, kind, part::bigint as part, row_number() over (partition by kind, part order by page_id, i) as place from u""",
-    "extract_video_id": f"select page_id as pos, case when page_id % 20 <> 7 then {_ID} end as bvid from pages",
+    "extract_video_id": f"with {_LINKS} select pos, case when named then {_VIDEO.format('number')} end as bvid from link",
     "url_page_index": f"""
         with p as (
             select page_id, case when page_id % 8 = 4 then 1
@@ -241,12 +246,12 @@ ORACLE = {
                                  when page_id % 8 = 1 then 7 when page_id % 8 = 3 then 4 else 1 end as page
             from pages)
         select page_id, page::int as page, least(page, 3)::int as clamped from p""",
-    "select_part": """
-        select 'BV' || lpad(conv_id::varchar, 10, '0') as bvid,
-               case when conv_id % 17 = 3 then null when conv_id % 3 = 0 then conv_id * 100 + 50
-                    when conv_id % 5 = 1 then conv_id * 100 + 50 else conv_id * 100 + 2 end as cid,
-               null::varchar as part
-        from conversations where turn = 0""",
+    "select_part": f"""
+        with t as (select conv_id * 8 + turn as v, text from conversations)
+        select {_VIDEO.format('v')} as bvid,
+               case when v % 17 = 3 then null when v % 3 = 0 or v % 5 = 1 then v * 100 + 50 else v * 100 + 2 end as cid,
+               case when v % 17 <> 3 and v % 3 <> 0 and v % 4 <> 1 then '2. ' || text end as part
+        from t""",
     "https_url": "select page_id, 'https:' || regexp_replace(url, '^https?:', '') as url from pages",
     "doc_base_name": f"""
         select page_id, {_safe(f'''(case when page_id % 3 + 1 = 1 then {_TITLE}
@@ -254,14 +259,13 @@ ORACLE = {
             else {_TITLE} || '-P' || (page_id % 4 + 1) || '-' || {_PART} end)''')} as base
         from pages""",
     "safe_file_name": f"""
-        with t as (select doc_id, case doc_id % 10 when 1 then ' ... ' when 2 then substr(text, 1, 30) || '..' else text end as t
+        with t as (select doc_id, case doc_id % 10 when 1 then ' ... ' when 2 then text || '..' else text end as t
                    from documents)
         select doc_id, {_safe('t')} as name from t""",
-    "api_code_ok": """
-        with t as (select 'BV' || lpad(conv_id::varchar, 10, '0') as bvid, conv_id from conversations where turn = 0)
-        select bvid, conv_id % 10 <> 9 and conv_id % 17 <> 3 as ok,
-               case when conv_id % 10 = 9 then 'code=-2147483648, message=' when conv_id % 17 = 3 then 'code=-404, message=not found'
-               end as error
+    "api_code_ok": f"""
+        with t as (select conv_id * 8 + turn as v from conversations)
+        select {_VIDEO.format('v')} as bvid, v % 10 <> 9 and v % 17 <> 3 as ok,
+               case when v % 10 = 9 then 'code=-2147483648, message=' when v % 17 = 3 then 'code=-404, message=not found' end as error
         from t""",
     "caption_clean": f"""
         with l as (select conv_id, turn, unnest(string_split(chr(10) || ' ' || chr(10) || chr(9) || text, chr(10))) as c,
@@ -270,7 +274,7 @@ ORACLE = {
         select conv_id, turn, i::int as line, {trimmed('c')} as content from l where {trimmed('c')} <> ''""",
     "caption_context": f"""
         with {_CONTEXT}
-        select 0 as src, pos, bvid, case when e is null then conv_id + 1 end as aid, case when e is null then c end as cid,
+        select 0 as src, pos, bvid, case when e is null then v + 1 end as aid, case when e is null then c end as cid,
                case when e is null then t end as title, case when e is null then p end as page_index,
                case when e is null then pages::int end as page_count, case when e is null then part end as part_title, e as error
         from context""",

@@ -61,41 +61,49 @@ def video_id(number):
     return F.concat(F.lit("BV"), F.lpad(number.cast("string"), 10, "0"))
 
 
+def turns(spark: SparkSession, folder: str) -> DataFrame:
+    """``(conv_id, turn, v, text)``: every turn of every conversation is a video, number ``v``."""
+    return table(spark, folder, "conversations").select("conv_id", "turn", (F.col("conv_id") * 8 + F.col("turn")).alias("v"), "text")
+
+
 def urls(spark: SparkSession, folder: str) -> DataFrame:
-    """Links to videos from page links: two links per video, some without an id."""
+    """Links to videos: two pages link to all turns of a conversation, some without an id, some to no conversation that is there."""
+    pages = table(spark, folder, "pages").withColumn("conv", F.floor(F.col("page_id") / 2))
+    linked = pages.join(turns(spark, folder).select("conv_id", "turn"), F.col("conv") == F.col("conv_id"), "left")
+    turn = F.coalesce("turn", F.lit(0))
     tail = F.regexp_extract("url", r"[?#].*$", 0)
-    path = F.when(F.col("page_id") % 20 == 7, "watch").otherwise(F.concat(F.lit("video/"), video_id(F.floor(F.col("page_id") / 2))))
-    return table(spark, folder, "pages").select(
-        F.concat(F.lit("https://v.example.com/"), path, tail).alias("url"), F.lit(0).alias("src"), F.col("page_id").alias("pos")
+    path = F.when(F.col("page_id") % 20 == 7, "watch").otherwise(F.concat(F.lit("video/"), video_id(F.col("conv") * 8 + turn)))
+    return linked.select(
+        F.concat(F.lit("https://v.example.com/"), path, tail).alias("url"), F.lit(0).alias("src"), (F.col("page_id") * 8 + turn).alias("pos")
     )
 
 
 def views(spark: SparkSession, folder: str) -> DataFrame:
-    """``(bvid, payload)`` per conversation: failures, absent ids and absent titles among them."""
-    conv = F.col("conv_id")
+    """``(bvid, payload)`` per turn, whole texts as titles and parts: failures, absent ids, absent titles and blank parts among them."""
+    v = F.col("v")
+    second = F.when(v % 4 == 1, F.lit(" ")).otherwise(F.concat(F.lit("2. "), "text"))
     pages = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), 1 + conv % 3),
+        F.sequence(F.lit(1).cast("bigint"), 1 + v % 3),
         lambda i: F.struct(
-            F.when((i == 2) & (conv % 5 == 1), 0).otherwise(conv * 100 + i).alias("cid"),
-            F.when(i == 1, F.lit("Part: one")).when(i == 2, F.lit(" ")).otherwise(F.substring("text", 1, 40)).alias("part"),
+            F.when((i == 2) & (v % 5 == 1), 0).otherwise(v * 100 + i).alias("cid"),
+            F.when(i == 1, F.lit("Part: one")).when(i == 2, second).otherwise(F.col("text")).alias("part"),
         ),
     )
     data = F.struct(
-        F.when(conv % 19 == 5, 0).otherwise(conv + 1).alias("aid"),
-        (conv * 100 + 50).alias("cid"),
-        F.when(conv % 7 != 2, F.substring("text", 1, 40)).alias("title"),
+        F.when(v % 19 == 5, 0).otherwise(v + 1).alias("aid"),
+        (v * 100 + 50).alias("cid"),
+        F.when(v % 7 != 2, F.col("text")).alias("title"),
         pages.alias("pages"),
     )
-    failed = conv % 17 == 3
+    failed = v % 17 == 3
     payload = F.struct(
         F.when(failed, -404).otherwise(0).alias("code"), F.when(failed, "not found").otherwise("OK").alias("message"),
         F.when(~failed, data).alias("data"),
     )
-    first = table(spark, folder, "conversations").where("turn = 0")
-    return first.select(video_id(conv).alias("bvid"), F.to_json(payload).alias("payload"))
+    return turns(spark, folder).select(video_id(v).alias("bvid"), F.to_json(payload).alias("payload"))
 
 
-# Track lists by ``cid % 5``: (lan, lan_doc) in order.
+# Track lists by ``(video + cid) % 5``: (lan, lan_doc) in order.
 TRACKS = (
     (),
     (("en", "English"), ("zh-CN", "中文（中国）")),
@@ -105,12 +113,16 @@ TRACKS = (
 )
 
 
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(v, text, cid)``: one to three parts of every turn."""
+    number = F.explode(F.sequence(F.lit(1).cast("bigint"), 1 + F.col("v") % 3))
+    return turns(spark, folder).select("v", "text", number.alias("i")).withColumn("cid", F.col("v") * 100 + F.col("i"))
+
+
 def tracks(spark: SparkSession, folder: str) -> DataFrame:
-    """``(cid, aid, payload)`` for the first turns of a conversation and for the conversation itself."""
-    talks = table(spark, folder, "conversations")
-    conv = F.col("conv_id")
-    parts = talks.where("turn < 3").select("conv_id", (conv * 100 + F.col("turn") + 1).alias("cid"))
-    whole = talks.where("turn = 0").select("conv_id", (conv * 100 + 50).alias("cid"))
+    """``(cid, aid, payload)`` for the parts of every turn, but for one turn in eleven, and for every turn itself."""
+    parts = _parts(spark, folder).where("v % 11 != 4").select("v", "cid")
+    whole = turns(spark, folder).select("v", (F.col("v") * 100 + 50).alias("cid"))
 
     def entry(lan: str, words: str):
         link = F.concat(F.lit("//s.example.com/" if lan != "en" else "http://s.example.com/"), F.col("cid"), F.lit(f"/{lan}.json"))
@@ -121,22 +133,19 @@ def tracks(spark: SparkSession, folder: str) -> DataFrame:
     choice = F.when(F.lit(False), F.array(entry("", "")))
     for key, entries in enumerate(TRACKS):
         made = F.array(*[entry(*e) for e in entries]) if entries else F.slice(F.array(entry("", "")), 1, 0)
-        choice = choice.when(F.col("cid") % 5 == key, made)
+        choice = choice.when((F.col("v") + F.col("cid")) % 5 == key, made)
     payload = F.struct(F.lit(0).alias("code"), F.struct(F.struct(choice.alias("subtitles")).alias("subtitle")).alias("data"))
-    return parts.unionByName(whole).select("cid", (conv + 1).alias("aid"), F.to_json(payload).alias("payload"))
+    return parts.unionByName(whole).select("cid", (F.col("v") + 1).alias("aid"), F.to_json(payload).alias("payload"))
 
 
 def bodies(spark: SparkSession, folder: str) -> DataFrame:
-    """``(url, payload)``: the lines of each turn as one caption file per language; every seventh is empty."""
-    conv = F.col("conv_id")
+    """``(url, payload)``: the lines of each turn as one caption file per part and language; every seventh is empty."""
     lines = F.transform(F.split("text", "\n"), lambda t: F.named_struct(F.lit("content"), F.concat(F.lit(" \t"), t, F.lit(" "))))
     noise = F.array(F.struct(F.lit("  ").alias("content")), F.struct(F.lit(None).cast("string").alias("content")))
-    kept = F.when(conv % 7 == 6, noise).otherwise(F.concat(noise, lines))
+    kept = F.when(F.col("v") % 7 == 6, noise).otherwise(F.concat(noise, lines))
     langs = F.explode(F.array(*[F.lit(x) for x in ("en", "zh-CN", "ja", "xx")])).alias("lan")
-    talks = table(spark, folder, "conversations").select("conv_id", "turn", kept.alias("body"))
-    talks = talks.select("conv_id", "turn", F.to_json(F.struct("body")).alias("payload"), langs)
-    link = F.concat(F.lit("https://s.example.com/"), conv * 100 + F.col("turn") + 1, F.lit("/"), F.col("lan"), F.lit(".json"))
-    return talks.select(link.alias("url"), "payload")
+    made = _parts(spark, folder).select("cid", kept.alias("body")).select("cid", F.to_json(F.struct("body")).alias("payload"), langs)
+    return made.select(F.concat(F.lit("https://s.example.com/"), "cid", F.lit("/"), "lan", F.lit(".json")).alias("url"), "payload")
 
 
 def job_log(spark: SparkSession, folder: str) -> DataFrame:
