@@ -33,8 +33,8 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 #: MinHash values compared between two looks at the posterior, and the probability below which a pair is dropped.
 BATCH, TOLERANCE = 10, 1e-6
-#: Members of a bucket in one part of it.
-PART = 512
+#: Members of a bucket in one part of it, and parts of a class when its members learn their first document.
+PART, CLASS_PARTS = 512, 64
 
 MULTIPLIERS = wordhash._numbers("minhash", BANDS * ROWS)
 
@@ -291,12 +291,14 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     facts = reps.select("id", "key", "rep", "copies").join(counts, "id", "left").where("copies > 1 or links is not null")
     facts = facts.join(roots, "id", "left").select(
-        "key", "rep", F.coalesce("class_id", "id").alias("root"),
+        "key", "rep", F.coalesce("class_id", "id").alias("root"), F.pmod("id", F.lit(CLASS_PARTS)).alias("part"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_linked_texts"),
     )
     facts = materialise(facts, "facts")
-    firsts = facts.groupBy("root").agg(F.min("rep").alias("first"))
-    return light, materialise(facts.join(firsts, "root").select("key", "first", "n_links", "n_linked_texts"), "classes")
+    # By parts, so that a large class does not meet in one task.
+    parts = materialise(facts.groupBy("root", "part").agg(F.min("rep").alias("rep")), "class-parts")
+    firsts = parts.select("root", "part").join(parts.groupBy("root").agg(F.min("rep").alias("first")), "root")
+    return light, materialise(facts.join(firsts, ["root", "part"]).select("key", "first", "n_links", "n_linked_texts"), "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
