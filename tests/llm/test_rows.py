@@ -1,4 +1,4 @@
-"""Repeated ids with different texts, columns named as the helpers are, urls with odd line ends, a ledger with a pair twice, and the pipeline's first stages in plain Python."""
+"""Repeated ids with different texts, columns named as the helpers are, urls with odd line ends, a ledger with a pair twice."""
 
 import re
 from collections import defaultdict
