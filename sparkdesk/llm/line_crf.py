@@ -2,8 +2,9 @@
 
 Every line is labelled good or bad from its own features and those of the lines before and after it; the
 chain's transitions tie neighbouring labels together. A document's score is the mean of its lines' marginal
-probabilities of good, weighted by their lengths. The model is fitted here on a bounded sample of labelled documents, each of
-whose lines carries the document's label.
+probabilities of good, weighted by their lengths. The model is fitted here on a bounded sample of labelled documents. Only whole
+documents are labelled, so within one no label is seen to change; the sample is therefore fitted on twice, document by document and with
+documents of unlike labels one after the other, where the line at which the label changes is known.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from sparkdesk.llm.common import free, ship, text_of
 from sparkdesk.llm.wordhash import slices
 
-#: The sample: so many documents at most, and so many lines of each, spread evenly over it.
+#: The sample: so many documents at most, and so many neighbouring lines of each, from its middle.
 SAMPLE, LINES = 3000, 64
 ROUNDS, RATE, DECAY = 250, 0.08, 0.002
 THRESHOLD = 0.7
@@ -92,8 +93,27 @@ class Model:
         return float((good * weights).sum() / weights.sum())
 
 
+def glued(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Features of two documents as one, in which the lines at the seam are neighbours."""
+    own, seam = (first.shape[1] - 1) // 3, len(first)
+    rows = np.vstack([first, second])
+    rows[seam - 1, 2 * own : 3 * own] = second[0, :own]
+    rows[seam, own : 2 * own] = first[-1, :own]
+    return rows
+
+
+def chains(documents: list[tuple[np.ndarray, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and line labels of each document, and of each good document glued to a bad one, either of them first in turn."""
+    made = [(x, np.full(len(x), float(y))) for x, y in documents]
+    good, bad = [c for c in made if c[1][0]], [c for c in made if not c[1][0]]
+    for i, pair in enumerate(zip(good, bad)):
+        a, b = pair if i % 2 else pair[::-1]
+        made.append((glued(a[0], b[0]), np.concatenate([a[1], b[1]])))
+    return made
+
+
 def fit(documents: list[tuple[np.ndarray, int]], rounds: int = ROUNDS) -> Model:
-    """Conditional maximum likelihood by gradient ascent; chains of equal length run together."""
+    """Conditional maximum likelihood of the ``chains`` of (features, label) by gradient ascent; chains of like length run together."""
     if not documents:
         width = 3 * 15 + 1
         return Model(np.zeros(width), np.zeros((2, 2)), np.zeros(width), np.ones(width))
@@ -102,23 +122,23 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = ROUNDS) -> Model:
     mean, scale = every.mean(axis=0), every.std(axis=0)
     mean[-1], scale[-1] = 0.0, 1.0
     scale[scale < 1e-6] = 1.0
-    documents = sorted(documents, key=lambda d: len(d[0]))
+    every = sorted(chains(documents), key=lambda c: len(c[0]))
     groups = []
-    for start in range(0, len(documents), 256):
-        part = documents[start : start + 256]
+    for start in range(0, len(every), 256):
+        part = every[start : start + 256]
         longest = len(part[-1][0])
-        x, mask = np.zeros((len(part), longest, width)), np.zeros((len(part), longest))
-        for i, (rows, _) in enumerate(part):
-            x[i, : len(rows)], mask[i, : len(rows)] = (rows - mean) / scale, 1
-        groups.append((x, mask, np.array([y for _, y in part], dtype=float)))
+        x, mask, y = np.zeros((len(part), longest, width)), np.zeros((len(part), longest)), np.zeros((len(part), longest))
+        for i, (rows, labels) in enumerate(part):
+            x[i, : len(rows)], mask[i, : len(rows)], y[i, : len(rows)] = (rows - mean) / scale, 1, labels
+        groups.append((x, mask, y))
     model = Model(np.zeros(width), np.zeros((2, 2)), mean, scale)
     first, second = [np.zeros(width), np.zeros((2, 2))], [np.zeros(width), np.zeros((2, 2))]
     for turn in range(1, rounds + 1):
         slope = [-DECAY * model.weights, -DECAY * model.moves]
         for x, mask, y in groups:
             w, m = _slope(model, x, mask, y)
-            slope[0] += w / len(documents)
-            slope[1] += m / len(documents)
+            slope[0] += w / len(every)
+            slope[1] += m / len(every)
         for k, value in enumerate((model.weights, model.moves)):
             first[k] = 0.9 * first[k] + 0.1 * slope[k]
             second[k] = 0.99 * second[k] + 0.01 * slope[k] ** 2
@@ -127,7 +147,7 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = ROUNDS) -> Model:
 
 
 def _slope(model: Model, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Observed minus expected counts of features and moves, each document weighted by one over its lines."""
+    """Observed minus expected counts of features and moves under the line labels ``y``, each chain weighted by one over its lines."""
     docs, longest, _ = x.shape
     own = np.zeros((docs, longest, 2))
     own[:, :, 1] = np.clip(x @ model.weights, -30, 30)
@@ -144,12 +164,12 @@ def _slope(model: Model, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tupl
     whole = together(ahead[:, -1])
     share = mask / mask.sum(axis=1, keepdims=True)
     good = np.exp(ahead[:, :, 1] + behind[:, :, 1] - whole[:, None])
-    weights = (((y[:, None] - good) * share)[:, :, None] * x).sum(axis=(0, 1))
+    weights = (((y - good) * share)[:, :, None] * x).sum(axis=(0, 1))
     pairs = ahead[:, :-1, :, None] + moves + (own[:, 1:] + behind[:, 1:])[:, :, None, :] - whole[:, None, None, None]
     linked = (mask[:, 1:] * share[:, 1:])[:, :, None, None]
     expected = (np.exp(pairs) * linked).sum(axis=(0, 1))
-    same = linked.sum(axis=(1, 2, 3))
-    seen = np.array([[(same * (1 - y)).sum(), 0.0], [0.0, (same * y).sum()]])
+    labels = np.stack([1 - y, y], axis=2)
+    seen = (labels[:, :-1, :, None] * labels[:, 1:, None, :] * linked).sum(axis=(0, 1))
     return weights, seen - expected
 
 
@@ -175,8 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             made = []
             for text in texts:
                 features, _ = document_features(text)
-                keep = np.unique(np.linspace(0, len(features) - 1, min(LINES, len(features))).astype(int))
-                made.append(features[keep].astype(np.float32).tobytes())
+                first = max(0, len(features) - LINES) // 2
+                made.append(features[first : first + LINES].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(made, pa.binary())], names=["doc_id", "quality", "features"])
 
     texts = docs.select("doc_id", text_of().alias("_text")).join(F.broadcast(chosen), "doc_id")
