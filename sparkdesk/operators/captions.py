@@ -7,13 +7,15 @@ Landed tables, each with one row per key: ``views(bvid, payload)``, ``tracks(cid
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.jsons import json_text_or
 from sparkdesk.functions.links import VIDEO_ID, doc_base_name, extract_video_id, https_url, url_page_index
 from sparkdesk.functions.strings import is_blank, trim_ctl
 from sparkdesk.operators.keyed import first_per_key
+from sparkdesk.session import materialise
 
 # Fixed values.
 MISSING_CODE = -(1 << 31)
@@ -25,6 +27,7 @@ TRACK_SCHEMA = "data struct<subtitle:struct<subtitles:array<variant>>>"
 BODY_SCHEMA = "body array<variant>"
 
 PIECE_BITS = 12
+DOC_BUCKETS = 64
 
 
 def api_code(payload: Column) -> Column:
@@ -204,13 +207,13 @@ def _joined(order: str, value: str) -> Column:
     return F.array_join(F.transform(entries, lambda e: e["v"]), "\n", "")
 
 
-def caption_pieces(lines: DataFrame, item: str, pos: str, text: str) -> DataFrame:
-    """``(item, piece, line_count, text)``: the lines of each 4,096 positions, in order, joined with newlines.
+def caption_pieces(lines: DataFrame, item: str, pos: str, text: str, bits: int | None = None) -> DataFrame:
+    """``(item, piece, line_count, text)``: the lines of each 4,096 (2 ** ``bits``) positions, in order, joined with newlines.
 
     However long a document is, a piece is short; use this where a whole one may not fit in a row.
     ``pos`` is a whole number and unique in its item.
     """
-    piece = F.shiftright(F.col(pos).cast("bigint"), PIECE_BITS).alias("piece")
+    piece = F.shiftright(F.col(pos).cast("bigint"), PIECE_BITS if bits is None else bits).alias("piece")
     return lines.groupBy(item, piece).agg(F.count("*").alias("line_count"), _joined(pos, text).alias("text"))
 
 
@@ -230,7 +233,7 @@ def item_outcomes(items: DataFrame, error: str = "error") -> DataFrame:
 
 
 def write_text_docs(docs: DataFrame, path: str, name: str = "name", text: str = "doc", mode: str = "errorifexists") -> None:
-    """One folder per document name with the text inside, closed by a newline.
+    """One folder per document name with the text inside, closed by a newline; ``write_doc_pieces`` is for many documents.
 
     Give one row per document; the rows stay in the tasks they are in.
     """
@@ -247,3 +250,38 @@ def write_text_lines(
     """
     placed = lines.repartitionByRange(F.col(name), F.col(pos)).sortWithinPartitions(name, pos)
     placed.select(name, text).write.mode(mode).partitionBy(name).option("lineSep", "\n").text(path)
+
+
+def doc_bucket(name: Column, buckets: int = DOC_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
+
+
+def write_doc_pieces(
+    lines: DataFrame, path: str, name: str, pos: str, text: str, bits: int | None = None, buckets: int = DOC_BUCKETS, mode: str = "errorifexists"
+) -> None:
+    """All documents in a fixed number of folders: ``name, piece, line_count, byte_start, byte_count, text`` by ``bucket``.
+
+    One row per line goes in; every line is closed by a newline, a null one is empty, and lines without a name are of no document.
+    The pieces of a document one after another are its text, and ``byte_start`` is where a piece stands in it in UTF-8, so any
+    byte range of a document of any length is read without the rest. No row or task holds a whole document: only the sizes of
+    its pieces meet, for the prefix sum.
+    """
+    pieces = caption_pieces(lines.where(F.col(name).isNotNull()), name, pos, text, bits)
+    closed = F.concat("text", F.lit("\n"))
+    pieces = pieces.select(
+        F.col(name).alias("name"), "piece", "line_count", F.octet_length(closed).cast("bigint").alias("byte_count"), closed.alias("text")
+    )
+    pieces = materialise(pieces, "doc-pieces")
+    before = W.partitionBy("name").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    starts = pieces.select("name", "piece", F.coalesce(F.sum("byte_count").over(before), F.lit(0)).alias("byte_start"))
+    placed = pieces.join(starts, ["name", "piece"]).withColumn("bucket", doc_bucket(F.col("name"), buckets))
+    placed = placed.repartitionByRange("bucket", "name", "piece").sortWithinPartitions("bucket", "name", "piece")
+    placed.select("name", "piece", "line_count", "byte_start", "byte_count", "text", "bucket").write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def read_doc_pieces(spark: SparkSession, path: str, name: str | None = None, buckets: int = DOC_BUCKETS) -> DataFrame:
+    """The pieces written by ``write_doc_pieces``, of all documents or of one, for which only its folder is opened."""
+    pieces = spark.read.parquet(path)
+    if name is not None:
+        pieces = pieces.where((F.col("bucket") == doc_bucket(F.lit(name), buckets)) & (F.col("name") == name))
+    return pieces.drop("bucket")

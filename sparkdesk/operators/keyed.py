@@ -6,8 +6,9 @@ groups of bounded size. Lookups are plain joins, whose frequent keys adaptive ex
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from sparkdesk.session import materialise
 
 BUCKET_BITS = 16
 NUMBERED = r"(?s)^(.+)_([1-9][0-9]{0,17})$"
+SUFFIXES = r"(?s)^.+?((?:_[1-9][0-9]{0,17})*)$"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -94,7 +96,7 @@ def unique_names(
     The result equals the one-by-one process; ``pos`` is a unique whole number. A row
     without a base gets no name.
 
-    Only bases and positions, written once, go through the ranking; the rows
+    The rounds are bounded by how many numbers a base ends in (``x_2_3`` has two), not by the rows. Only bases and positions, written once, go through the ranking; the rows
     themselves are joined to their names by position.
     """
     rows = df.where(column(base).isNotNull()).select(column(base).alias("_base"), column(pos).alias("_pos"))
@@ -110,7 +112,7 @@ def unique_names(
     fixed = None
     if taken is not None:
         fixed, edges = _taken_names(firsts, edges, taken, suffix)
-    blocks = _settle(items, edges, fixed)
+    blocks = _settle(rows, edges, fixed)
     if blocks is None:
         number = F.col("_rank")
     else:
@@ -136,52 +138,64 @@ def _taken_names(firsts: DataFrame, edges: DataFrame, taken: DataFrame, suffix:
     return materialise(fixed, "names-taken"), open_edges
 
 
-def _settle(items: DataFrame, edges: DataFrame, fixed: DataFrame | None) -> DataFrame | None:
+def suffix_depth(base: Column) -> Column:
+    """How many numbers a base ends in: none for ``x``, two for ``x_2_3``."""
+    return F.length(F.regexp_replace(F.regexp_extract(base, SUFFIXES, 1), "[0-9]", ""))
+
+
+def _settle(rows: DataFrame, edges: DataFrame, fixed: DataFrame | None) -> DataFrame | None:
     """Which numbers of which base are blocked: ``(_base, _k, _skipped)``, or None for no block at all.
 
-    An edge says that the plain name of base B is number k of base A. Whoever
-    comes first gets it. Who that is depends on smaller numbers of A only, so
-    settling all edges at once and repeating until nothing changes ends at the
-    one-by-one result.
+    An edge says that the plain name of base B is number k of base A; whoever comes first gets it. Row r of A takes number k
+    when r is k less the smaller blocked numbers of A, and it is there before B when at least r rows of A are. So an edge is
+    settled by its k, by how many rows of A lie before B's first, and by the smaller numbers of A, among them number 1, which
+    A has lost where the number that is its own name went to its parent. A parent ends in one number less, so bases are settled by that depth.
     """
-    edges = materialise(edges.withColumn("_own", F.lit(True)), "name-edges")
-    if edges.isEmpty():
-        if fixed is None or fixed.isEmpty():
-            return None
-        return _blocks(edges, fixed)
-    parents = edges.select(F.col("_parent").alias("_base")).distinct()
-    reached = materialise(
-        items.join(parents, "_base", "left_semi").select(F.col("_base").alias("_parent"), "_rank", "_pos"), "name-ranks"
-    )
-    while True:
-        wanted = _blocks(edges, fixed, keep_open=True).where("_edge is not null").select(
-            F.col("_edge").alias("_base"), (F.col("_k") - F.col("_skipped")).alias("_rank")
-        )
-        seen = edges.join(wanted, "_base").join(reached, ["_parent", "_rank"], "left")
-        own = F.col("_pos").isNull() | (F.col("_pos") > F.col("_first"))
-        settled = materialise(
-            seen.select("_parent", "_base", "_first", "_k", own.alias("_own"), (own != F.col("_own")).alias("_changed")),
-            "name-edges",
-        )
-        edges = settled.drop("_changed")
-        if settled.where("_changed").isEmpty():
-            return _blocks(edges, fixed)
-
-
-def _blocks(edges: DataFrame, fixed: DataFrame | None, keep_open: bool = False) -> DataFrame:
-    """Blocked numbers per base with the count of smaller blocked numbers of that base."""
-    none = F.lit(None).cast("string")
-    rows = edges.select(
-        F.col("_parent").alias("_base"), "_k", F.col("_own").alias("_on"), F.col("_base").alias("_edge")
-    ).unionByName(
-        edges.select("_base", F.lit(1).cast("bigint").alias("_k"), (~F.col("_own")).alias("_on"), none.alias("_edge"))
-    )
+    edges = materialise(edges, "name-edges")
+    if edges.isEmpty() and (fixed is None or fixed.isEmpty()):
+        return None
+    marks = edges.select(F.col("_parent").alias("_base"), F.col("_first").alias("_pos"), F.col("_base").alias("_child"), "_k")
+    within = rows.join(marks.select("_base").distinct(), "_base", "left_semi").unionByName(marks, allowMissingColumns=True)
+    counted = running_count(within, ["_base"], high_bits(F.col("_pos")), [F.col("_pos")], F.col("_k").isNull(), "_earlier")
+    claims = counted.where("_k is not null").select("_base", "_k", "_child", "_earlier")
     if fixed is not None:
-        rows = rows.unionByName(fixed.select("_base", "_k", F.lit(True).alias("_on"), none.alias("_edge")))
-    flag = F.col("_on").cast("int")
-    counted = running_count(rows, ["_base"], high_bits(F.col("_k")), [F.col("_k"), F.col("_edge")], flag, "_upto")
-    counted = counted.withColumn("_skipped", F.col("_upto") - flag)
-    return counted if keep_open else counted.where("_on")
+        claims = claims.unionByName(fixed.select("_base", "_k"), allowMissingColumns=True)
+    claims = materialise(claims.withColumn("_depth", suffix_depth(F.col("_base"))), "name-claims")
+    depths = {r["_depth"] for r in claims.select("_depth").distinct().collect()}
+    blocks, lost = None, None
+    for depth in sorted(depths | {d + 1 for d in depths}):
+        here = claims.where(F.col("_depth") == depth).drop("_depth")
+        if lost is not None:
+            here = here.unionByName(lost, allowMissingColumns=True)
+        settled = materialise(_fold(here), "names-settled")
+        lost = settled.where("_child is not null and not _on").select(F.col("_child").alias("_base"), F.lit(1).cast("bigint").alias("_k"))
+        on = settled.where("_on").select("_base", "_k", "_skipped")
+        blocks = on if blocks is None else blocks.unionByName(on)
+    return blocks
+
+
+def _fold(claims: DataFrame) -> DataFrame:
+    """``(_base, _k, _child, _on, _skipped)``: the claims of each base settled by rising number, each with the blocked numbers below it.
+
+    The one rule here that goes step by step: whether a number is blocked depends on how many smaller ones are. Sorted claims stream
+    through their task, which holds a base and a count; a base with very many claims is a long stream, never a group in memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, blocked = None, 0
+        for batch in batches:
+            on, skipped = [], []
+            for base, k, earlier in zip(*(batch.column(c).to_pylist() for c in ("_base", "_k", "_earlier"))):
+                if base != current:
+                    current, blocked = base, 0
+                on.append(earlier is None or earlier < k - blocked)
+                skipped.append(blocked)
+                blocked += on[-1]
+            columns = [batch.column(c) for c in ("_base", "_k", "_child")] + [pa.array(on, pa.bool_()), pa.array(skipped, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_base", "_k", "_child", "_on", "_skipped"])
+
+    rows = claims.select("_base", "_k", "_child", "_earlier").repartition("_base").sortWithinPartitions("_base", "_k")
+    return rows.mapInArrow(run, "_base string, _k bigint, _child string, _on boolean, _skipped bigint")
 
 
 def _shift(items: DataFrame, blocks: DataFrame) -> DataFrame:

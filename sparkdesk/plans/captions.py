@@ -138,6 +138,16 @@ def names(spark: SparkSession, d: str) -> DataFrame:
     return unique_names(table(spark, d, "documents").select("doc_id", base), "base", "doc_id")
 
 
+def names_taken(spark: SparkSession, d: str) -> DataFrame:
+    """As ``names`` where every text of odd length has a numbered title, and some names are those of files that are there."""
+    docs = table(spark, d, "documents").withColumn("_n", F.length(F.coalesce("text", F.lit(""))))
+    plain = F.concat_ws("_", "source", "lang")
+    title = F.when(F.col("_n") % 2 == 1, F.concat(plain, F.lit("_"), (2 + F.col("_n") % 9).cast("string"))).otherwise(plain)
+    files = docs.select(plain.alias("name"), "lang").distinct()
+    files = files.select(F.concat("name", F.when(F.col("lang") == "de", ".md").otherwise("_3.md")).alias("name"))
+    return unique_names(docs.select("doc_id", title.alias("base")), "base", "doc_id", taken=files)
+
+
 def union(spark: SparkSession, d: str) -> DataFrame:
     """Page links twice: without their query part, then as they are."""
     pages = table(spark, d, "pages")
@@ -147,14 +157,13 @@ def union(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_docs(spark: SparkSession, d: str) -> DataFrame:
-    """The finished caption documents, written under their names and read back."""
+    """The finished caption documents, written under their names in pieces of two lines and read back."""
     path = scratch_path(spark, "captions")
     done = C.caption_names(_items(spark, d)).where("error is null")
-    docs = materialise(done.select("pos", "base_name", F.array_join("lines", "\n").alias("doc")), "captions-done")
-    C.write_text_docs(unique_names(docs, "base_name", "pos"), path)
-    files = spark.read.text(path, wholetext=True)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "/name=([^/]*)/", 1)
-    return files.select(F.url_decode(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))).alias("name"), F.col("value").alias("doc"))
+    done = materialise(done.select("pos", "base_name", "lines"), "captions-done")
+    lines = unique_names(done, "base_name", "pos").select("name", F.posexplode_outer("lines").alias("line", "content"))
+    C.write_doc_pieces(lines.withColumn("line", F.coalesce("line", F.lit(0))), path, "name", "line", "content", bits=1)
+    return C.read_doc_pieces(spark, path)
 
 
 QUERIES = {
@@ -173,6 +182,7 @@ QUERIES = {
     "item_outcomes": outcomes,
     "pick_track": pick,
     "unique_names": names,
+    "unique_names_taken": names_taken,
     "ordered_union": union,
     "write_text_docs": text_docs,
 }
@@ -299,6 +309,31 @@ ORACLE = {
         with n as (select doc_id, source || '_' || lang as base,
                           row_number() over (partition by source || '_' || lang order by doc_id) as k from documents)
         select doc_id, base, base || case when k = 1 then '' else '_' || k end || '.md' as name from n""",
+    "unique_names_taken": """
+        with recursive d as (
+            select doc_id, concat_ws('_', source, lang) as plain, lang, length(coalesce(text, '')) as n from documents),
+        t as (select doc_id, plain, case when n % 2 = 1 then 2 + n % 9 end as k,
+                     plain || case when n % 2 = 1 then '_' || (2 + n % 9) else '' end as base from d),
+        taken as (select distinct plain, case when lang = 'de' then 1 else 3 end as k from d),
+        firsts as (select plain, base, k, min(doc_id) as first from t where k is not null group by all),
+        claims as (
+            select f.plain, f.k, f.base, (select count(*) from t where t.base = f.plain and t.doc_id < f.first) as earlier from firsts f
+            where not exists (from taken x where x.plain = f.plain and x.k = f.k) and f.plain in (select base from t)
+            union all select plain, k, null, -1 from taken),
+        steps as (select *, row_number() over (partition by plain order by k) as i from claims),
+        fold as (
+            select plain, 0::bigint as i, 0::bigint as k, null::varchar as base, false as won, 0::bigint as below, 0::bigint as upto from (select distinct plain from steps)
+            union all
+            select s.plain, s.i, s.k, s.base, (s.earlier < 0 or s.earlier < s.k - f.upto), f.upto,
+                   f.upto + (s.earlier < 0 or s.earlier < s.k - f.upto)::bigint
+            from fold f join steps s on s.plain = f.plain and s.i = f.i + 1),
+        blocks as (
+            select plain as base, k - below as at from fold where won
+            union all select base, 1 from fold where base is not null and not won
+            union all select plain || '_' || k, 1 from taken where k > 1),
+        r as (select doc_id, base, row_number() over (partition by base order by doc_id) as r from t),
+        n as (select doc_id, base, r + (select count(*) from blocks b where b.base = r.base and b.at <= r.r) as k from r)
+        select doc_id, base, base || case when k = 1 then '' else '_' || k end || '.md' as name from n""",
     "ordered_union": """
         with u as (select regexp_replace(url, '[?#].*$', '') as url, 0 as src, page_id as pos from pages
                    union all select url, 1, page_id from pages)
@@ -308,7 +343,13 @@ ORACLE = {
         b as (select pos, {_safe('''(case when pages = 1 then t when part is null or trim(part) = '' or part = t
                 then t || '-P' || p else t || '-P' || p || '-' || part end)''')} as base, body_lines
               from items where error is null),
-        n as (select *, row_number() over (partition by base order by pos) as k from b)
-        select base || case when k = 1 then '' else '_' || k end || '.md' as name, array_to_string(body_lines, chr(10)) || chr(10) as doc
-        from n""",
+        n as (select base || case when k = 1 then '' else '_' || k end || '.md' as name, body_lines
+              from (select *, row_number() over (partition by base order by pos) as k from b)),
+        l as (select name, unnest(body_lines) as content, unnest(range(len(body_lines))) as line from n where len(body_lines) > 0
+              union all select name, '', 0 from n where len(body_lines) = 0),
+        p as (select name, line // 2 as piece, count(*) as line_count,
+                     string_agg(coalesce(content, '') || chr(10), '' order by line) as text from l group by 1, 2)
+        select name, piece, line_count, text, strlen(text) as byte_count,
+               coalesce(sum(strlen(text)) over (partition by name order by piece rows between unbounded preceding and 1 preceding), 0)::bigint as byte_start
+        from p""",
 }

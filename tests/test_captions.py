@@ -110,3 +110,34 @@ def test_text_files(spark, tmp_path):
     C.write_text_lines(lines.repartition(5), str(tmp_path / "many"), "name", "id", "t")
     text = "".join(open(f).read() for f in sorted(glob.glob(f"{tmp_path}/many/name=hot/part-*")))
     assert text == "".join(f"{i}\n" for i in range(1000) if i % 3)
+
+
+def test_documents_in_buckets(spark, tmp_path):
+    """A long document, many short ones, empty lines, and lines without a name; folders do not grow with the documents."""
+    rows = [("long é", i, f"line é {i}" if i % 7 else None) for i in range(500)]
+    rows += [(f"d{i}", 0, "x" * i) for i in range(300)] + [(None, 0, "lost")]
+    df = spark.createDataFrame(random.Random(3).sample(rows, len(rows)), "k string, n int, t string")
+    path = str(tmp_path / "docs")
+    C.write_doc_pieces(df, path, "k", "n", "t", bits=3, buckets=8)
+    assert len(glob.glob(f"{path}/bucket=*")) == 8
+    pieces = sorted(map(tuple, C.read_doc_pieces(spark, path).select("name", "piece", "byte_start", "byte_count", "line_count", "text").collect()))
+    docs, sizes = {}, {}
+    for name, _, start, count, lines, text in pieces:
+        assert start == len(docs.get(name, "").encode()) and count == len(text.encode()) and 1 <= lines <= 8
+        docs[name] = docs.get(name, "") + text
+        sizes[name] = sizes.get(name, 0) + lines
+    want = {}
+    for name, _, text in sorted((r for r in rows if r[0]), key=lambda r: r[:2]):
+        want[name] = want.get(name, "") + (text or "") + "\n"
+    assert docs == want and sizes["long é"] == 500
+    one = C.read_doc_pieces(spark, path, "long é", buckets=8)
+    assert one.count() == 63
+    assert {f.split("/bucket=")[1].split("/")[0] for f in one.inputFiles()} >= {str(r[0]) for r in spark.createDataFrame([("long é",)], "n string").select(C.doc_bucket(F.col("n"), 8)).collect()}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_no_documents(spark, tmp_path):
+    df = spark.createDataFrame([], "k string, n int, t string")
+    C.write_doc_pieces(df, str(tmp_path / "none"), "k", "n", "t")
+    assert not glob.glob(f"{tmp_path}/none/bucket=*")

@@ -35,6 +35,26 @@ def test_unique_names(spark, monkeypatch, seed):
     assert [got[i * 3 - 20] for i in range(len(titles))] == one_by_one(titles, taken)
 
 
+@pytest.mark.parametrize("order", ["rising", "falling", "mixed"])
+def test_rounds_are_bounded_by_depth(spark, monkeypatch, order):
+    """Each of 60 numbered titles hangs on the one before it, yet two depths are settled in three rounds at most."""
+    rounds, write = [], K.materialise
+    monkeypatch.setattr(K, "materialise", lambda df, name: rounds.append(name) or write(df, name))
+    titles = [f"x_{k}" for k in range(2, 62)] + ["x_2_2", "x_9_2", "x_9_3"]
+    titles = {"rising": titles, "falling": titles[::-1], "mixed": random.Random(4).sample(titles, len(titles))}[order]
+    titles = [t for pair in zip(["x"] * len(titles), titles) for t in pair] + ["x_9", "x_9"]
+    df = spark.createDataFrame(list(enumerate(titles)), "pos bigint, base string")
+    got = {r["pos"]: r["name"] for r in K.unique_names(df, "base", "pos").collect()}
+    assert [got[i] for i in range(len(titles))] == one_by_one(titles)
+    assert rounds.count("names-settled") <= 3
+
+
+def test_suffix_depth(spark):
+    want = {"x": 0, "x_2": 1, "x_2_3": 2, "_2": 0, "__2": 1, "x_02": 0, "x_02_2": 1, "x_2\n_3": 1, "a_b_7": 1}
+    df = spark.createDataFrame([(b,) for b in want], "b string")
+    assert {r["b"]: r["d"] for r in df.select("b", K.suffix_depth(F.col("b")).alias("d")).collect()} == want
+
+
 def test_unique_names_without_a_base(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "pos bigint, base string")
     assert {r["pos"]: r["name"] for r in K.unique_names(df, "base", "pos").collect()} == {1: None, 2: "a.md"}
