@@ -66,10 +66,10 @@ def validate(requests: DataFrame) -> DataFrame:
     return told.withColumn("message", F.array_join("violations", "; "))
 
 
-def table_violations(columns: Sequence[str], numbered: bool = False) -> Column:
+def table_violations(columns: Sequence[str], numbered: bool = False, number: Column | None = None) -> Column:
     """Messages on what the order table itself refuses of a normalised row, one for each of its columns that does not fit.
 
-    With ``numbered``, a row that gets no order number is refused, too.
+    With ``numbered``, a row that gets no order number is refused, too; ``number`` is that number where it is made already.
     """
     checks = [
         F.when(F.length(name) > LENGTH_LIMITS[name], TABLE_LENGTH_MESSAGE.format(field, LENGTH_LIMITS[name]))
@@ -78,16 +78,17 @@ def table_violations(columns: Sequence[str], numbered: bool = False) -> Column:
     ]
     checks.append(F.when(F.col("unit_price").isNull() | (F.col("unit_price") <= 0), TABLE_PRICE_MESSAGE))
     if numbered:
-        number = order_number(F.col("requested_at"), F.col("request_id"))
+        number = order_number(F.col("requested_at"), F.col("request_id")) if number is None else number
         checks.append(F.when(~F.coalesce(F.length(number) <= LENGTH_LIMITS["order_no"], F.lit(False)), TABLE_NUMBER_MESSAGE))
     return F.array_compact(F.array(*checks))
 
 
-def checked(requests: DataFrame, numbered: bool = False) -> DataFrame:
-    """Normalised requests, ``asked``, the struct of what they were, and ``violations``: those of the request rules or, where a
-    request keeps these, of the order table."""
-    stored = normalise(requests.select("*", violations(requests).alias("violations"), F.struct(*requests.columns).alias("asked")))
-    refused = F.when(F.size("violations") == 0, table_violations(stored.columns, numbered)).otherwise(F.col("violations"))
+def checked(requests: DataFrame, numbered: bool = False, number: Column | None = None, beside: Sequence[str] = ()) -> DataFrame:
+    """Normalised requests, ``asked``, the struct of what they were but for the columns ``beside``, and ``violations``: those of the
+    request rules or, where a request keeps these, of the order table."""
+    asked = F.struct(*[c for c in requests.columns if c not in beside])
+    stored = normalise(requests.select("*", violations(requests).alias("violations"), asked.alias("asked")))
+    refused = F.when(F.size("violations") == 0, table_violations(stored.columns, numbered, number)).otherwise(F.col("violations"))
     return stored.withColumn("violations", refused)
 
 
@@ -150,13 +151,14 @@ def price(requests: DataFrame) -> DataFrame:
     return price_normalised(normalise(requests))
 
 
-def price_normalised(requests: DataFrame, *carried: str) -> DataFrame:
-    """As ``price``, of requests that are normalised; ``carried`` columns stay, too."""
+def price_normalised(requests: DataFrame, *carried: str, number: Column | None = None) -> DataFrame:
+    """As ``price``, of requests that are normalised; ``carried`` columns stay, too. ``number`` is the order number where it is made already."""
+    number = order_number(F.col("requested_at"), F.col("request_id")) if number is None else number
     amount = goods_amount(F.col("unit_price"), F.col("quantity"))
     priced = requests.withColumn("_amount", amount)
     return priced.select(
         "request_id",
-        order_number(F.col("requested_at"), F.col("request_id")).alias("order_no"),
+        number.alias("order_no"),
         "customer_name",
         "customer_tier",
         "sku_code",

@@ -9,13 +9,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkdesk.operators.keyed import insert_if_absent
-from sparkdesk.operators.orders import append_orders, checked, price, price_normalised, split_valid, stored_orders, table_checks
-from sparkdesk.session import materialise
+from sparkdesk.operators.orders import append_orders, checked, order_number, price, price_normalised, split_valid, stored_orders, table_checks
 
 # The number ties an order to its day, so keys can only meet within one day's folder.
 ORDER_KEYS = ["order_no", "request_id"]
 STORED, REJECTED, CONFLICT = "stored", "rejected", "conflict"
 DECIDED = "batch_id bigint"
+# Begins what stands for the number of a request that gets none; numbers begin otherwise.
+NO_NUMBER = "none "
 
 
 def _of_days(orders: DataFrame, days: tuple) -> DataFrame:
@@ -24,34 +25,39 @@ def _of_days(orders: DataFrame, days: tuple) -> DataFrame:
 
 
 def classified(requests: DataFrame) -> DataFrame:
-    """Every request as its order, with ``request``, what was asked, ``message``, null for a good one, and ``rank`` among those of its key.
+    """Every request as its order, with ``request``, what was asked, ``message``, null for a good one, and ``rank`` among the good ones of its key.
 
-    One pass over the requests. A rejected one has a null order but for its request id, and never meets others of no key.
+    One pass over the requests, which are dealt out by ``_number``, their order number, and request id as they came: a batch of few large files
+    would else be classified in as many tasks. A rejected one has a null order but for its request id; where it has no number, a hash
+    of it takes its place, so that such requests never meet.
     """
-    told = checked(requests, numbered=True)
+    none = F.concat(F.lit(NO_NUMBER), F.xxhash64(F.struct(*requests.columns)))
+    dealt = requests.withColumn("_number", F.coalesce(order_number(F.col("requested_at"), F.col("request_id")), none)).repartition("_number", "request_id")
+    number = F.when(~F.startswith(F.col("_number"), F.lit(NO_NUMBER)), F.col("_number"))
+    told = checked(dealt, numbered=True, number=number, beside=["_number"])
     message = F.when(F.size("violations") > 0, F.array_join("violations", "; "))
-    orders = price_normalised(told.select("*", F.col("asked").alias("request"), message.alias("message")), "request", "message")
+    orders = price_normalised(told.select("*", F.col("asked").alias("request"), message.alias("message")), "request", "message", "_number", number=number)
     good = F.col("message").isNull()
-    names = [c for c in orders.columns if c not in ("request_id", "request", "message")]
-    orders = orders.select("request_id", *[F.when(good, F.col(c)).alias(c) for c in names], "request", "message")
+    names = [c for c in orders.columns if c not in ("request_id", "request", "message", "_number")]
+    orders = orders.select("request_id", *[F.when(good, F.col(c)).alias(c) for c in names], "request", "message", "_number")
     # Rows of one key and time in a fixed order, so that a batch that is run again chooses the same.
     own = F.xxhash64(*names)
-    key = F.when(good, F.col("order_no")).otherwise(F.xxhash64("request", "message").cast("string"))
-    rank = F.row_number().over(W.partitionBy(key, "request_id").orderBy("created_at", own))
+    rank = F.row_number().over(W.partitionBy("_number", "request_id", good).orderBy("created_at", own))
     return orders.withColumn("rank", rank)
 
 
 def decide(requests: DataFrame, path: str) -> DataFrame:
-    """``classified`` requests with their ``outcome`` against the order table at ``path``: stored, rejected or conflict."""
-    spark = requests.sparkSession
-    staged = materialise(classified(requests), "order-batch")
-    days = staged.agg(F.to_date(F.min("created_at")), F.to_date(F.max("created_at"))).first()
-    good = staged.where("message is null")
+    """``classified`` requests with their ``outcome`` against the order table at ``path``: stored, rejected or conflict.
+
+    Requests are ranked and meet the stored keys where they were dealt out. Of the batch itself only the times are read before.
+    """
+    staged = classified(requests)
+    days = requests.agg(F.to_date(F.min("requested_at")), F.to_date(F.max("requested_at"))).first()
     table = T.StructType([*[f for f in staged.schema if f.name in ORDER_KEYS], T.StructField("order_day", T.DateType())])
-    present = _of_days(stored_orders(spark, path, table), days).select(*ORDER_KEYS, F.lit(True).alias("_there")).distinct()
-    outcome = F.when((F.col("rank") == 1) & F.col("_there").isNull(), STORED).otherwise(CONFLICT)
-    good = good.join(present, ORDER_KEYS, "left").withColumn("outcome", outcome).select(*staged.columns, "outcome")
-    return good.unionByName(staged.where("message is not null").withColumn("outcome", F.lit(REJECTED))).drop("rank")
+    present = _of_days(stored_orders(requests.sparkSession, path, table), days)
+    present = present.select(F.col("order_no").alias("_number"), "request_id", F.lit(True).alias("_there")).distinct()
+    outcome = F.when(F.col("message").isNotNull(), REJECTED).when((F.col("rank") == 1) & F.col("_there").isNull(), STORED).otherwise(CONFLICT)
+    return staged.join(present, ["_number", "request_id"], "left").select(*staged.columns, outcome.alias("outcome")).drop("_number", "rank")
 
 
 def add_orders(requests: DataFrame, path: str, aside: str | None = None, batch_id: int = 0) -> None:

@@ -333,6 +333,37 @@ def test_batch_that_broke_off_before_its_orders(spark, tmp_path, monkeypatch):
     ]
 
 
+def test_batch_of_one_file_is_dealt_out(spark, tmp_path):
+    """A batch that comes in one task is classified in several, by key; requests without a key do not meet, and no key meets twice."""
+    from datetime import datetime
+
+    from sparkdesk.streaming import orders as S
+
+    schema = "request_id string, customer_name string, customer_tier string, sku_code string, quantity int, unit_price decimal(16,5), remark string, requested_at timestamp"
+    at, price = datetime(2024, 1, 2), Decimal("9.99")
+    good = [(f"r{i % 150}", "Ann", "gold", "s-1", 2, price, None, at) for i in range(300)]
+    bad = [(None if i % 2 else f"r{i}", "Ann", "gold", f"s-{i}", 2, price, None, at if i % 2 else None) for i in range(100)]
+    frame = spark.createDataFrame([*good, *bad], schema).coalesce(1)
+    marked = S.classified(frame).withColumn("task", F.spark_partition_id())
+    frames = {"keyed": "message is null", "unkeyed": "message is not null"}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = {name: marked.where(rule).agg(F.count_distinct("task")).first()[0] for name, rule in frames.items()}
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks["keyed"] > 1 and tasks["unkeyed"] > 1
+    # The requests move once, before anything of them is classified.
+    assert plan.count("Exchange") == 1 and plan.index("Window") < plan.index("array_join") < plan.index("Exchange")
+    path = str(tmp_path / "orders")
+    for k in (0, 1):
+        add_orders(frame, path, f"{path}-aside", k)
+    told = {(r.batch_id, r.outcome): r["count"] for r in outcomes(spark, f"{path}-aside").groupBy("batch_id", "outcome").count().collect()}
+    assert told == {(0, "stored"): 150, (0, "conflict"): 150, (0, "rejected"): 100, (1, "conflict"): 300, (1, "rejected"): 100}
+    assert spark.read.parquet(path).count() == 150
+    assert all(r.request.asDict().keys() == set(frame.columns) for r in outcomes(spark, f"{path}-aside").take(3))
+
+
 def test_latest_reads_the_newest_days(spark, tmp_path):
     path = str(tmp_path / "orders")
     rows = spark.range(300).select(
