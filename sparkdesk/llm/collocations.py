@@ -6,15 +6,16 @@ a piece ends or no phrase lives, and beside it the block's own list of phrases w
 
 - merge-joins the relation with itself on the same piece and the next place, so that two phrases that overlap in all but one word
   become one of a word more; both sides are sorted, so the join is one pass over the column,
-- group-counts: the blocks' lists, already added up inside each block, meet by phrase,
+- group-counts: the blocks' lists, already added up inside each block, are dealt out by phrase into parts, in packed columns, and meet there,
 - semi-joins: phrases frequent in the language go back to their blocks, and places of all others die before the next round.
 
-Words meet by their texts and longer phrases by the ids of their two halves. An id is a hash of 64 bits, of frequent
-phrases only; that no two of a length share one is checked, and the job stops where they do.
+Words meet by their texts and longer phrases by the ids of their two halves. An id is the number of a frequent phrase among those of
+its part, after the part's own number, so ids are small and no two of a length are one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkdesk.llm import wordhash
 from sparkdesk.llm.common import ship, text_of
 from sparkdesk.session import materialise
 
@@ -31,12 +33,15 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 NO_LANG = "und"
 #: Characters of text in a block.
 BLOCK = 4_000_000
+#: Rows of the blocks' lists in a part, about.
+PART = 500_000
 # What parts pieces and words, over lower-cased texts.
 PIECE_END, GAP = r"[.,;:!?\x0A-\x0D]+", r"[\x20\x09]+"
 
 _WORDS = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 _GRAMS = pa.list_(pa.struct([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())]))
 RELATION = "block bigint, lang string, codes binary, size bigint, found array<struct<{}>>"
+DEALT = "part int, block bigint, lang string, size bigint, codes binary, keys binary, counts binary"
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -47,6 +52,17 @@ def _codes(row: bytes, size: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(row, decompressed_size=size * 4, codec="zstd"), dtype="<i4")
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as their steps, all first bytes before all second ones, so that small and rising ones take little room."""
+    steps = np.diff(values.astype("<i8"), prepend=np.int64(0))
+    return pa.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueezed(row: bytes, size: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(row, decompressed_size=size * 8, codec="zstd"), dtype=np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, size).T).view("<i8").ravel())
+
+
 def _listed(values: list[pa.Array], kind: pa.DataType) -> pa.Array:
     """One list row of structs."""
     rows = pa.StructArray.from_arrays(values, fields=list(kind.value_type))
@@ -102,7 +118,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def extended(relation: DataFrame, kept: DataFrame) -> DataFrame:
-    """The relation of phrases one word longer; ``kept`` (block, code, id) are the frequent phrases of ``relation``.
+    """The relation of phrases one word longer; ``kept`` (block, size, codes, ids) has the frequent phrases of ``relation``, packed, in any number of rows a block.
 
     ``found`` lists the ids of both halves and the count by code. A block where no two frequent phrases follow each other goes.
     """
@@ -112,9 +128,13 @@ def extended(relation: DataFrame, kept: DataFrame) -> DataFrame:
         if not len(block) or not len(kept):
             return none
         codes = _codes(block.column("codes")[0].as_py(), block.column("size")[0].as_py())
-        ids = kept.column("id").to_numpy()
-        local = np.full(max(int(codes.max()), int(kept.column("code").to_numpy().max())) + 2, -1, dtype=np.int64)
-        local[kept.column("code").to_numpy()] = np.arange(len(ids))
+        rows = kept.to_pylist()
+        code = np.concatenate([_unsqueezed(r["codes"], r["size"]) for r in rows])
+        ids = np.concatenate([_unsqueezed(r["ids"], r["size"]) for r in rows])
+        order = np.argsort(ids)
+        code, ids = code[order], ids[order]
+        local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, dtype=np.int64)
+        local[code] = np.arange(len(ids))
         at = local[codes]  # code -1 reads the last entry, which stays -1
         here, after = at[:-1], at[1:]
         live = np.flatnonzero((here >= 0) & (after >= 0))
@@ -129,22 +149,107 @@ def extended(relation: DataFrame, kept: DataFrame) -> DataFrame:
 
     names, kinds = ["block", "lang", "codes", "size", "found"], [pa.int64(), pa.string(), pa.binary(), pa.int64(), _GRAMS]
     columns = relation.select("block", "lang", "codes", "size")
-    return columns.groupBy("block").cogroup(kept.select("block", "code", "id").groupBy("block")).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
+    kept = kept.select("block", "size", "codes", "ids")
+    return columns.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
+
+
+def _words_packed(words: np.ndarray) -> bytes:
+    """No word has a line feed in it."""
+    return b"%d " % len(raw := b"\n".join(words)) + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _words_of(row: bytes) -> list[bytes]:
+    size, raw = row.split(b" ", 1)
+    return pa.decompress(raw, decompressed_size=int(size), codec="zstd", asbytes=True).split(b"\n")
+
+
+def dealt(relation: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """The blocks' lists, a row for each block and part that has phrases of it: their codes, keys and counts, packed. A phrase has one part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                found = batch.column("found")[row].values
+                if not len(found):
+                    continue
+                counts = found.field("n").to_numpy()
+                if keys == ["word"]:
+                    words = np.array(found.field("word").cast(pa.binary()).to_pylist(), dtype=object)
+                    hashes = wordhash.word_hashes(b"\n".join(words))
+                else:
+                    left, right = (found.field(key).to_numpy() for key in keys)
+                    hashes = wordhash.mixed(left.view(np.uint64) * wordhash.STEP + right.view(np.uint64) * wordhash.RUN)
+                part = (hashes % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                edges = np.flatnonzero(np.diff(part[order], prepend=-1))
+                out = []
+                for codes in np.split(order, edges[1:]):
+                    packed = _words_packed(words[codes]) if keys == ["word"] else _squeezed(np.concatenate([left[codes], right[codes]]))
+                    out.append((int(part[codes[0]]), batch.column("block")[row].as_py(), batch.column("lang")[row].as_py(), len(codes), _squeezed(codes), packed, _squeezed(counts[codes])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+
+    names = [c.split()[0] for c in DEALT.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return relation.select("block", "lang", "found").mapInArrow(run, DEALT)
+
+
+def counted(lists: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """Of every part of ``dealt`` lists: for each block ``block, size, codes, ids``, its phrases found at least so often in their language, packed, and
+    for each language a row without a block, whose ``found`` lists these phrases: ``id``, keys and count ``a``."""
+
+    def run(part: pa.Table) -> pa.Table:
+        rows, out, first = part.to_pylist(), [], part.column("part")[0].as_py() << 32
+        for lang in sorted({r["lang"] for r in rows}):
+            own = [r for r in rows if r["lang"] == lang]
+            if keys == ["word"]:
+                coded = pa.array([w for r in own for w in _words_of(r["keys"])], pa.binary()).dictionary_encode()
+                place, phrases = coded.indices.to_numpy(zero_copy_only=False), [coded.dictionary]
+            else:
+                halves = [_unsqueezed(r["keys"], 2 * r["size"]).reshape(2, -1) for r in own]
+                left, right = np.concatenate(halves, axis=1)
+                order = np.lexsort((right, left))
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)
+                place = np.empty(len(order), dtype=np.int64)
+                place[order] = np.cumsum(new) - 1
+                phrases = [pa.array(left[order[new]]), pa.array(right[order[new]])]
+            totals = np.zeros(len(phrases[0]), dtype=np.int64)
+            np.add.at(totals, place, np.concatenate([_unsqueezed(r["counts"], r["size"]) for r in own]))
+            often = totals >= least
+            if not often.any():
+                continue
+            ids = first + np.cumsum(often) - 1
+            start = 0
+            for r in own:
+                here = place[start : start + r["size"]]
+                start += r["size"]
+                stay = often[here]
+                if stay.any():
+                    out.append((r["block"], lang, int(stay.sum()), _squeezed(_unsqueezed(r["codes"], r["size"])[stay]), _squeezed(ids[here[stay]]), None))
+            named = [pa.array(ids[often]).to_pylist(), *[p.filter(pa.array(often)).to_pylist() for p in phrases], totals[often].tolist()]
+            out.append((None, lang, None, None, None, [dict(zip(fields, row)) for row in zip(*named)]))
+            first += int(often.sum())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], names=["block", "lang", "size", "codes", "ids", "found"])
+
+    fields = ["id", *keys, "a"]
+    phrase = ", ".join(f"{f}: {'binary' if f == 'word' else 'bigint'}" for f in fields)
+    struct = pa.struct([(f, pa.binary() if f == "word" else pa.int64()) for f in fields])
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(struct)]
+    return lists.groupBy("part").applyInArrow(run, f"block bigint, lang string, size bigint, codes binary, ids binary, found array<struct<{phrase}>>")
 
 
 def frequent(relation: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
-    """Phrases found at least so often in their language: ``id, lang, a`` and the keys; and for the blocks ``block, code, id``.
+    """Phrases found at least so often in their language: ``id, lang, a`` and the keys; and for the blocks ``block, size, codes, ids``, packed.
 
-    Blocks' counts meet by phrase, at most one row of each block, so a word that is everywhere is as many rows as there are blocks.
+    A phrase is at most one entry of each block, so one that is everywhere is as many entries as there are blocks, and a part grows only by
+    such phrases: there are as many parts as the lists need.
     """
-    listed = relation.select("block", "lang", F.posexplode("found").alias("code", "_f")).select("block", "lang", "code", "_f.*")
-    total = F.sum("n").over(W.partitionBy("lang", *keys))
-    often = listed.withColumn("a", total).where(F.col("a") >= least).drop("n").withColumn("id", F.xxhash64("lang", *keys))
-    often = materialise(often, "phrases-of-blocks")
-    phrases = materialise(often.groupBy("id", "lang", *keys).agg(F.first("a").alias("a")), "phrases")
-    if not phrases.groupBy("id").agg(F.count("*").alias("_n")).where("_n > 1").isEmpty():
-        raise ValueError("one id stands for two phrases")
-    return phrases, often.select("block", "code", "id")
+    entries = relation.agg(F.sum(F.size("found"))).first()[0] or 0
+    often = materialise(counted(dealt(relation, keys, max(1, math.ceil(entries / PART))), keys, least), "phrases-of-blocks")
+    phrases = often.where("block is null").select("lang", F.explode("found").alias("_f"))
+    named = [F.col(f"_f.{key}").cast("string" if key == "word" else "bigint").alias(key) for key in keys]
+    phrases = phrases.select("_f.id", "lang", *named, "_f.a")
+    return phrases, often.where("block is not null")
 
 
 def candidates(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:

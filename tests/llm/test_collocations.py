@@ -64,6 +64,32 @@ def test_top_and_shorter_phrases(spark):
     assert sorted(map(tuple, got)) == [r for r in expected(texts(), 3, 3) if r[1] <= 2]
 
 
+@pytest.mark.parametrize("part", [3, 50])
+def test_many_parts(spark, monkeypatch, part):
+    monkeypatch.setattr(collocations, "BLOCK", 300)
+    monkeypatch.setattr(collocations, "PART", part)
+    frame = spark.createDataFrame(texts(), "lang string, text string")
+    got = collocations.collocations(frame, least=2, top=None).collect()
+    assert sorted(map(tuple, got)) == expected(texts(), 2)
+
+
+def test_counts_move_in_packed_rows(spark):
+    """Words and pairs go to their counts in few rows of some bytes an entry, not as a row each."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    frame = spark.createDataFrame([("en", " ".join(rng.choices(words, k=400))) for _ in range(100)], "lang string, text string").coalesce(2)
+    relation = collocations.occurrences(frame)
+    for keys in (["word"], ["left", "right"]):
+        lists = collocations.dealt(relation, keys, 3).toPandas()
+        entries = relation.selectExpr("sum(size(found))").first()[0]
+        assert len(lists) <= 3 * relation.count() < entries / 20 and lists["size"].sum() == entries
+        assert sum(len(x) for c in ("codes", "keys", "counts") for x in lists[c]) < 8 * entries
+        assert lists.groupby("part").ngroups == 3
+        phrases, kept = collocations.frequent(relation, keys, 2)
+        assert phrases.count() == phrases.select("id").distinct().count() > 0 and kept.where("size is null").isEmpty()
+        relation = collocations.extended(relation, kept)
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(frame).collect() == []
