@@ -12,6 +12,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Every whitespace run except a single blank, which needs no change.
 ODD_SPACE = r"\x20[\x20\x09-\x0D]+|[\x09-\x0D][\x20\x09-\x0D]*"
 
+#: Bits of the map of ``marked``, 2 MB.
+BITS = 1 << 24
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -43,6 +46,23 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def marked(rows: DataFrame, key: Column, known: DataFrame, known_key: Column, mark: str) -> DataFrame:
+    """``rows`` with the boolean column ``mark``: true where the key is among those of ``known``, and by chance for few others.
+
+    The known keys set bits in a map of BITS, which goes to every task; its size is fixed, and the more keys there are the more rows it lets pass.
+    So it spares a join that follows the rows that cannot match. A null key hashes as any other. Columns may have any names.
+    """
+    bucket, bits = free(rows, "_bucket", "_bits")
+    place = lambda k: F.pmod(F.xxhash64(k), F.lit(BITS))
+    keys = known.select(place(known_key).alias("_place"))
+    table = keys.groupBy(F.bitmap_bucket_number("_place").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias(bits))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    there = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("bigint") % 2 == 1, F.lit(False))
+    joined = rows.join(F.broadcast(table), F.bitmap_bucket_number(place(key)) == F.col(bucket), "left")
+    return joined.withColumn(mark, there).drop(bucket, bits)
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers of this session import this package, as they do where it is installed or given by --py-files."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkdesk.llm import wordhash
-from sparkdesk.llm.common import digest, free, ship, text_of
+from sparkdesk.llm.common import digest, free, marked, ship, text_of
 from sparkdesk.session import materialise
 
 WORDS, THRESHOLD = 5, 0.8
@@ -184,7 +184,10 @@ def blocks(docs: DataFrame, members: DataFrame) -> DataFrame:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
     columns = [c.split()[0] for c in BLOCK_ROW.split(", ")]
     named = members.select("rep.doc_id", "rep.text_id", "id", "copies", "slots")
-    return _texts(docs).join(named, ["doc_id", "text_id"]).select("id", "copies", "slots", "_text").mapInArrow(run, BLOCK_ROW)
+    # Most texts are no candidates and stay where they are.
+    key = F.struct("doc_id", "text_id")
+    texts = marked(_texts(docs), key, named, key, "_may").where("_may").drop("_may")
+    return texts.join(named, ["doc_id", "text_id"]).select("id", "copies", "slots", "_text").mapInArrow(run, BLOCK_ROW)
 
 
 def compare(rows: list[dict], threshold: float = THRESHOLD) -> Iterator[tuple]:
@@ -328,7 +331,10 @@ def drop_near(docs: DataFrame) -> DataFrame:
     do rows without a doc_id. Columns may have any names.
     """
     light, facts = _classes(docs)
-    doc, text = free(docs, "_gone", "_gone_text")
+    doc, text, may = free(docs, "_gone", "_gone_text", "_may")
     gone = light.join(facts, "key").where("struct(doc_id, text_id) != first").select(F.col("doc_id").alias(doc), F.col("text_id").alias(text))
     same = (F.col("doc_id") == F.col(doc)) & (digest(text_of()) == F.col(text))
-    return docs.join(materialise(gone.distinct(), "near-copies"), same, "left_anti")
+    gone = materialise(gone.distinct(), "near-copies")
+    # Rows whose id is not among those that go do not move.
+    rows = marked(docs, F.col("doc_id").cast("bigint"), gone, F.col(doc), may)
+    return rows.where(F.col(may)).join(gone, same, "left_anti").unionByName(rows.where(~F.col(may))).drop(may)

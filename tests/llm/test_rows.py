@@ -116,3 +116,28 @@ def test_the_sample_bounds_what_is_collected(spark, monkeypatch):
     line_crf.train(docs, labels, sample=2)
     usable = [i for i in (1, 3) if not frame(spark, [(i, "")]).select(line_crf.held_out(F.col("doc_id"))).first()[0]]
     assert len(seen) == len(usable) > 0
+
+
+def test_marked_rows_spare_the_join_the_others(spark):
+    """Every known key is marked and few others, by whatever columns; near-copy removal moves only texts that are marked."""
+    from sparkdesk.llm.common import marked
+
+    rows = spark.range(20000).selectExpr("if(id = 7, null, id) as id", "cast(id as string) as _bits", "'b' as _bucket")
+    known = spark.range(0, 20000, 40).selectExpr("id as k")
+    got = {r.id: r.m for r in marked(rows, F.col("id"), known, F.col("k"), "m").collect()}
+    assert len(got) == 20000 and all(got[i] for i in range(0, 20000, 40)) and sum(got.values()) < 550
+    assert not any(r.m for r in marked(rows, F.col("id"), known.where("false"), F.col("k"), "m").collect())
+    assert marked(rows, F.col("id"), known, F.col("k"), "m").columns == ["id", "_bits", "_bucket", "m"]
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(i, " ".join(f"x{i}y{j}" for j in range(30))) for i in range(400)] + [(400, base), (401, base + " w60"), (402, base + " w61")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = jaccard_join.drop_near(docs)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r.doc_id for r in left.collect()) == list(range(401))
+    assert "BroadcastHashJoin" in plan and plan.startswith("Union")
