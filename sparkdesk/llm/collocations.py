@@ -2,19 +2,24 @@
 
 A relation holds, for phrases of one length, which phrase starts at each place of each piece, sorted by (piece, place). It is
 stored in blocks: one row for some megabytes of text of one language, its places as one column of local codes with -1 where
-a piece ends or no phrase lives, and beside it the block's own list of phrases with their counts. A round
+a piece ends or no phrase lives, and beside it the block's own list of phrases with their counts. Blocks lie in buckets, so
+that what is sent to a block finds it where it is. A round
 
 - merge-joins the relation with itself on the same piece and the next place, so that two phrases that overlap in all but one word
   become one of a word more; both sides are sorted, so the join is one pass over the column,
 - group-counts: the blocks' lists, already added up inside each block, are dealt out by phrase into parts, in packed columns, and meet there,
 - semi-joins: phrases frequent in the language go back to their blocks, and places of all others die before the next round.
 
+The places of pairs are not stored, as most of them die: the round after joins them once more, from the places of words.
+
 Words meet by their texts and longer phrases by the ids of their two halves. An id is the number of a frequent phrase among those of
-its part, after the part's own number, so ids are small and no two of a length are one.
+its language and part, dealt out in turn over the parts, so ids are dense and no two of a language and length are one. The two ids
+make one number below the square of their bound, scrambled one to one: parts are ranges of it, and sorted it takes small steps.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -27,14 +32,16 @@ from pyspark.sql import functions as F
 
 from sparkdesk.llm import wordhash
 from sparkdesk.llm.common import ship, text_of
-from sparkdesk.session import materialise
+from sparkdesk.session import bucketed, materialise
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 NO_LANG = "und"
 #: Characters of text in a block.
 BLOCK = 4_000_000
 #: Rows of the blocks' lists in a part, about.
-PART = 500_000
+PART = 1_000_000
+#: No id is as large.
+BOUND = 1 << 31
 # What parts pieces and words, over lower-cased texts.
 PIECE_END, GAP = r"[.,;:!?\x0A-\x0D]+", r"[\x20\x09]+"
 
@@ -44,23 +51,54 @@ RELATION = "block bigint, lang string, codes binary, size bigint, found array<st
 DEALT = "part int, block bigint, lang string, size bigint, codes binary, keys binary, counts binary"
 
 
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers of equal width, all first bytes before all second ones, so that small ones take little room."""
+    return _ZSTD.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), asbytes=True)
+
+
+def _unplanes(row: bytes, size: int, kind: str = "<i8") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(row, decompressed_size=size * width, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, size).T).view(kind).ravel()
+
+
 def _packed(codes: np.ndarray) -> bytes:
-    return pa.compress(codes.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+    return _planes((codes + 1).astype("<u4"))
 
 
 def _codes(row: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(row, decompressed_size=size * 4, codec="zstd"), dtype="<i4")
+    return _unplanes(row, size, "<u4").astype(np.int64) - 1
 
 
 def _squeezed(values: np.ndarray) -> bytes:
-    """Whole numbers as their steps, all first bytes before all second ones, so that small and rising ones take little room."""
-    steps = np.diff(values.astype("<i8"), prepend=np.int64(0))
-    return pa.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers as their steps, so that rising ones take little room."""
+    return _planes(np.diff(values.astype("<i8"), prepend=np.int64(0)))
 
 
 def _unsqueezed(row: bytes, size: int) -> np.ndarray:
-    raw = np.frombuffer(pa.decompress(row, decompressed_size=size * 8, codec="zstd"), dtype=np.uint8)
-    return np.cumsum(np.ascontiguousarray(raw.reshape(8, size).T).view("<i8").ravel())
+    return np.cumsum(_unplanes(row, size))
+
+
+def _turn(ids: np.ndarray, step: int, bound: int) -> np.ndarray:
+    return (wordhash.mixed(ids.astype(np.uint64) * wordhash.STEP + np.uint64(step)) % np.uint64(bound)).astype(np.int64)
+
+
+def scrambled(left: np.ndarray, right: np.ndarray, bound: int) -> np.ndarray:
+    """One number for each pair of ids below ``bound``, evenly spread below its square; no two pairs share one."""
+    left = (left + _turn(right, 1, bound)) % bound
+    right = (right + _turn(left, 2, bound)) % bound
+    left = (left + _turn(right, 3, bound)) % bound
+    return left * bound + right
+
+
+def unscrambled(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    left, right = values // bound, values % bound
+    left = (left - _turn(right, 3, bound)) % bound
+    right = (right - _turn(left, 2, bound)) % bound
+    return (left - _turn(right, 1, bound)) % bound, right
 
 
 def _listed(values: list[pa.Array], kind: pa.DataType) -> pa.Array:
@@ -83,13 +121,17 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``block, lang, codes, size, found``: the relation of single words; ``found`` lists word and count by code."""
+    """``block, lang, codes, size, found``: the relation of single words; ``found`` lists word and count by code, frequent words first, equal ones sorted."""
 
     def flush(lang: str, parts: list[pa.Array], number: int) -> pa.RecordBatch:
         codes, words = tokenised(pa.chunked_array(parts).combine_chunks())
-        counts = np.bincount(codes[codes >= 0], minlength=len(words))
+        counts = pa.array(np.bincount(codes[codes >= 0], minlength=len(words)), pa.int64())
+        order = pc.sort_indices(pa.table({"n": counts, "word": words}), sort_keys=[("n", "descending"), ("word", "ascending")])
+        rank = np.full(len(words) + 1, -1, dtype=np.int64)
+        rank[order.to_numpy()] = np.arange(len(words))
+        codes = rank[codes]  # code -1 reads the last entry, which stays -1
         columns = [pa.array([number]), pa.array([lang]), pa.array([_packed(codes)], pa.binary()), pa.array([len(codes)])]
-        return pa.RecordBatch.from_arrays([*columns, _listed([words, pa.array(counts)], _WORDS)], names=names)
+        return pa.RecordBatch.from_arrays([*columns, _listed([words.take(order), counts.take(order)], _WORDS)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -117,45 +159,49 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, RELATION.format("word string, n bigint"))
 
 
-def extended(relation: DataFrame, kept: DataFrame) -> DataFrame:
+def extended(relation: DataFrame, *kept: DataFrame, bounds: tuple[int, ...] = (BOUND,)) -> DataFrame:
     """The relation of phrases one word longer; ``kept`` (block, size, codes, ids) has the frequent phrases of ``relation``, packed, in any number of rows a block.
 
-    ``found`` lists the ids of both halves and the count by code. A block where no two frequent phrases follow each other goes.
+    ``found`` lists the ids of both halves and the count by code. A block where no two frequent phrases follow each other goes. Where more
+    ``kept`` are given, each has the frequent phrases of the relation that the one before it led to, and phrases are as many words longer.
+    Each has its bound in ``bounds``, above all its ids.
     """
 
     def run(block: pa.Table, kept: pa.Table) -> pa.Table:
         none = pa.table([pa.array([], t) for t in kinds], names=names)
-        if not len(block) or not len(kept):
-            return none
-        codes = _codes(block.column("codes")[0].as_py(), block.column("size")[0].as_py())
-        rows = kept.to_pylist()
-        code = np.concatenate([_unsqueezed(r["codes"], r["size"]) for r in rows])
-        ids = np.concatenate([_unsqueezed(r["ids"], r["size"]) for r in rows])
-        order = np.argsort(ids)
-        code, ids = code[order], ids[order]
-        local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, dtype=np.int64)
-        local[code] = np.arange(len(ids))
-        at = local[codes]  # code -1 reads the last entry, which stays -1
-        here, after = at[:-1], at[1:]
-        live = np.flatnonzero((here >= 0) & (after >= 0))
-        if not len(live):
+        if not len(block):
             return none
-        pairs, code, counts = np.unique(here[live] * len(ids) + after[live], return_inverse=True, return_counts=True)
-        longer = np.full(len(here), -1, dtype=np.int32)
-        longer[live] = code
-        found = _listed([pa.array(ids[pairs // len(ids)]), pa.array(ids[pairs % len(ids)]), pa.array(counts)], _GRAMS)
-        columns = [block.column("block"), block.column("lang"), pa.array([_packed(longer)], pa.binary()), pa.array([len(longer)]), found]
+        codes, rows = _codes(block.column("codes")[0].as_py(), block.column("size")[0].as_py()), kept.to_pylist()
+        for step, bound in enumerate(bounds):
+            own = [r for r in rows if r["step"] == step]
+            if not own:
+                return none
+            code = np.concatenate([_unsqueezed(r["codes"], r["size"]) for r in own])
+            local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, dtype=np.int64)
+            local[code] = np.concatenate([_unsqueezed(r["ids"], r["size"]) for r in own])
+            at = local[codes]  # code -1 reads the last entry, which stays -1
+            here, after = at[:-1], at[1:]
+            live = np.flatnonzero((here >= 0) & (after >= 0))
+            if not len(live):
+                return none
+            values, code, counts = np.unique(scrambled(here[live], after[live], bound), return_inverse=True, return_counts=True)
+            codes = np.full(len(here), -1, dtype=np.int64)
+            codes[live] = code
+        left, right = unscrambled(values, bounds[-1])
+        found = _listed([pa.array(left), pa.array(right), pa.array(counts)], _GRAMS)
+        columns = [block.column("block"), block.column("lang"), pa.array([_packed(codes)], pa.binary()), pa.array([len(codes)]), found]
         return pa.table(columns, names=names)
 
     names, kinds = ["block", "lang", "codes", "size", "found"], [pa.int64(), pa.string(), pa.binary(), pa.int64(), _GRAMS]
     columns = relation.select("block", "lang", "codes", "size")
-    kept = kept.select("block", "size", "codes", "ids")
-    return columns.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
+    steps = [one.select("block", "size", "codes", "ids", F.lit(step).alias("step")) for step, one in enumerate(kept)]
+    lists = functools.reduce(DataFrame.unionByName, steps)
+    return columns.groupBy("block").cogroup(lists.groupBy("block")).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
 
 
 def _words_packed(words: np.ndarray) -> bytes:
     """No word has a line feed in it."""
-    return b"%d " % len(raw := b"\n".join(words)) + pa.compress(raw, codec="zstd", asbytes=True)
+    return b"%d " % len(raw := b"\n".join(words)) + _ZSTD.compress(raw, asbytes=True)
 
 
 def _words_of(row: bytes) -> list[bytes]:
@@ -163,8 +209,11 @@ def _words_of(row: bytes) -> list[bytes]:
     return pa.decompress(raw, decompressed_size=int(size), codec="zstd", asbytes=True).split(b"\n")
 
 
-def dealt(relation: DataFrame, keys: list[str], parts: int) -> DataFrame:
-    """The blocks' lists, a row for each block and part that has phrases of it: their codes, keys and counts, packed. A phrase has one part."""
+def dealt(relation: DataFrame, keys: list[str], parts: int, bound: int = BOUND) -> DataFrame:
+    """The blocks' lists, a row for each block and part that has phrases of it: their codes, keys and counts, packed. A phrase has one part.
+
+    Of longer phrases a part has those in its range of scrambled pairs, which is how ``extended`` sorts them: their codes are a range too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,50 +224,46 @@ def dealt(relation: DataFrame, keys: list[str], parts: int) -> DataFrame:
                 counts = found.field("n").to_numpy()
                 if keys == ["word"]:
                     words = np.array(found.field("word").cast(pa.binary()).to_pylist(), dtype=object)
-                    hashes = wordhash.word_hashes(b"\n".join(words))
+                    part = (wordhash.word_hashes(b"\n".join(words)) % np.uint64(parts)).astype(np.int64)
                 else:
-                    left, right = (found.field(key).to_numpy() for key in keys)
-                    hashes = wordhash.mixed(left.view(np.uint64) * wordhash.STEP + right.view(np.uint64) * wordhash.RUN)
-                part = (hashes % np.uint64(parts)).astype(np.int64)
+                    values = scrambled(*(found.field(key).to_numpy() for key in keys), bound)
+                    part = np.searchsorted(edges, values, side="right")
                 order = np.argsort(part, kind="stable")
-                edges = np.flatnonzero(np.diff(part[order], prepend=-1))
+                starts = np.flatnonzero(np.diff(part[order], prepend=-1))
                 out = []
-                for codes in np.split(order, edges[1:]):
-                    packed = _words_packed(words[codes]) if keys == ["word"] else _squeezed(np.concatenate([left[codes], right[codes]]))
-                    out.append((int(part[codes[0]]), batch.column("block")[row].as_py(), batch.column("lang")[row].as_py(), len(codes), _squeezed(codes), packed, _squeezed(counts[codes])))
+                for codes in np.split(order, starts[1:]):
+                    packed = _words_packed(words[codes]) if keys == ["word"] else _squeezed(values[codes])
+                    out.append((int(part[codes[0]]), batch.column("block")[row].as_py(), batch.column("lang")[row].as_py(), len(codes), _squeezed(codes), packed, _planes(counts[codes])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
+    if bound > BOUND:
+        raise ValueError(f"{bound} ids of one language and length; products of two must fit 64 bits")
+    edges = np.array([bound * bound * i // parts for i in range(1, parts)], dtype=np.int64)
     names = [c.split()[0] for c in DEALT.split(", ")]
     kinds = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return relation.select("block", "lang", "found").mapInArrow(run, DEALT)
 
 
-def counted(lists: DataFrame, keys: list[str], least: int) -> DataFrame:
+def counted(lists: DataFrame, keys: list[str], least: int, parts: int, bound: int = BOUND) -> DataFrame:
     """Of every part of ``dealt`` lists: for each block ``block, size, codes, ids``, its phrases found at least so often in their language, packed, and
     for each language a row without a block, whose ``found`` lists these phrases: ``id``, keys and count ``a``."""
 
     def run(part: pa.Table) -> pa.Table:
-        rows, out, first = part.to_pylist(), [], part.column("part")[0].as_py() << 32
+        rows, out, number = part.to_pylist(), [], part.column("part")[0].as_py()
         for lang in sorted({r["lang"] for r in rows}):
             own = [r for r in rows if r["lang"] == lang]
             if keys == ["word"]:
                 coded = pa.array([w for r in own for w in _words_of(r["keys"])], pa.binary()).dictionary_encode()
-                place, phrases = coded.indices.to_numpy(zero_copy_only=False), [coded.dictionary]
+                place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+                totals = np.zeros(len(words), dtype=np.int64)
             else:
-                halves = [_unsqueezed(r["keys"], 2 * r["size"]).reshape(2, -1) for r in own]
-                left, right = np.concatenate(halves, axis=1)
-                order = np.lexsort((right, left))
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)
-                place = np.empty(len(order), dtype=np.int64)
-                place[order] = np.cumsum(new) - 1
-                phrases = [pa.array(left[order[new]]), pa.array(right[order[new]])]
-            totals = np.zeros(len(phrases[0]), dtype=np.int64)
-            np.add.at(totals, place, np.concatenate([_unsqueezed(r["counts"], r["size"]) for r in own]))
+                values, place = np.unique(np.concatenate([_unsqueezed(r["keys"], r["size"]) for r in own]), return_inverse=True)
+                totals = np.zeros(len(values), dtype=np.int64)
+            np.add.at(totals, place, np.concatenate([_unplanes(r["counts"], r["size"]) for r in own]))
             often = totals >= least
             if not often.any():
                 continue
-            ids = first + np.cumsum(often) - 1
+            ids = number + parts * (np.cumsum(often) - 1)
             start = 0
             for r in own:
                 here = place[start : start + r["size"]]
@@ -226,9 +271,8 @@ def counted(lists: DataFrame, keys: list[str], least: int) -> DataFrame:
                 stay = often[here]
                 if stay.any():
                     out.append((r["block"], lang, int(stay.sum()), _squeezed(_unsqueezed(r["codes"], r["size"])[stay]), _squeezed(ids[here[stay]]), None))
-            named = [pa.array(ids[often]).to_pylist(), *[p.filter(pa.array(often)).to_pylist() for p in phrases], totals[often].tolist()]
-            out.append((None, lang, None, None, None, [dict(zip(fields, row)) for row in zip(*named)]))
-            first += int(often.sum())
+            phrases = [words.filter(pa.array(often)).to_pylist()] if keys == ["word"] else [half.tolist() for half in unscrambled(values[often], bound)]
+            out.append((None, lang, None, None, None, [dict(zip(fields, row)) for row in zip(ids[often].tolist(), *phrases, totals[often].tolist())]))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], names=["block", "lang", "size", "codes", "ids", "found"])
 
     fields = ["id", *keys, "a"]
@@ -238,14 +282,16 @@ def counted(lists: DataFrame, keys: list[str], least: int) -> DataFrame:
     return lists.groupBy("part").applyInArrow(run, f"block bigint, lang string, size bigint, codes binary, ids binary, found array<struct<{phrase}>>")
 
 
-def frequent(relation: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
+def frequent(relation: DataFrame, keys: list[str], least: int, bound: int = BOUND, entries: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Phrases found at least so often in their language: ``id, lang, a`` and the keys; and for the blocks ``block, size, codes, ids``, packed.
 
     A phrase is at most one entry of each block, so one that is everywhere is as many entries as there are blocks, and a part grows only by
-    such phrases: there are as many parts as the lists need.
+    such phrases: there are as many parts as the lists need, or as ``entries`` of them would. Left and right ids are below ``bound``.
     """
-    entries = relation.agg(F.sum(F.size("found"))).first()[0] or 0
-    often = materialise(counted(dealt(relation, keys, max(1, math.ceil(entries / PART))), keys, least), "phrases-of-blocks")
+    if entries is None:
+        entries = relation.agg(F.sum(F.size("found"))).first()[0] or 0
+    parts = max(1, math.ceil(entries / PART))
+    often = materialise(counted(dealt(relation, keys, parts, bound), keys, least, parts, bound), "phrases-of-blocks")
     phrases = often.where("block is null").select("lang", F.explode("found").alias("_f"))
     named = [F.col(f"_f.{key}").cast("string" if key == "word" else "bigint").alias(key) for key in keys]
     phrases = phrases.select("_f.id", "lang", *named, "_f.a")
@@ -259,26 +305,38 @@ def candidates(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> D
     ``inside`` is true where a candidate one word longer, thus any longer one, occurs as often. Rows are (lang, text) of ``docs``; a
     null text is empty, a null language is NO_LANG, repeated rows count each, and other columns are not read.
     """
-    relation = materialise(occurrences(docs), "words")
-    sizes = relation.select("lang", F.explode("found").alias("_f")).groupBy("lang").agg(F.sum("_f.n").alias("n"))
-    words, kept = frequent(relation, ["word"], least)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    relation, rows = bucketed(occurrences(docs), "words", "block", buckets)
+    places, blocks = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    sizes = rows.select("lang", F.explode("found").alias("_f")).groupBy("lang").agg(F.sum("_f.n").alias("n"))
+    words, kept = frequent(rows, ["word"], least)
     shorter = words.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", F.array("a").alias("pre"), F.array("a").alias("suf"))
     levels: list[DataFrame] = []
+    lists: list[DataFrame] = []
+    bounds: list[int] = []
     for k in range(2, longest + 1):
-        relation = materialise(extended(relation, kept), "places")
-        grams, kept = frequent(relation, ["left", "right"], least)
-        left = shorter.select(F.col("id").alias("left"), F.col("phrase").alias("_first"), F.col("pre").alias("_pre"))
-        right = shorter.select(F.col("id").alias("right"), F.col("last"), F.col("suf").alias("_suf"))
+        lists.append(kept)
+        bounds.append((shorter.agg(F.max("id")).first()[0] or 0) + 1)
+        longer = extended(relation, *lists, bounds=tuple(bounds))
+        if k == 2:
+            # A fourth of the places, about, are pairs that their block has not had before; parts are four times as large where all are.
+            grams, kept = frequent(longer, ["left", "right"], least, bounds[-1], places // 4)
+        else:
+            relation, rows = bucketed(longer, "places", "block", max(1, min(buckets, blocks)))
+            grams, kept = frequent(rows, ["left", "right"], least, bounds[-1])
+            lists, bounds = [], []
+        left = shorter.select("lang", F.col("id").alias("left"), F.col("phrase").alias("_first"), F.col("pre").alias("_pre"))
+        right = shorter.select("lang", F.col("id").alias("right"), F.col("last"), F.col("suf").alias("_suf"))
         phrase = F.concat_ws(" ", "_first", "last").alias("phrase")
-        whole = grams.join(left, "left").join(right, "right").select(
+        whole = grams.join(left, ["lang", "left"]).join(right, ["lang", "right"]).select(
             "id", "lang", phrase, "last", "a", F.concat("_pre", F.array("a")).alias("pre"), F.concat("_suf", F.array("a")).alias("suf"), "left", "right"
         )
         whole = materialise(whole, "longer-phrases")
         if levels:
             # A phrase one word longer that is as frequent holds every occurrence of its half.
-            halves = whole.where(F.element_at("pre", -2) == F.col("a")).select(F.col("left").alias("id"))
-            halves = halves.unionByName(whole.where(F.element_at("suf", -2) == F.col("a")).select(F.col("right").alias("id")))
-            levels[-1] = levels[-1].join(halves.distinct().withColumn("_in", F.lit(True)), "id", "left")
+            halves = whole.where(F.element_at("pre", -2) == F.col("a")).select("lang", F.col("left").alias("id"))
+            halves = halves.unionByName(whole.where(F.element_at("suf", -2) == F.col("a")).select("lang", F.col("right").alias("id")))
+            levels[-1] = levels[-1].join(halves.distinct().withColumn("_in", F.lit(True)), ["lang", "id"], "left")
         levels.append(whole)
         shorter = whole
     told = [

@@ -66,3 +66,17 @@ def materialise(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df, name: str, column: str, buckets: int):
+    """As ``materialise``, in buckets by a column, read back twice: with its buckets, so that what groups or joins by the column finds the rows where
+    they are and does not shuffle them, and plainly, for what does not.
+
+    Buckets are a matter of tables, so there is one for a moment; its files are below the shared folder and stay when it is dropped.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"drop table {table}")
+    return rows, spark.read.schema(df.schema).parquet(path)

@@ -4,10 +4,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkdesk.llm import collocations
+from sparkdesk.session import bucketed, materialise
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -90,6 +92,81 @@ def test_counts_move_in_packed_rows(spark):
         relation = collocations.extended(relation, kept)
 
 
+def zipf(lang="en", docs=100, words=300, seed=3):
+    """Texts with a few frequent words and many rare ones."""
+    rng = random.Random(seed)
+    names, weights = [f"w{i}" for i in range(words)], [1 / (i + 1) for i in range(words)]
+    return [(lang, " ".join(rng.choices(names, weights, k=400))) for _ in range(docs)]
+
+
+@pytest.mark.parametrize("bound", [1, 2, 7, 30])
+def test_scrambled_pairs_are_one_to_one(bound):
+    left, right = (a.ravel() for a in np.meshgrid(np.arange(bound), np.arange(bound)))
+    values = collocations.scrambled(left, right, bound)
+    assert sorted(values) == list(range(bound * bound))
+    assert [x.tolist() for x in collocations.unscrambled(values, bound)] == [left.tolist(), right.tolist()]
+
+
+def test_scrambled_pairs_fit_64_bits():
+    ids = np.array([0, 1, 12345, collocations.BOUND - 2, collocations.BOUND - 1])
+    left, right = (a.ravel() for a in np.meshgrid(ids, ids))
+    values = collocations.scrambled(left, right, collocations.BOUND)
+    assert values.min() >= 0 and values.max() < collocations.BOUND**2 and len(set(values.tolist())) == 25
+    assert [x.tolist() for x in collocations.unscrambled(values, collocations.BOUND)] == [left.tolist(), right.tolist()]
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for values in (np.arange(-1, 300), rng.integers(-1, 70_000, 1000), np.array([-1]), np.array([2**31 - 2])):
+        assert collocations._codes(collocations._packed(values), len(values)).tolist() == values.tolist()
+    for values in (np.array([5]), np.sort(rng.integers(0, 2**62, 1000)), rng.integers(0, 9, 1000)):
+        assert collocations._unsqueezed(collocations._squeezed(values), len(values)).tolist() == values.tolist()
+        assert collocations._unplanes(collocations._planes(values), len(values)).tolist() == values.tolist()
+
+
+def test_codes_and_lists_take_little_room(spark):
+    """A place is about the entropy of its word, a pair's entry two bytes, however many parts there are."""
+    frame = spark.createDataFrame(zipf(words=3000), "lang string, text string").coalesce(1)
+    relation = collocations.occurrences(frame)
+    words = Counter(w for _, text in zipf(words=3000) for w in text.split())
+    total = sum(words.values())
+    entropy = -sum(n * np.log2(n / total) for n in words.values()) / 8
+    assert relation.selectExpr("sum(octet_length(codes))").first()[0] < 1.25 * entropy
+    phrases, kept = collocations.frequent(relation, ["word"], 2)
+    bound = phrases.agg(F.max("id")).first()[0] + 1
+    assert bound == phrases.count()
+    pairs = collocations.extended(relation, kept, bounds=(bound,))
+    for parts in (1, 8):
+        lists = collocations.dealt(pairs, ["left", "right"], parts, bound).toPandas()
+        assert lists["part"].nunique() == parts
+        assert sum(len(x) for c in ("codes", "keys", "counts") for x in lists[c]) < 2.5 * lists["size"].sum()
+
+
+def test_blocks_stay_where_they_are(spark, capsys, monkeypatch):
+    """Only the lists of frequent phrases are shuffled to the blocks, and pairs joined anew give what stored ones give."""
+    monkeypatch.setattr(collocations, "BLOCK", 20_000)
+    frame = spark.createDataFrame(zipf("en") + zipf("de", seed=4), "lang string, text string")
+    relation, rows = bucketed(collocations.occurrences(frame), "words", "block", 5)
+    _, words = collocations.frequent(rows, ["word"], 2)
+    longer = collocations.extended(relation, words)
+    longer.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(block") == 1
+    pairs = materialise(longer, "pairs")
+    _, kept = collocations.frequent(pairs, ["left", "right"], 2)
+    told = [
+        sorted(rows.selectExpr("block", "lang", "size", "codes", "cast(found as string)").collect())
+        for rows in (collocations.extended(pairs, kept), collocations.extended(relation, words, kept, bounds=(collocations.BOUND,) * 2))
+    ]
+    assert told[0] == told[1] and len(told[0]) > 4
+
+
+def test_bucketed(spark):
+    frame = spark.range(100).selectExpr("id % 7 as k", "id as v")
+    for rows in bucketed(frame, "some", "k", 3):
+        assert rows.dtypes == frame.dtypes and sorted(rows.collect()) == sorted(frame.collect())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("some")]
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(frame).collect() == []
