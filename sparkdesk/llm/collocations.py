@@ -10,7 +10,8 @@ that what is sent to a block finds it where it is. A round
 - group-counts: the blocks' lists, already added up inside each block, are dealt out by phrase into parts, in packed columns, and meet there,
 - semi-joins: phrases frequent in the language go back to their blocks, and places of all others die before the next round.
 
-The places of pairs are not stored, as most of them die: the round after joins them once more, from the places of words.
+The places of pairs are not stored, as most of them die: the round after joins them once more, from the places of words. Nor are the
+lists of pairs, the longest there are, moved from one worker to another: the pass that joins the pairs of a block deals them out.
 
 Words meet by their texts and longer phrases by the ids of their two halves. An id is the number of a frequent phrase among those of
 its language and part, dealt out in turn over the parts, so ids are dense and no two of a language and length are one. The two ids
@@ -101,6 +102,11 @@ def unscrambled(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]
     return (left - _turn(right, 1, bound)) % bound, right
 
 
+def _given_back() -> None:
+    """What Arrow keeps for later goes back to the system: workers live on between tasks, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+
+
 def _listed(values: list[pa.Array], kind: pa.DataType) -> pa.Array:
     """One list row of structs."""
     rows = pa.StructArray.from_arrays(values, fields=list(kind.value_type))
@@ -149,9 +155,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     if sizes[lang] >= BLOCK:
                         yield flush(lang, held.pop(lang), number)
                         sizes[lang], number = 0, number + 1
-        for lang, parts in held.items():
-            yield flush(lang, parts, number)
+                        _given_back()
+        for lang in list(held):
+            yield flush(lang, held.pop(lang), number)
             number += 1
+            _given_back()
 
     names = ["block", "lang", "codes", "size", "found"]
     ship(docs.sparkSession)
@@ -159,6 +167,37 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, RELATION.format("word string, n bigint"))
 
 
+def _joined(block: pa.Table, kept: pa.Table, bounds: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Of one block: the code at each place of the phrases that ``kept`` leads to, and their scrambled pairs, sorted, and counts by code; None if there are none."""
+    if not len(block):
+        return None
+    codes, rows = _codes(block.column("codes")[0].as_py(), block.column("size")[0].as_py()), kept.to_pylist()
+    for step, bound in enumerate(bounds):
+        own = [r for r in rows if r["step"] == step]
+        if not own:
+            return None
+        code = np.concatenate([_unsqueezed(r["codes"], r["size"]) for r in own])
+        local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, dtype=np.int64)
+        local[code] = np.concatenate([_unsqueezed(r["ids"], r["size"]) for r in own])
+        at = local[codes]  # code -1 reads the last entry, which stays -1
+        here, after = at[:-1], at[1:]
+        live = np.flatnonzero((here >= 0) & (after >= 0))
+        if not len(live):
+            return None
+        values, code, counts = np.unique(scrambled(here[live], after[live], bound), return_inverse=True, return_counts=True)
+        codes = np.full(len(here), -1, dtype=np.int64)
+        codes[live] = code
+    return codes, values, counts
+
+
+def _met(relation: DataFrame, kept: tuple[DataFrame, ...]):
+    """Each block with its own rows of ``kept``, numbered by step."""
+    columns = relation.select("block", "lang", "codes", "size")
+    steps = [one.select("block", "size", "codes", "ids", F.lit(step).alias("step")) for step, one in enumerate(kept)]
+    lists = functools.reduce(DataFrame.unionByName, steps)
+    return columns.groupBy("block").cogroup(lists.groupBy("block"))
+
+
 def extended(relation: DataFrame, *kept: DataFrame, bounds: tuple[int, ...] = (BOUND,)) -> DataFrame:
     """The relation of phrases one word longer; ``kept`` (block, size, codes, ids) has the frequent phrases of ``relation``, packed, in any number of rows a block.
 
@@ -168,35 +207,18 @@ def extended(relation: DataFrame, *kept: DataFrame, bounds: tuple[int, ...] = (B
     """
 
     def run(block: pa.Table, kept: pa.Table) -> pa.Table:
-        none = pa.table([pa.array([], t) for t in kinds], names=names)
-        if not len(block):
-            return none
-        codes, rows = _codes(block.column("codes")[0].as_py(), block.column("size")[0].as_py()), kept.to_pylist()
-        for step, bound in enumerate(bounds):
-            own = [r for r in rows if r["step"] == step]
-            if not own:
-                return none
-            code = np.concatenate([_unsqueezed(r["codes"], r["size"]) for r in own])
-            local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, dtype=np.int64)
-            local[code] = np.concatenate([_unsqueezed(r["ids"], r["size"]) for r in own])
-            at = local[codes]  # code -1 reads the last entry, which stays -1
-            here, after = at[:-1], at[1:]
-            live = np.flatnonzero((here >= 0) & (after >= 0))
-            if not len(live):
-                return none
-            values, code, counts = np.unique(scrambled(here[live], after[live], bound), return_inverse=True, return_counts=True)
-            codes = np.full(len(here), -1, dtype=np.int64)
-            codes[live] = code
+        _given_back()
+        joined = _joined(block, kept, bounds)
+        if joined is None:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        codes, values, counts = joined
         left, right = unscrambled(values, bounds[-1])
         found = _listed([pa.array(left), pa.array(right), pa.array(counts)], _GRAMS)
         columns = [block.column("block"), block.column("lang"), pa.array([_packed(codes)], pa.binary()), pa.array([len(codes)]), found]
         return pa.table(columns, names=names)
 
     names, kinds = ["block", "lang", "codes", "size", "found"], [pa.int64(), pa.string(), pa.binary(), pa.int64(), _GRAMS]
-    columns = relation.select("block", "lang", "codes", "size")
-    steps = [one.select("block", "size", "codes", "ids", F.lit(step).alias("step")) for step, one in enumerate(kept)]
-    lists = functools.reduce(DataFrame.unionByName, steps)
-    return columns.groupBy("block").cogroup(lists.groupBy("block")).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
+    return _met(relation, kept).applyInArrow(run, RELATION.format("left bigint, right bigint, n bigint"))
 
 
 def _words_packed(words: np.ndarray) -> bytes:
@@ -209,6 +231,29 @@ def _words_of(row: bytes) -> list[bytes]:
     return pa.decompress(raw, decompressed_size=int(size), codec="zstd", asbytes=True).split(b"\n")
 
 
+def _edges(parts: int, bound: int) -> np.ndarray:
+    """Where the ranges of scrambled pairs of all parts but the first begin."""
+    if bound > BOUND:
+        raise ValueError(f"{bound} ids of one language and length; products of two must fit 64 bits")
+    return np.array([bound * bound * i // parts for i in range(1, parts)], dtype=np.int64)
+
+
+_DEALT_NAMES = [c.split()[0] for c in DEALT.split(", ")]
+_DEALT_KINDS = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
+
+def _parted(block: int, lang: str, part: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    """A block's list, whose keys, words or scrambled pairs, and counts are by code, as columns of ``DEALT``: a row for each part."""
+    order = np.argsort(part, kind="stable")
+    starts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    packed = _words_packed if keys.dtype == object else _squeezed
+    out = [
+        (int(part[codes[0]]), block, lang, len(codes), _squeezed(codes), packed(keys[codes]), _planes(counts[codes]))
+        for codes in np.split(order, starts[1:])
+    ]
+    return [pa.array(c, t) for c, t in zip(zip(*out), _DEALT_KINDS)]
+
+
 def dealt(relation: DataFrame, keys: list[str], parts: int, bound: int = BOUND) -> DataFrame:
     """The blocks' lists, a row for each block and part that has phrases of it: their codes, keys and counts, packed. A phrase has one part.
 
@@ -221,34 +266,42 @@ def dealt(relation: DataFrame, keys: list[str], parts: int, bound: int = BOUND)
                 found = batch.column("found")[row].values
                 if not len(found):
                     continue
-                counts = found.field("n").to_numpy()
                 if keys == ["word"]:
-                    words = np.array(found.field("word").cast(pa.binary()).to_pylist(), dtype=object)
-                    part = (wordhash.word_hashes(b"\n".join(words)) % np.uint64(parts)).astype(np.int64)
+                    values = np.array(found.field("word").cast(pa.binary()).to_pylist(), dtype=object)
+                    part = (wordhash.word_hashes(b"\n".join(values)) % np.uint64(parts)).astype(np.int64)
                 else:
                     values = scrambled(*(found.field(key).to_numpy() for key in keys), bound)
                     part = np.searchsorted(edges, values, side="right")
-                order = np.argsort(part, kind="stable")
-                starts = np.flatnonzero(np.diff(part[order], prepend=-1))
-                out = []
-                for codes in np.split(order, starts[1:]):
-                    packed = _words_packed(words[codes]) if keys == ["word"] else _squeezed(values[codes])
-                    out.append((int(part[codes[0]]), batch.column("block")[row].as_py(), batch.column("lang")[row].as_py(), len(codes), _squeezed(codes), packed, _planes(counts[codes])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                columns = _parted(batch.column("block")[row].as_py(), batch.column("lang")[row].as_py(), part, values, found.field("n").to_numpy())
+                yield pa.RecordBatch.from_arrays(columns, names=_DEALT_NAMES)
+                _given_back()
 
-    if bound > BOUND:
-        raise ValueError(f"{bound} ids of one language and length; products of two must fit 64 bits")
-    edges = np.array([bound * bound * i // parts for i in range(1, parts)], dtype=np.int64)
-    names = [c.split()[0] for c in DEALT.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    edges = _edges(parts, bound)
     return relation.select("block", "lang", "found").mapInArrow(run, DEALT)
 
 
+def dealt_longer(relation: DataFrame, *kept: DataFrame, parts: int, bounds: tuple[int, ...] = (BOUND,)) -> DataFrame:
+    """What ``dealt`` makes of ``extended``, in one pass over a block, so that its list of pairs, which is long, stays in one worker and is packed there."""
+
+    def run(block: pa.Table, kept: pa.Table) -> pa.Table:
+        _given_back()
+        joined = _joined(block, kept, bounds)
+        if joined is None:
+            return pa.table([pa.array([], t) for t in _DEALT_KINDS], names=_DEALT_NAMES)
+        _, values, counts = joined
+        part = np.searchsorted(edges, values, side="right")
+        return pa.table(_parted(block.column("block")[0].as_py(), block.column("lang")[0].as_py(), part, values, counts), names=_DEALT_NAMES)
+
+    edges = _edges(parts, bounds[-1])
+    return _met(relation, kept).applyInArrow(run, DEALT)
+
+
 def counted(lists: DataFrame, keys: list[str], least: int, parts: int, bound: int = BOUND) -> DataFrame:
     """Of every part of ``dealt`` lists: for each block ``block, size, codes, ids``, its phrases found at least so often in their language, packed, and
     for each language a row without a block, whose ``found`` lists these phrases: ``id``, keys and count ``a``."""
 
     def run(part: pa.Table) -> pa.Table:
+        _given_back()
         rows, out, number = part.to_pylist(), [], part.column("part")[0].as_py()
         for lang in sorted({r["lang"] for r in rows}):
             own = [r for r in rows if r["lang"] == lang]
@@ -282,16 +335,24 @@ def counted(lists: DataFrame, keys: list[str], least: int, parts: int, bound: in
     return lists.groupBy("part").applyInArrow(run, f"block bigint, lang string, size bigint, codes binary, ids binary, found array<struct<{phrase}>>")
 
 
-def frequent(relation: DataFrame, keys: list[str], least: int, bound: int = BOUND, entries: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _parts(entries: int) -> int:
+    """A phrase is at most one entry of each block, so one that is everywhere is as many entries as there are blocks, and a part grows only by
+    such phrases: there are as many parts as the lists need."""
+    return max(1, math.ceil(entries / PART))
+
+
+def frequent(relation: DataFrame, keys: list[str], least: int, bound: int = BOUND) -> tuple[DataFrame, DataFrame]:
     """Phrases found at least so often in their language: ``id, lang, a`` and the keys; and for the blocks ``block, size, codes, ids``, packed.
 
-    A phrase is at most one entry of each block, so one that is everywhere is as many entries as there are blocks, and a part grows only by
-    such phrases: there are as many parts as the lists need, or as ``entries`` of them would. Left and right ids are below ``bound``.
+    Left and right ids are below ``bound``.
     """
-    if entries is None:
-        entries = relation.agg(F.sum(F.size("found"))).first()[0] or 0
-    parts = max(1, math.ceil(entries / PART))
-    often = materialise(counted(dealt(relation, keys, parts, bound), keys, least, parts, bound), "phrases-of-blocks")
+    parts = _parts(relation.agg(F.sum(F.size("found"))).first()[0] or 0)
+    return frequent_of(dealt(relation, keys, parts, bound), keys, least, parts, bound)
+
+
+def frequent_of(lists: DataFrame, keys: list[str], least: int, parts: int, bound: int = BOUND) -> tuple[DataFrame, DataFrame]:
+    """As ``frequent``, of ``dealt`` lists."""
+    often = materialise(counted(lists, keys, least, parts, bound), "phrases-of-blocks")
     phrases = often.where("block is null").select("lang", F.explode("found").alias("_f"))
     named = [F.col(f"_f.{key}").cast("string" if key == "word" else "bigint").alias(key) for key in keys]
     phrases = phrases.select("_f.id", "lang", *named, "_f.a")
@@ -317,11 +378,13 @@ def candidates(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> D
     for k in range(2, longest + 1):
         lists.append(kept)
         bounds.append((shorter.agg(F.max("id")).first()[0] or 0) + 1)
-        longer = extended(relation, *lists, bounds=tuple(bounds))
         if k == 2:
             # A fourth of the places, about, are pairs that their block has not had before; parts are four times as large where all are.
-            grams, kept = frequent(longer, ["left", "right"], least, bounds[-1], places // 4)
+            parts = _parts(places // 4)
+            longer = dealt_longer(relation, *lists, parts=parts, bounds=tuple(bounds))
+            grams, kept = frequent_of(longer, ["left", "right"], least, parts, bounds[-1])
         else:
+            longer = extended(relation, *lists, bounds=tuple(bounds))
             relation, rows = bucketed(longer, "places", "block", max(1, min(buckets, blocks)))
             grams, kept = frequent(rows, ["left", "right"], least, bounds[-1])
             lists, bounds = [], []

@@ -160,6 +160,44 @@ def test_blocks_stay_where_they_are(spark, capsys, monkeypatch):
     assert told[0] == told[1] and len(told[0]) > 4
 
 
+def test_pairs_are_dealt_where_they_are_joined(spark):
+    """Joining and dealing in one pass over a block gives what joining, then dealing does, and one step or two."""
+    relation = materialise(collocations.occurrences(spark.createDataFrame(zipf("en") + zipf("de", seed=4), "lang string, text string").coalesce(2)), "words")
+    words, kept = collocations.frequent(relation, ["word"], 2)
+    bounds, lists = (words.agg(F.max("id")).first()[0] + 1,), (kept,)
+    for _ in range(2):
+        longer = collocations.extended(relation, *lists, bounds=bounds)
+        for parts in (1, 3):
+            got = collocations.dealt_longer(relation, *lists, parts=parts, bounds=bounds).collect()
+            assert sorted(got) == sorted(collocations.dealt(longer, ["left", "right"], parts, bounds[-1]).collect())
+            assert len({r.part for r in got}) == parts
+        grams, kept = collocations.frequent(longer, ["left", "right"], 2, bounds[-1])
+        bounds, lists = (*bounds, grams.agg(F.max("id")).first()[0] + 1), (*lists, kept)
+    none = kept.where("false")
+    assert collocations.dealt_longer(relation, none, parts=2).collect() == []
+
+
+def test_a_task_has_one_python_worker(spark, capsys, monkeypatch):
+    """No stage has two steps in Python: what goes from one to the other fills the memory of both, and workers stay with their executor."""
+    plans = []
+    for name in ("materialise", "bucketed"):
+
+        def written(frame, *more, write=getattr(collocations, name)):
+            capsys.readouterr()
+            frame.explain()
+            plans.append(capsys.readouterr().out)
+            return write(frame, *more)
+
+        monkeypatch.setattr(collocations, name, written)
+    assert collocations.candidates(spark.createDataFrame(zipf(), "lang string, text string"), least=3).count()
+    assert sum("InArrow" in plan for plan in plans) >= 8
+    for plan in plans:
+        above = False
+        for line in plan.splitlines():
+            assert not (above and "InArrow" in line), plan
+            above = "InArrow" in line or above and not ("Exchange" in line or "Scan" in line)
+
+
 def test_bucketed(spark):
     frame = spark.range(100).selectExpr("id % 7 as k", "id as v")
     for rows in bucketed(frame, "some", "k", 3):
